@@ -1,0 +1 @@
+"""Intentionally empty: the benchmarked work is batch only, there is no streaming operator to offer."""
