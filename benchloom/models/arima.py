@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from benchloom.models.kernel import minimize_lbfgs
 from benchloom.models.panel import MAX_SERIES_ROWS, last_values, longest_series
 from benchloom.operators.series import lag_windows
+from benchloom.session import fan_out
 
 DEFAULT_ORDER = (1, 1, 1)
 LONG_AR = 20
@@ -158,7 +159,8 @@ def _fit_groups(tagged: DataFrame) -> DataFrame:
             row["error"] = str(e)
         return pd.DataFrame([row], columns=names).astype({"n": "Int64"})
 
-    return tagged.groupBy("key", "p", "d", "q").applyInPandas(fit, FIT_SCHEMA)
+    by = ["key", "p", "d", "q"]
+    return tagged.repartition(fan_out(tagged.sparkSession), *by).groupBy(*by).applyInPandas(fit, FIT_SCHEMA)
 
 
 def fit_orders(train: DataFrame, orders: Sequence[tuple[int, int, int]], max_rows: int = MAX_SERIES_ROWS) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from benchloom.models.panel import MAX_SERIES_ROWS, longest_series
 from benchloom.operators.ordering import positions
-from benchloom.session import checkpointed
+from benchloom.session import checkpointed, fan_out
 
 FORMS = ("add", "mul", None)
 # Fixed value: the order in which calibration tries (trend, seasonal); the first of equals wins.
@@ -161,7 +161,7 @@ def _stream(rows: DataFrame, forms: Sequence[tuple], m: int) -> DataFrame:
         if current is not None:
             yield close()
 
-    ordered = rows.repartition("key", "config").sortWithinPartitions("key", "config", "t")
+    ordered = rows.repartition(fan_out(rows.sparkSession), "key", "config").sortWithinPartitions("key", "config", "t")
     return ordered.mapInPandas(run, STATE_SCHEMA)
 
 
@@ -197,7 +197,8 @@ def fit_states(train: DataFrame, forms: Sequence[tuple], m: int, max_rows: int =
                 center, width = [b.a[j], b.b[j], b.g[j]], width * SHRINK
             return _frame([_row(key, *form, *(best if best else (run, None)))])
 
-        return rows.groupBy("key", "config").applyInPandas(fit, STATE_SCHEMA)
+        spread = rows.repartition(fan_out(rows.sparkSession), "key", "config")
+        return spread.groupBy("key", "config").applyInPandas(fit, STATE_SCHEMA)
 
     width, centers, best = 0.49, None, None
     for _ in range(ROUNDS):

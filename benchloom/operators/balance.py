@@ -12,6 +12,7 @@ from benchloom.functions.columns import col
 from benchloom.functions.hashing import uniform
 from benchloom.operators.neighbors import knn_join
 from benchloom.operators.ordering import BROADCAST_ROWS, hash_rank, mark_smallest
+from benchloom.session import checkpointed
 
 
 def _sizes(df: DataFrame, label: str) -> dict:
@@ -79,12 +80,12 @@ def smote(
         uniform(seed, "lam", *key).alias("lam"),
     )
     minority = src.filter(F.col("label").isin(list(plan)))
-    numbered = hash_rank(minority, ["row_id"], seed, "smote", by=["label"], name="pos")
+    numbered = checkpointed(hash_rank(minority, ["row_id"], seed, "smote", by=["label"], name="pos"))
     drawn = draws.join(numbered, ["label", "pos"]).select("label", "number", "rank", "lam", "row_id", F.col("features").alias("x"))
     seeds = numbered.join(draws.select("label", "pos").distinct(), ["label", "pos"], "left_semi")
-    near = knn_join(seeds, minority, safe_k, group="label", exclude_self=True, block_rows=block_rows)
+    near = knn_join(seeds, numbered, safe_k, group="label", exclude_self=True, block_rows=block_rows)
     near = near.select(F.col("query_id").alias("row_id"), "rank", "neighbor_id")
-    other = minority.select(F.col("row_id").alias("neighbor_id"), F.col("features").alias("x_nn"))
+    other = numbered.select(F.col("row_id").alias("neighbor_id"), F.col("features").alias("x_nn"))
     new_rows = (
         drawn.join(near, ["row_id", "rank"]).join(other, "neighbor_id")
         .withColumn("features", F.zip_with("x", "x_nn", lambda a, b: a + F.col("lam") * (b - a)))
@@ -117,10 +118,7 @@ def undersample(
     sizes = _sizes(df, label)
     if not sizes:
         return df
-    quota = undersample_quota(sizes, strategy)
-    kind = df.schema[label].dataType.simpleString()
-    table = df.sparkSession.createDataFrame([(c, n) for c, n in quota.items()], f"`{label}` {kind}, quota bigint")
-    marked = mark_smallest(df, [row_id], seed, "under", table, by=label, name="_keep", groups=len(sizes))
+    marked = mark_smallest(df, [row_id], seed, "under", undersample_quota(sizes, strategy), sizes, by=label, name="_keep")
     return marked.filter("_keep").drop("_keep")
 
 

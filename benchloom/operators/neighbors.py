@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from benchloom.functions.columns import col
 from benchloom.functions.hashing import hash_key
-from benchloom.session import checkpointed
+from benchloom.session import checkpointed, fan_out
 
 METRICS = ("euclidean", "manhattan", "chebyshev")
 BLOCK_ROWS = 4096
@@ -192,7 +192,8 @@ def knn_join(
         return out
 
     by = ["grp", "qcell", "qblock", "bcell", "bblock"]
-    near = q_rows.groupBy(*by).cogroup(b_rows.groupBy(*by)).applyInPandas(block, schema)
+    n = fan_out(spark)
+    near = q_rows.repartition(n, *by).groupBy(*by).cogroup(b_rows.repartition(n, *by).groupBy(*by)).applyInPandas(block, schema)
     w = Window.partitionBy("qid").orderBy("distance", "neighbor_id")
     best = near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return best.select(F.col("qid").alias("query_id"), "neighbor_id", "distance", "rank", *payload)

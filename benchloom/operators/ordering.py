@@ -4,7 +4,7 @@ Two tools:
 
 * hash order - rows are ranked by a uniform hash, so the leading hex digits cut every group into even
   buckets; ranks are bucket offset + row number within the bucket.  A cut "first n rows by hash" needs no
-  sort of the data at all: a bucket histogram finds the bucket where the cut falls, only that bucket is
+  sort or shuffle of the data at all: a bucket histogram finds the bucket where the cut falls, only that bucket is
   ranked, and all rows are then compared with the cut key.
 * value order - rows are range-partitioned on a unique order key into chunks of bounded size, each chunk
   is handled on its own and chunk totals give the offsets.  Inputs whose counted size fits one chunk take
@@ -18,12 +18,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from benchloom.functions.columns import col
+from benchloom.functions.columns import col, q
 from benchloom.functions.hashing import hash_key
 from benchloom.session import checkpointed
 
 ROWS_PER_CHUNK = 1_000_000
 HASH_PREFIX = 4  # hex digits: 65,536 buckets per group
+HISTOGRAM_DIGITS = 3  # hex digits added per narrowing pass: 4,096 buckets
+RANKED_ROWS = 100_000  # a bucket with at most this many counted rows is ranked as it is
+LITERAL_GROUPS = 32  # cut keys of at most this many groups become literals, more go into a broadcast table
 BROADCAST_ROWS = 100_000  # a lookup with at most this many counted rows is broadcast, a larger one is not
 
 
@@ -66,56 +69,97 @@ def hash_rank(
     return out.withColumn(name, F.col("_rn") + F.col("_before")).drop("_h", "_b", "_rn", "_before")
 
 
+def _quota_state(df: DataFrame, by: str, state: Mapping) -> DataFrame:
+    """(by, _prefix, _left) as a table of at most one row per group."""
+    kind = df.schema[by].dataType.simpleString()
+    rows = [(c, prefix, left) for c, (prefix, left, _) in state.items()]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, f"{q(by)} {kind}, _prefix string, _left bigint"))
+
+
+def _cut_keys(slim: DataFrame, ids: Sequence[str], by: str | None, quota: Mapping, sizes: Mapping) -> dict:
+    """group -> (hash, *ids) of the row at position ``quota`` of its hash order.
+
+    A histogram of the next hash digits narrows each group to the one bucket that holds the cut; when that is
+    small it is ranked.  Every pass is one scan of the slim columns with a map-side combined count.
+    """
+    # group -> (hash prefix of the bucket, position of the cut inside it, rows inside it)
+    state = {c: ("", n, sizes[c]) for c, n in quota.items() if 0 < n < sizes[c]}
+    while any(inside > RANKED_ROWS for _, _, inside in state.values()):
+        width = max(len(prefix) for prefix, _, _ in state.values()) + HISTOGRAM_DIGITS
+        if width > 32 + HISTOGRAM_DIGITS:
+            raise ValueError(f"the columns {list(ids)} do not identify a row")
+        if by is None:
+            inside = slim.filter(F.col("_h").startswith(state[None][0]))
+        else:
+            inside = _same(slim, _quota_state(slim, by, state), [by], "inner").filter(F.col("_h").startswith(F.col("_prefix")))
+        keys = [col(by)] if by else []
+        counted = inside.groupBy(*keys, F.substring("_h", 1, width).alias("_p")).agg(F.count("*").alias("_n"))
+        # only the bucket with the cut comes back: one row per group
+        w = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+        running = counted.withColumn("_upto", F.sum("_n").over(w))
+        if by is None:
+            left = F.lit(state[None][1])
+        else:
+            running = _same(running, _quota_state(slim, by, state), [by], "inner")
+            left = F.col("_left")
+        hit = running.filter((F.col("_upto") >= left) & (F.col("_upto") - F.col("_n") < left))
+        hit = hit.select(*keys, "_p", (left - F.col("_upto") + F.col("_n")).alias("_left"), "_n")
+        state = {(r[by] if by else None): (r["_p"], r["_left"], r["_n"]) for r in hit.collect()}
+    if not state:
+        return {}
+    if by is None:
+        prefix, left, _ = state[None]
+        inside = slim.filter(F.col("_h").startswith(prefix)) if prefix else slim
+        inside = inside.withColumn("_left", F.lit(left))
+        w = Window.orderBy("_h", *[col(i) for i in ids])
+    else:
+        inside = _same(slim, _quota_state(slim, by, state), [by], "inner").filter(F.col("_h").startswith(F.col("_prefix")))
+        w = Window.partitionBy(col(by)).orderBy("_h", *[col(i) for i in ids])
+    cut = inside.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == F.col("_left"))
+    return {(r[by] if by else None): (r["_h"], *[r[i] for i in ids]) for r in cut.collect()}
+
+
 def mark_smallest(
     df: DataFrame,
     ids: Sequence[str],
     seed: int,
     purpose: str,
-    quota: DataFrame | int,
+    quota: Mapping | int,
+    sizes: Mapping | int,
     by: str | None = None,
     name: str = "selected",
-    groups: int | None = None,
 ) -> DataFrame:
     """Flag the ``quota`` rows with the smallest (hash, ids), per group of ``by`` when given.
 
-    ``quota`` is a number, or a DataFrame (by, quota).  ``groups`` is the counted number of groups, if known:
-    it decides whether the per-group cut keys are broadcast.  The data itself is not shuffled: the histogram is
-    combined map-side, only the bucket that holds the cut is ranked, and the cut keys - one per group - are
-    joined back.
+    ``quota`` and ``sizes`` (the counted rows) are numbers, or dicts per group.  The rows are neither sorted nor
+    shuffled: once the cut keys are known, the flag is a comparison that every task makes on its own rows.
     """
-    hashed = _with_hash(df, ids, seed, purpose)
-    key = F.struct(F.col("_h"), *[col(i) for i in ids])
+    kinds = [df.schema[i].dataType for i in ids]
+    hashed = df.withColumn("_h", hash_key(seed, purpose, *[col(i) for i in ids]))
+    slim = hashed.select(*dict.fromkeys([*([by] if by else []), *ids]), "_h")
     if by is None:
-        offsets = _bucket_offsets(hashed, ()).withColumn("quota", F.lit(int(quota)).cast("bigint"))
-        keys: list[str] = ["_b"]
-    else:
-        offsets = _same(_bucket_offsets(hashed, [by]), quota, [by], "inner")
-        keys = [by, "_b"]
-    cut_bucket = offsets.filter((F.col("_before") < F.col("quota")) & (F.col("quota") <= F.col("_before") + F.col("_n")))
-    cut_bucket = cut_bucket.select(*[col(k) for k in keys], (F.col("quota") - F.col("_before")).alias("_left"))
-    slim = hashed.select(*dict.fromkeys([*([by] if by else []), "_b", "_h", *ids]))
-    w = Window.partitionBy(*[col(k) for k in keys]).orderBy("_h", *[col(i) for i in ids])
-    if by is None or (groups is not None and groups <= BROADCAST_ROWS):
-        cut_bucket = F.broadcast(cut_bucket)  # one bucket per group
-    inside = _same(slim, cut_bucket, keys, "inner").withColumn("_rn", F.row_number().over(w))
-    cut = inside.filter(F.col("_rn") == F.col("_left"))
-    if by is None:
-        # a quota above the row count has no cut row: everything is selected; a quota of 0 selects nothing
-        cut_key = cut.select(key.alias("_cut")).scalar()
-        if int(quota) <= 0:
-            return hashed.withColumn(name, F.lit(False)).drop("_h", "_b")
-        return hashed.withColumn(name, F.coalesce(key <= cut_key, F.lit(True))).drop("_h", "_b")
-    # groups whose quota reaches or exceeds their size are whole; quota 0 or no quota selects nothing
-    sizes = df.groupBy(col(by)).agg(F.count("*").alias("_size"))
-    whole = _same(sizes, quota, [by], "inner").select(
-        col(by), (F.col("quota") >= F.col("_size")).alias("_whole")
-    )
-    cuts = _same(whole, cut.select(col(by), key.alias("_cut")), [by], "left")
-    if groups is not None and groups <= BROADCAST_ROWS:
-        cuts = F.broadcast(cuts)
-    out = _same(hashed, cuts, [by], "left")
-    chosen = F.coalesce(F.col("_whole") | (key <= F.col("_cut")), F.lit(False))
-    return out.withColumn(name, chosen).drop("_h", "_b", "_whole", "_cut")
+        quota, sizes = {None: int(quota)}, {None: int(sizes)}
+    if len(quota) > BROADCAST_ROWS:
+        raise ValueError(f"more than {BROADCAST_ROWS} groups in column {by!r}")
+    cuts = _cut_keys(slim, ids, by, quota, sizes)
+    key = F.struct(F.col("_h"), *[col(i).alias(f"i{n}") for n, i in enumerate(ids)])
+    if by is not None and len(quota) > LITERAL_GROUPS:
+        kind = df.schema[by].dataType.simpleString()
+        spec = f"{q(by)} {kind}, _whole boolean, _c string" + "".join(f", _c{n} {k.simpleString()}" for n, k in enumerate(kinds))
+        rows = [(c, n >= sizes[c], *cuts.get(c, (None,) * (len(ids) + 1))) for c, n in quota.items()]
+        out = _same(hashed, F.broadcast(df.sparkSession.createDataFrame(rows, spec)), [by], "left")
+        bound = F.struct(F.col("_c").alias("_h"), *[F.col(f"_c{n}").alias(f"i{n}") for n in range(len(ids))])
+        flag = F.coalesce(F.col("_whole") | (F.col("_c").isNotNull() & (key <= bound)), F.lit(False))
+        return out.withColumn(name, flag).drop("_h", "_whole", "_c", *[f"_c{n}" for n in range(len(ids))])
+    flag = F.lit(False)
+    for c, n in quota.items():
+        mine = col(by).eqNullSafe(F.lit(c).cast(df.schema[by].dataType)) if by else F.lit(True)
+        if c in cuts:
+            values = [F.lit(v).cast(k).alias(f"i{m}") for m, (v, k) in enumerate(zip(cuts[c][1:], kinds))]
+            flag = F.when(mine, key <= F.struct(F.lit(cuts[c][0]).alias("_h"), *values)).otherwise(flag)
+        else:
+            flag = F.when(mine, F.lit(n >= sizes[c] and n > 0)).otherwise(flag)
+    return hashed.withColumn(name, flag).drop("_h")
 
 
 # ------------------------------------------------------------------ value order

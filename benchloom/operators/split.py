@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from benchloom.functions.columns import col
 from benchloom.operators.ordering import BROADCAST_ROWS, _same, hash_rank, mark_smallest, ordered_scan
@@ -15,18 +15,15 @@ def _class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(col(label)).agg(F.count("*").alias("n"))
 
 
-def class_quotas(df: DataFrame, label: str, n_train: int, total: int) -> DataFrame:
-    """(label, quota): the training rows of each class by largest remainders (equal remainders: smaller class)."""
-    exact = F.col("n").cast("decimal(20,0)") * F.lit(n_train).cast("decimal(18,0)")
-    part = F.expr(f"cast(n as decimal(20,0)) * cast({n_train} as decimal(18,0)) div {total}")
-    counts = _class_counts(df, label).withColumn("base", part.cast("bigint"))
-    counts = counts.withColumn("rest", exact - F.col("base").cast("decimal(20,0)") * F.lit(total).cast("decimal(18,0)"))
-    # a window over the classes, not over the rows: the caller has checked that there are few classes
-    order = F.row_number().over(Window.orderBy(F.desc("rest"), F.asc(label)))
-    missing = F.lit(n_train) - counts.agg(F.sum("base")).scalar()
-    return counts.withColumn("_o", order).select(
-        col(label), (F.col("base") + F.when(F.col("_o") <= missing, 1).otherwise(0)).alias("quota")
-    )
+def class_quotas(sizes: dict, n_train: int) -> dict:
+    """Training rows of each class by largest remainders (equal remainders: smaller class)."""
+    total = sum(sizes.values())
+    quota = {c: n * n_train // total for c, n in sizes.items()}
+    rest = n_train - sum(quota.values())
+    order = sorted(sizes, key=lambda c: (-(sizes[c] * n_train % total), c is not None, c))
+    for c in order[:rest]:
+        quota[c] += 1
+    return quota
 
 
 def split_flag(
@@ -44,17 +41,18 @@ def split_flag(
     split when a class has fewer than two rows or a side has fewer rows than there are classes.
     """
     ids = [row_id] if isinstance(row_id, str) else list(row_id)
+    sizes: dict = {}
     if label is not None and stratify:
-        row = _class_counts(df, label).agg(F.count("*").alias("k"), F.min("n").alias("low"), F.sum("n").alias("total")).first()
-        total, classes, low = row["total"] or 0, row["k"], row["low"] or 0
-    else:
-        total, classes, low = df.count(), 0, 0
+        # a label with too many values to be a class label is not stratified; BROADCAST_ROWS bounds what is fetched
+        rows = _class_counts(df, label).limit(BROADCAST_ROWS + 1).collect()
+        sizes = {r[0]: r["n"] for r in rows} if len(rows) <= BROADCAST_ROWS else {}
+    total = sum(sizes.values()) if sizes else df.count()
     n_test = math.ceil(total * test_size)
     n_train = total - n_test
-    if classes and low >= 2 and n_train >= classes and n_test >= classes:
-        flagged = mark_smallest(df, ids, seed, "split", class_quotas(df, label, n_train, total), by=label, name="_train", groups=classes)
+    if sizes and min(sizes.values()) >= 2 and min(n_train, n_test) >= len(sizes):
+        flagged = mark_smallest(df, ids, seed, "split", class_quotas(sizes, n_train), sizes, by=label, name="_train")
     else:
-        flagged = mark_smallest(df, ids, seed, "split", n_train, name="_train")
+        flagged = mark_smallest(df, ids, seed, "split", n_train, total, name="_train")
     return flagged.withColumn(name, F.when(F.col("_train"), "train").otherwise("test")).drop("_train")
 
 

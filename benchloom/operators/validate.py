@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from benchloom.functions.columns import col
 from benchloom.operators.metrics import DEFAULT_AUC, auc_roc, classification_metrics, regression_metrics
 from benchloom.operators.split import kfold_assign, stratified_fold_assign
+from benchloom.session import checkpointed
 
 CLASSIFICATION_SCORES = ("accuracy", "precision", "recall", "f1", "roc_auc")
 REGRESSION_SCORES = ("r2", "mse", "rmse", "mae")
@@ -61,12 +62,12 @@ def _validate(estimator, folds: DataFrame, k: int, scoring: str, parallelism: in
 
 def kfold_validation(estimator, df: DataFrame, k: int = 5, scoring: str = "r2", seed: int = 42, parallelism: int = 2) -> dict:
     """Shuffled k-fold: {'scores', 'mean', 'std'} (std with ddof = 0)."""
-    return _validate(estimator, kfold_assign(df, "row_id", k, seed), k, scoring, parallelism)
+    return _validate(estimator, checkpointed(kfold_assign(df, "row_id", k, seed)), k, scoring, parallelism)
 
 
 def stratified_kfold(estimator, df: DataFrame, k: int = 5, scoring: str = "roc_auc", seed: int = 42, parallelism: int = 2) -> dict:
     """Stratified k-fold: {'scores', 'mean', 'std'}."""
-    return _validate(estimator, stratified_fold_assign(df, "row_id", "label", k, seed), k, scoring, parallelism)
+    return _validate(estimator, checkpointed(stratified_fold_assign(df, "row_id", "label", k, seed)), k, scoring, parallelism)
 
 
 def manual_kfold_metrics(predictions: DataFrame, problem_type: str = "classification", label: str = "label") -> DataFrame:
@@ -85,7 +86,7 @@ def manual_kfold(estimator, df: DataFrame, k: int = 5, problem_type: str = "clas
         folds = stratified_fold_assign(df, "row_id", "label", k, seed)
     else:
         folds = kfold_assign(df, "row_id", k, seed)
-    return manual_kfold_metrics(cv_predictions(estimator, folds, k, parallelism), problem_type)
+    return manual_kfold_metrics(cv_predictions(estimator, checkpointed(folds), k, parallelism), problem_type)
 
 
 def fold_listing(scores: DataFrame, column: str = "cv_scores", model: str = "model") -> DataFrame:

@@ -22,3 +22,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, so that later jobs see one fixed copy of the rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def fan_out(spark: SparkSession) -> int:
+    """Partitions for grouped Python work.
+
+    Such groups are small in bytes but heavy in time; a stated number keeps the adaptive planner from merging them
+    into a few tasks.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -42,7 +42,7 @@ def synthetic_imbalanced(
     """
     keys = ids.select(col(row_id).cast("bigint").alias("row_id"))
     n = keys.count()
-    marked = mark_smallest(keys, ["row_id"], seed, "fraud", -int(-share * n // 1), name="_positive")
+    marked = mark_smallest(keys, ["row_id"], seed, "fraud", -int(-share * n // 1), n, name="_positive")
     label = F.col("_positive").cast("int")
     return marked.select(
         "row_id",
