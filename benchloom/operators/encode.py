@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from benchloom.functions.columns import col, string_columns
 from benchloom.operators.ordering import BROADCAST_ROWS, ROWS_PER_CHUNK, positions
+from benchloom.session import checkpointed
 
 # Fixed value: the text under which a missing category is encoded.
 MISSING_CATEGORY = "nan"
@@ -19,21 +20,29 @@ def category_text(column: str) -> Column:
     return F.coalesce(col(column).cast("string"), F.lit(MISSING_CATEGORY))
 
 
-def category_dictionary(df: DataFrame, column: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """(value, code) for the distinct texts of a column; codes 0, 1, ... in sorted order."""
-    values = df.select(category_text(column).alias("value")).distinct()
-    total = values.count()
-    ranked = positions(values, [], ["value"], "pos", rows_per_chunk, total)
-    out = ranked.select("value", (F.col("pos") - 1).cast("int").alias("code"))
-    return F.broadcast(out) if total <= BROADCAST_ROWS else out
+def category_dictionaries(df: DataFrame, columns: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> dict[str, DataFrame]:
+    """column -> (value, code): codes 0, 1, ... in sorted order of the distinct texts.
+
+    All columns are read in one scan.  A dictionary is broadcast when its counted size is small.
+    """
+    if not columns:
+        return {}
+    items = F.array(*[F.struct(F.lit(c).alias("column"), category_text(c).alias("value")) for c in columns])
+    values = checkpointed(df.select(F.explode(items).alias("r")).select("r.*").distinct())
+    sizes = {r["column"]: r["n"] for r in values.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    ranked = positions(values, ["column"], ["value"], "pos", rows_per_chunk, sum(sizes.values()))
+    if len(columns) > 1:
+        ranked = checkpointed(ranked)
+    out = {}
+    for c in columns:
+        codes = ranked.filter(F.col("column") == c).select("value", (F.col("pos") - 1).cast("int").alias("code"))
+        out[c] = F.broadcast(codes) if sizes.get(c, 0) <= BROADCAST_ROWS else codes
+    return out
 
 
 @dataclass
 class CategoryEncoder:
-    """Dictionaries learned on one table and applied to others by an equi-join.
-
-    A dictionary is broadcast only when its counted size is small; a larger one joins by shuffle.
-    """
+    """Dictionaries learned on one table and applied to others by an equi-join."""
 
     columns: Sequence[str] | None = None
     include_bool: bool = True
@@ -42,7 +51,7 @@ class CategoryEncoder:
 
     def fit(self, train: DataFrame) -> "CategoryEncoder":
         columns = list(self.columns) if self.columns is not None else string_columns(train, self.include_bool)
-        self.dictionaries = {c: category_dictionary(train, c, self.rows_per_chunk) for c in columns}
+        self.dictionaries = category_dictionaries(train, columns, self.rows_per_chunk)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from benchloom.functions.columns import col, real
 
-SMALL_ROWS = 2_000_000
+SMALL_ROWS = 200_000
 BUCKETS = 1024
 FINISH_ROWS = 10_000
 
@@ -97,7 +97,7 @@ def _in_ranges(values: DataFrame, ranges: list[tuple[int, float, float]]) -> Dat
         F.when(F.col(f"v{i}").between(low, high), F.struct(F.lit(g).alias("g"), F.col(f"v{i}").alias("v")))
         for g, (i, low, high) in enumerate(ranges)
     ]
-    return values.select(F.explode(F.array_compact(F.array(*items))).alias("r")).select("r.*")
+    return values.select(F.explode(F.array(*items)).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
 
 
 def _values_inside(values, ranges):

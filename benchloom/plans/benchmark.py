@@ -214,6 +214,8 @@ def prepare_tabular(
     Dictionaries and scaling come from the training rows only.
     """
     features = [c for c in df.columns if c not in (target, row_id)]
+    # counts, dictionaries, scaling and both parts read the table: derive it once
+    df = checkpointed(df)
     train, test = split_data(df, row_id, target, test_size, seed, stratify)
     train, test = encode_target(train, test, target)
     encoder = CategoryEncoder().fit(train.drop(target, row_id))
@@ -267,7 +269,6 @@ def run_benchmark(
     if row_id is None:
         raise ValueError("tabular problems need a row key: pass row_id=...")
     train, test, scaler, features = prepare_tabular(df, target, row_id, kind == "classification", test_size, scale, seed)
-    train, test = checkpointed(train), checkpointed(test)
     if kind == "classification":
         board, predictions = benchmark_classification(train, test, models, threshold, cv_folds, balancing, seed, parallelism)
     else:
