@@ -1,9 +1,10 @@
 """Holt-Winters (triple exponential smoothing) for panels of series.
 
-The recursion reads a series once, in order, and keeps only its state: level, trend and one season.  Tasks
-therefore stream sorted Arrow batches and never hold a series, however long it is.  Candidate parameters are
-evaluated side by side as numpy vectors.  Series of at most ``MAX_SERIES_ROWS`` counted rows are fitted in one
-grouped job; longer ones with one streaming job per refinement round.
+Candidate parameters are evaluated side by side as numpy vectors.  Series of at most ``max_rows`` counted rows are
+one group each.  Longer series are cut into stretches that run at the same time: every stretch starts from a
+guessed state, hands its final state to the next one, and the stretches whose start changed run again until
+nothing changes.  Smoothing forgets its start geometrically, so this takes few passes; and since the first
+stretch is right from the beginning, the result is that of the plain recursion in any case.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ CALIBRATION = (("add", "add"), ("add", "mul"), ("mul", "add"), ("mul", "mul"))
 ROUNDS = 6
 POINTS = 5
 SHRINK = 0.45
+SETTLED = 1e-12  # relative change of a handed-over state that counts as none
 
 
 class Recursion:
@@ -88,6 +90,14 @@ class Recursion:
         self.level, self.slope, self.pos = level, slope, pos
         self.n += len(values)
 
+    def dump(self) -> np.ndarray:
+        return np.concatenate([self.level, self.slope, *self.season])
+
+    def load(self, state: np.ndarray) -> None:
+        """Take over a state; the next value is the first of a season."""
+        level, slope, *season = np.asarray(state, dtype=float).reshape(self.m + 2, -1)
+        self.level, self.slope, self.season, self.pos, self.ready = level, slope, list(season), 0, True
+
     def result(self, i: int) -> dict:
         """State of candidate i; the season starts with the next step's value."""
         season = [float(self.season[(self.pos + j) % self.m][i]) for j in range(self.m)]
@@ -104,6 +114,8 @@ STATE_SCHEMA = (
 
 
 def _candidates(center: Sequence[float], width: float) -> np.ndarray:
+    if width == 0:
+        return np.array([center], dtype=float)
     steps = np.linspace(-width, width, POINTS)
     grid = np.array(list(product(steps, steps, steps))) + np.asarray(center, dtype=float)
     return np.clip(grid, 1e-4, 1.0 - 1e-4)
@@ -133,80 +145,126 @@ def _with_forms(train: DataFrame, forms: Sequence[tuple]) -> DataFrame:
     return train.select("key", F.explode(F.array(*[F.lit(i) for i in range(len(forms))])).alias("config"), "t", "y")
 
 
-def _stream(rows: DataFrame, forms: Sequence[tuple], m: int) -> DataFrame:
-    """Best candidate per (key, config) around the row's own (ca, cb, cg) +- width; width 0 means that point alone."""
+def _search(pdf: pd.DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int) -> dict:
+    """Best state of one series under one configuration, the grid closing in on the best point round by round."""
+    pdf = pdf.sort_values("t")
+    key, form, y = pdf["key"].iloc[0], forms[int(pdf["config"].iloc[0])], pdf["y"].to_numpy()
+    best, run = None, None
+    for _ in range(rounds):
+        run = Recursion(_candidates(center, width), *form, m)
+        run.feed(y)
+        i = _best(run) if run.ready else None
+        if i is None:
+            break
+        if best is None or run.sse[i] < best[0].sse[best[1]]:
+            best = (run, i)
+        b, j = best
+        center, width = [b.a[j], b.b[j], b.g[j]], width * SHRINK
+    return _row(key, *form, *(best if best else (run, None)))
+
+
+def _grouped(train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int) -> DataFrame:
+    rows = _with_forms(train, forms)
+    spread = rows.repartition(fan_out(rows.sparkSession), "key", "config")
+    return spread.groupBy("key", "config").applyInPandas(
+        lambda pdf: _frame([_search(pdf, forms, m, center, width, rounds)]), STATE_SCHEMA
+    )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = None, None
 
-        def close() -> pd.DataFrame:
-            key, config = current
-            return _frame([_row(key, *forms[config], state, _best(state) if state.ready else None)])
+# ------------------------------------------------------------------ long series
 
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = list(zip(pdf["key"], pdf["config"]))
-            cuts = [0] + [i for i in range(1, len(ids)) if ids[i] != ids[i - 1]] + [len(ids)]
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if ids[lo] != current:
-                    if current is not None:
-                        yield close()
-                    current = ids[lo]
-                    c = pdf.iloc[lo]
-                    center, width = [c["ca"], c["cb"], c["cg"]], c["width"]
-                    grid = _candidates(center, width) if width > 0 else np.array([center], dtype=float)
-                    state = Recursion(grid, *forms[current[1]], m)
-                state.feed(pdf["y"].to_numpy()[lo:hi])
-        if current is not None:
-            yield close()
-
-    ordered = rows.repartition(fan_out(rows.sparkSession), "key", "config").sortWithinPartitions("key", "config", "t")
-    return ordered.mapInPandas(run, STATE_SCHEMA)
+PASS_SCHEMA = "key string, config int, chunk bigint, n bigint, sse array<double>, state array<double>"
+_AT = ["key", "config", "chunk"]
 
 
-def holt_winters_fixed(
-    train: DataFrame, alpha: float, beta: float, gamma: float, trend: str | None = "add", seasonal: str | None = "add", m: int = 12
-) -> DataFrame:
-    """Final state per key for given parameters (see STATE_SCHEMA)."""
-    rows = _with_forms(train, [(trend, seasonal)])
-    for name, v in (("ca", alpha), ("cb", beta), ("cg", gamma), ("width", 0.0)):
-        rows = rows.withColumn(name, F.lit(float(v)))
-    return _stream(rows, [(trend, seasonal)], m)
+def _starts(first: DataFrame, forms: Sequence[tuple], m: int, copies: int) -> DataFrame:
+    """(key, config, state): the start values from the first two seasons, for each of ``copies`` candidates."""
 
+    def start(pdf: pd.DataFrame) -> pd.DataFrame:
+        run = Recursion(np.full((copies, 3), 0.5), *forms[int(pdf["config"].iloc[0])], m)
+        run.head = list(pdf.sort_values("t")["y"].to_numpy()[: run.needed])
+        with np.errstate(all="ignore"):
+            run._start()
+        return pd.DataFrame([{"key": pdf["key"].iloc[0], "config": int(pdf["config"].iloc[0]), "state": run.dump()}])
+
+    return first.groupBy("key", "config").applyInPandas(start, "key string, config int, state array<double>")
 
-def fit_states(train: DataFrame, forms: Sequence[tuple], m: int, max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
-    """Fitted state per (key, trend, seasonal): least squared one-step error over alpha, beta, gamma."""
-    forms = list(forms)
-    rows = _with_forms(train, forms)
-    if longest_series(train) <= max_rows:
 
-        def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("t")
-            key, form, y = pdf["key"].iloc[0], forms[int(pdf["config"].iloc[0])], pdf["y"].to_numpy()
-            center, width, best, run = [0.5, 0.5, 0.5], 0.49, None, None
-            for _ in range(ROUNDS):
-                run = Recursion(_candidates(center, width), *form, m)
-                run.feed(y)
-                i = _best(run) if run.ready else None
-                if i is None:
-                    break
-                if best is None or run.sse[i] < best[0].sse[best[1]]:
-                    best = (run, i)
-                b, j = best
-                center, width = [b.a[j], b.b[j], b.g[j]], width * SHRINK
-            return _frame([_row(key, *form, *(best if best else (run, None)))])
-
-        spread = rows.repartition(fan_out(rows.sparkSession), "key", "config")
-        return spread.groupBy("key", "config").applyInPandas(fit, STATE_SCHEMA)
-
-    width, centers, best = 0.49, None, None
-    for _ in range(ROUNDS):
-        if centers is None:
-            tagged = rows.withColumns({"ca": F.lit(0.5), "cb": F.lit(0.5), "cg": F.lit(0.5)})
-        else:
-            tagged = rows.join(centers, ["key", "config"])
-        found = checkpointed(_stream(tagged.withColumn("width", F.lit(width)), forms, m))
+def _one_round(chunked: DataFrame, starts: DataFrame, centers: DataFrame, forms: Sequence[tuple], m: int, width: float) -> DataFrame:
+    """Best candidate around the centers (key, config, ca, cb, cg), the stretches of a series run in parallel."""
+    spark = chunked.sparkSession
+    parts = fan_out(spark)
+
+    def step(pdf: pd.DataFrame, init: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty or init.empty:
+            return pd.DataFrame({c: [] for c in ("key", "config", "chunk", "n", "sse", "state")})
+        at, config = init.iloc[0], int(init["config"].iloc[0])
+        run = Recursion(_candidates([at["ca"], at["cb"], at["cg"]], width), *forms[config], m)
+        run.load(at["state"])
+        with np.errstate(all="ignore"):
+            run._run(pdf.sort_values("t")["y"].to_numpy())
+        return pd.DataFrame([{"key": at["key"], "config": config, "chunk": at["chunk"], "n": run.n, "sse": run.sse, "state": run.dump()}])
+
+    def run_pass(init: DataFrame) -> DataFrame:
+        seeded = init.join(centers, ["key", "config"]).repartition(parts, *_AT)
+        # only rows of stretches that have to run (again) travel
+        rows = chunked.join(init.select(*_AT), _AT, "left_semi").repartition(parts, *_AT)
+        return checkpointed(rows.groupBy(*_AT).cogroup(seeded.groupBy(*_AT)).applyInPandas(step, PASS_SCHEMA))
+
+    last = chunked.groupBy("key", "config").agg(F.max("chunk").alias("last"))
+    init = checkpointed(
+        starts.join(last, ["key", "config"]).select("key", "config", F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("chunk"), "state")
+    )
+    done = run_pass(init)
+    while True:
+        handed = done.select("key", "config", (F.col("chunk") + 1).alias("chunk"), F.col("state").alias("new"))
+        gap = F.zip_with("state", "new", lambda a, b: F.coalesce(F.nanvl(F.abs(a - b) / (1.0 + F.abs(b)), F.lit(0.0)), F.lit(0.0)))
+        moved = init.join(handed, _AT).filter(F.array_max(gap) > SETTLED).select(*_AT, F.col("new").alias("state"))
+        moved = checkpointed(moved)
+        if moved.isEmpty():
+            break
+        init = checkpointed(init.join(moved.select(*_AT), _AT, "left_anti").unionByName(moved))
+        done = checkpointed(done.join(moved.select(*_AT), _AT, "left_anti").unionByName(run_pass(moved)))
+    errors = done.select("key", "config", F.posexplode("sse").alias("i", "e")).groupBy("key", "config", "i").agg(F.sum("e").alias("e"))
+    finite = F.when(~F.isnan("e") & (F.abs("e") < float("inf")), F.col("e")).otherwise(float("inf"))
+    best = errors.groupBy("key", "config").agg(F.min(F.struct(finite.alias("e"), "i")).alias("b"))
+    sizes = done.groupBy("key", "config").agg(F.sum("n").alias("total"), F.max_by("state", "chunk").alias("state"))
+    final = best.join(sizes, ["key", "config"]).join(centers, ["key", "config"])
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.to_dict("records"):
+                trend, seasonal = forms[r["config"]]
+                i, size = r["b"]["i"], m if seasonal else 1
+                base = {"key": r["key"], "trend": trend, "seasonal": seasonal, "error": None}
+                if not np.isfinite(r["b"]["e"]):
+                    yield _frame([{**base, "error": "no parameters give a finite fit"}])
+                    continue
+                level, slope, *season = np.asarray(r["state"], dtype=float).reshape(size + 2, -1)[:, i]
+                alpha, beta, gamma = _candidates([r["ca"], r["cb"], r["cg"]], width)[i]
+                turn = int(r["total"]) % size
+                yield _frame([{
+                    **base, "n": r["total"], "sse": r["b"]["e"], "alpha": alpha, "beta": beta, "gamma": gamma,
+                    "level": level, "slope": slope, "season": season[turn:] + season[:turn],
+                }])
+
+    return checkpointed(final.mapInPandas(finish, STATE_SCHEMA))
+
+
+def _long(train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int, chunk_rows: int) -> DataFrame:
+    length = max(2 * m, chunk_rows - chunk_rows % m)  # whole seasons, so that every stretch starts one
+    numbered = checkpointed(positions(train, ["key"], ["t"], "_pos", chunk_rows))
+    tall = numbered.select(
+        "key", F.explode(F.array(*[F.lit(i) for i in range(len(forms))])).alias("config"),
+        F.floor((F.col("_pos") - 1) / length).alias("chunk"), F.col("_pos").alias("t"), "y",
+    )
+    sizes = numbered.groupBy("key").agg(F.max("_pos").alias("_n"))
+    enough = tall.join(sizes.filter(F.col("_n") >= 2 * m).select("key"), "key", "left_semi")
+    centers = enough.select("key", "config").distinct().withColumns({c: F.lit(float(v)) for c, v in zip(("ca", "cb", "cg"), center)})
+    starts = checkpointed(_starts(enough.filter(F.col("t") <= 2 * m), forms, m, len(_candidates(center, width))))
+    best = None
+    for _ in range(rounds):
+        found = _one_round(enough, starts, centers, forms, m, width)
         both = found if best is None else best.unionByName(found)
         pick = F.min_by(F.struct(*[F.col(c) for c in found.columns]), F.coalesce("sse", F.lit(float("inf"))))
         best = checkpointed(both.groupBy("key", "trend", "seasonal").agg(pick.alias("s")).select("s.*"))
@@ -217,7 +275,31 @@ def fit_states(train: DataFrame, forms: Sequence[tuple], m: int, max_rows: int =
             "key", config.alias("config"), F.col("alpha").alias("ca"), F.col("beta").alias("cb"), F.col("gamma").alias("cg")
         )
         width *= SHRINK
-    return best
+    short = sizes.filter(F.col("_n") < 2 * m).select("key", F.col("_n").alias("n"))
+    pairs = F.array(*[F.struct(F.lit(tr).cast("string").alias("trend"), F.lit(se).cast("string").alias("seasonal")) for tr, se in forms])
+    failed = short.select("key", F.explode(pairs).alias("f"), F.lit(f"needs at least {2 * m} values").alias("error")).select("key", "f.*", "error")
+    return best.unionByName(failed, allowMissingColumns=True)
+
+
+def _states(
+    train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int, max_rows: int
+) -> DataFrame:
+    if longest_series(train) <= max_rows:
+        return _grouped(train, forms, m, center, width, rounds)
+    return _long(train, forms, m, center, width, rounds, max_rows)
+
+
+def holt_winters_fixed(
+    train: DataFrame, alpha: float, beta: float, gamma: float, trend: str | None = "add", seasonal: str | None = "add", m: int = 12,
+    max_rows: int = MAX_SERIES_ROWS,
+) -> DataFrame:
+    """Final state per key for given parameters (see STATE_SCHEMA)."""
+    return _states(train, [(trend, seasonal)], m, [alpha, beta, gamma], 0.0, 1, max_rows)
+
+
+def fit_states(train: DataFrame, forms: Sequence[tuple], m: int, max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+    """Fitted state per (key, trend, seasonal): least squared one-step error over alpha, beta, gamma."""
+    return _states(train, list(forms), m, [0.5, 0.5, 0.5], 0.49, ROUNDS, max_rows)
 
 
 def forecast_states(states: DataFrame, steps: int) -> DataFrame:
