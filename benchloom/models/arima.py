@@ -157,7 +157,7 @@ def _fit_groups(tagged: DataFrame) -> DataFrame:
             row.update(fit_arima(pdf["y"].to_numpy(), order))
         except (ValueError, np.linalg.LinAlgError) as e:
             row["error"] = str(e)
-        return pd.DataFrame([row], columns=names).astype({"n": "Int64"})
+        return pd.DataFrame([{c: row.get(c) for c in names}]).astype({"n": "Int64"})
 
     by = ["key", "p", "d", "q"]
     return tagged.repartition(fan_out(tagged.sparkSession), *by).groupBy(*by).applyInPandas(fit, FIT_SCHEMA)

@@ -137,7 +137,7 @@ def _row(key, trend, seasonal, run: Recursion, i: int | None) -> dict:
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
     names = [f.split()[0] for f in STATE_SCHEMA.split(", ")]
-    return pd.DataFrame(rows, columns=names).astype({"n": "Int64"})
+    return pd.DataFrame([{c: r.get(c) for c in names} for r in rows]).astype({"n": "Int64"})
 
 
 def _with_forms(train: DataFrame, forms: Sequence[tuple]) -> DataFrame:
