@@ -1,11 +1,11 @@
 """Exact k-nearest-neighbour join.
 
-Both sides are put into cells around a few pivot rows (the cell of the nearest pivot), cells are cut into
-blocks of bounded size by a hash of the row id, and block pairs meet through an equi-join on their block
-ids.  The triangle inequality removes cell pairs that cannot hold a neighbour (Lu et al., "Efficient
-Processing of k Nearest Neighbor Joins using MapReduce", PVLDB 2012), so the result is exact while distant
-cells are never compared.  A cell with a third of all rows only has more blocks; each block pair gives at
-most k rows per query, and the last step keeps the best k of them.
+Base rows are put into cells around a few pivot rows (the cell of the nearest pivot).  A query row first visits
+the cells next to it, which gives a bound on its k-th distance; it then visits only the other cells that the
+triangle inequality cannot rule out (after Lu et al., "Efficient Processing of k Nearest Neighbor Joins using
+MapReduce", PVLDB 2012).  The result is exact.  Rows meet by an equi-join on cells that are cut into blocks of
+bounded size by a hash of the row id, so a cell with a third of all rows only has more blocks; each block pair
+gives at most k rows per query, and the last step keeps the best k of them.
 """
 
 from __future__ import annotations
@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from benchloom.functions.columns import col
 from benchloom.functions.hashing import hash_key
+from benchloom.operators.ordering import BROADCAST_ROWS
 from benchloom.session import checkpointed, fan_out
 
 METRICS = ("euclidean", "manhattan", "chebyshev")
 BLOCK_ROWS = 4096
 MIN_BLOCK_ROWS = 512
-MAX_PIVOTS = 64
+MAX_PIVOTS = 256
 
 
 def pairwise(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
@@ -65,7 +66,7 @@ def _nearest(a: np.ndarray, a_id: np.ndarray, b: np.ndarray, b_id: np.ndarray, k
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(dist)
 
 
-def _with_cell(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
+def _locate(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
     """Add the nearest pivot ``cell`` and the distance ``reach`` to it."""
     if len(pivots) == 1:
         # a single cell: its radius is not needed for anything
@@ -73,43 +74,97 @@ def _with_cell(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
 
     @F.pandas_udf("cell int, reach double")
     def locate(vectors: pd.Series) -> pd.DataFrame:
-        if len(vectors) == 0:
-            return pd.DataFrame({"cell": np.array([], np.int32), "reach": np.array([], float)})
-        x = np.stack(vectors.to_numpy()).astype(float)
-        cell, reach = np.empty(len(x), np.int32), np.empty(len(x))
-        step = max(1, 4_000_000 // pivots.size)
-        for at in range(0, len(x), step):
-            d = pairwise(x[at : at + step], pivots, metric)
-            cell[at : at + step] = d.argmin(axis=1)
-            reach[at : at + step] = d.min(axis=1)
-        return pd.DataFrame({"cell": cell, "reach": reach})
+        found = [pd.DataFrame({"cell": d.argmin(axis=1).astype(np.int32), "reach": d.min(axis=1)}) for d in _to_pivots(vectors, pivots, metric)]
+        return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"cell": np.array([], np.int32), "reach": np.array([])})
 
     return df.withColumn("_l", locate("vec")).withColumn("cell", F.col("_l.cell")).withColumn("reach", F.col("_l.reach")).drop("_l")
 
 
-def _cell_stats(df: DataFrame) -> pd.DataFrame:
-    """Rows, least and largest reach per (group, cell): at most groups x pivots rows."""
-    return df.groupBy("grp", "cell").agg(F.count("*").alias("n"), F.min("reach").alias("lo"), F.max("reach").alias("hi")).toPandas()
+def _to_pivots(vectors: pd.Series, pivots: np.ndarray, metric: str):
+    """Distances to all pivots, a bounded number of rows at a time."""
+    step = max(1, 4_000_000 // pivots.size)
+    for at in range(0, len(vectors), step):
+        yield pairwise(np.stack(vectors.iloc[at : at + step].to_numpy()).astype(float), pivots, metric)
+
+
+class _Cells:
+    """Rows, least and largest reach of every cell, per group: at most groups x pivots numbers."""
+
+    def __init__(self, base: DataFrame, pivots: np.ndarray, metric: str, need: int):
+        self.pivots, self.metric, self.need = pivots, metric, need
+        rows = base.groupBy("grp", "cell").agg(F.count("*").alias("n"), F.min("reach").alias("lo"), F.max("reach").alias("hi")).collect()
+        self.stats: dict[str, np.ndarray] = {}
+        for r in rows:
+            self.stats.setdefault(r.grp, np.tile([[0.0], [np.inf], [-np.inf]], len(pivots)))[:, r.cell] = (r.n, r.lo, r.hi)
+
+    def first(self, d: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Mask of the nearest cells that together hold enough rows."""
+        order = np.argsort(d, axis=1, kind="stable")
+        before = np.cumsum(n[order], axis=1) - n[order]
+        mask = np.zeros(d.shape, dtype=bool)
+        np.put_along_axis(mask, order, before < self.need, axis=1)
+        return mask & (n > 0)
+
+    def choose(self, vectors: pd.Series, groups: pd.Series, bounds: pd.Series | None) -> pd.Series:
+        """Cells to visit: the nearest ones without bounds, the remaining possible ones with bounds on the k-th distance."""
+        out: list = []
+        at = 0
+        for d in _to_pivots(vectors, self.pivots, self.metric):
+            part = groups.iloc[at : at + len(d)].to_numpy()
+            limit = bounds.iloc[at : at + len(d)].fillna(np.inf).to_numpy() if bounds is not None else None
+            chosen = np.zeros(d.shape, dtype=bool)
+            for g in set(part) & set(self.stats):
+                rows = part == g
+                n, lo, hi = self.stats[g]
+                mask = self.first(d[rows], n)
+                if limit is not None:
+                    least = np.maximum(d[rows] - hi, lo - d[rows])
+                    mask = ~mask & (n > 0) & (least <= (limit[rows] * (1 + 1e-9) + 1e-9)[:, None])
+                chosen[rows] = mask
+            out += [np.nonzero(row)[0].astype(np.int32) for row in chosen]
+            at += len(d)
+        return pd.Series(out, dtype=object)
+
+
+def _visit(q: DataFrame, b: DataFrame, cells: _Cells, k: int, payload: list[str], exclude_self: bool, block_rows: int) -> DataFrame:
+    """Top k per query row and block among the rows of the cells in the query's list ``cells``."""
+    spark = q.sparkSession
+    wanted = q.select("qid", "vec", "grp", F.explode("cells").alias("cell"))
+    blocks = lambda n: -(-int(n) // block_rows)
+    table = [
+        (r.grp, r.cell, blocks(r.n), blocks(cells.stats[r.grp][0, r.cell]))
+        for r in wanted.groupBy("grp", "cell").agg(F.count("*").alias("n")).collect()
+    ]
+    sizes = spark.createDataFrame(table, "grp string, cell int, qsplits int, bsplits int")
+    if len(table) <= BROADCAST_ROWS:
+        sizes = F.broadcast(sizes)
+    by = ["grp", "cell", "qblock", "bblock"]
+    q_rows = wanted.join(sizes, ["grp", "cell"]).select(
+        "grp", "cell", F.pmod(F.xxhash64("qid"), F.col("qsplits")).cast("int").alias("qblock"),
+        F.explode(F.sequence(F.lit(0), F.col("bsplits") - 1)).alias("bblock"), "qid", "vec",
+    )
+    b_rows = b.join(sizes, ["grp", "cell"]).select(
+        "grp", "cell", F.explode(F.sequence(F.lit(0), F.col("qsplits") - 1)).alias("qblock"),
+        F.pmod(F.xxhash64("bid"), F.col("bsplits")).cast("int").alias("bblock"), "bid", "vec", *payload,
+    )
+    schema = "qid bigint, neighbor_id bigint, distance double" + "".join(f", `{p}` double" for p in payload)
+    metric = cells.metric
 
+    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({c: [] for c in ["qid", "neighbor_id", "distance", *payload]})
+        a, c = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
+        bid = right["bid"].to_numpy()
+        r, j, d = _nearest(a, left["qid"].to_numpy(), c, bid, k, metric, exclude_self)
+        out = pd.DataFrame({"qid": left["qid"].to_numpy()[r], "neighbor_id": bid[j], "distance": d})
+        for p in payload:
+            out[p] = right[p].to_numpy()[j]
+        return out
 
-def _cell_pairs(qs: pd.DataFrame, bs: pd.DataFrame, pivots: np.ndarray, k: int, metric: str) -> list[tuple]:
-    """The (group, query cell, base cell) pairs that may hold one of the k nearest rows."""
-    between = pairwise(pivots, pivots, metric)
-    slack = 1e-9
-    out = []
-    for grp, q_cells in qs.groupby("grp"):
-        b_cells = bs[bs["grp"] == grp]
-        for qc in q_cells.itertuples():
-            d = between[qc.cell, b_cells["cell"].to_numpy()]
-            n, lo, hi = b_cells["n"].to_numpy(), b_cells["lo"].to_numpy(), b_cells["hi"].to_numpy()
-            far = d + qc.hi + hi
-            order = np.argsort(far, kind="stable")
-            enough = np.searchsorted(np.cumsum(n[order]), k)
-            bound = far[order[enough]] if enough < len(order) else np.inf
-            near = np.maximum(d - qc.hi - hi, np.maximum(lo - d - qc.hi, qc.lo - d - hi))
-            for j in np.nonzero(near <= bound * (1 + slack) + slack)[0]:
-                out.append((grp, int(qc.cell), int(b_cells["cell"].iloc[j])))
-    return out
+    n = fan_out(spark)
+    near = q_rows.repartition(n, *by).groupBy(*by).cogroup(b_rows.repartition(n, *by).groupBy(*by)).applyInPandas(block, schema)
+    w = Window.partitionBy("qid").orderBy("distance", "neighbor_id")
+    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def knn_join(
@@ -150,52 +205,29 @@ def knn_join(
     if not found:
         raise ValueError("the base side has no rows")
     pivot_array = np.unique(np.array([r.vec for r in found], dtype=float), axis=0)
-
-    q, b = _with_cell(q, pivot_array, metric), _with_cell(b, pivot_array, metric)
-    q_stats, b_stats = _cell_stats(q), _cell_stats(b)
-    pairs = _cell_pairs(q_stats, b_stats, pivot_array, k + int(exclude_self), metric)
-    splits = lambda st: {(r.grp, r.cell): -(-int(r.n) // block_rows) for r in st.itertuples()}
-    q_split, b_split = splits(q_stats), splits(b_stats)
-    table = spark.createDataFrame(
-        [(g, qc, bc, q_split[(g, qc)], b_split[(g, bc)]) for g, qc, bc in pairs] or [("", -1, -1, 1, 1)],
-        "grp string, qcell int, bcell int, qsplits int, bsplits int",
-    )
-    # the pair table has at most groups x pivots^2 rows; only rows of its own cells meet a block
-    q_to = table.groupBy("grp", F.col("qcell").alias("cell"), "qsplits").agg(F.collect_list(F.struct("bcell", "bsplits")).alias("to"))
-    b_to = table.groupBy("grp", F.col("bcell").alias("cell"), "bsplits").agg(F.collect_list(F.struct("qcell", "qsplits")).alias("to"))
-    q_rows = (
-        q.join(F.broadcast(q_to) if len(pairs) <= 100_000 else q_to, ["grp", "cell"])
-        .withColumn("qblock", F.pmod(F.xxhash64("qid"), F.col("qsplits")).cast("int"))
-        .withColumn("t", F.explode("to"))
-        .withColumn("bblock", F.explode(F.sequence(F.lit(0), F.col("t.bsplits") - 1)))
-        .select("grp", F.col("cell").alias("qcell"), "qblock", F.col("t.bcell").alias("bcell"), "bblock", "qid", "vec")
-    )
-    b_rows = (
-        b.join(F.broadcast(b_to) if len(pairs) <= 100_000 else b_to, ["grp", "cell"])
-        .withColumn("bblock", F.pmod(F.xxhash64("bid"), F.col("bsplits")).cast("int"))
-        .withColumn("t", F.explode("to"))
-        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("t.qsplits") - 1)))
-        .select("grp", F.col("t.qcell").alias("qcell"), "qblock", F.col("cell").alias("bcell"), "bblock", "bid", "vec", *payload)
-    )
     payload = list(payload)
-    schema = "qid bigint, neighbor_id bigint, distance double" + "".join(f", `{p}` double" for p in payload)
-
-    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in ["qid", "neighbor_id", "distance", *payload]})
-        a, c = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-        bid = right["bid"].to_numpy()
-        r, j, d = _nearest(a, left["qid"].to_numpy(), c, bid, k, metric, exclude_self)
-        out = pd.DataFrame({"qid": left["qid"].to_numpy()[r], "neighbor_id": bid[j], "distance": d})
-        for p in payload:
-            out[p] = right[p].to_numpy()[j]
-        return out
-
-    by = ["grp", "qcell", "qblock", "bcell", "bblock"]
-    n = fan_out(spark)
-    near = q_rows.repartition(n, *by).groupBy(*by).cogroup(b_rows.repartition(n, *by).groupBy(*by)).applyInPandas(block, schema)
-    w = Window.partitionBy("qid").orderBy("distance", "neighbor_id")
-    best = near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    b = _locate(b, pivot_array, metric)
+    cells = _Cells(b, pivot_array, metric, k + int(exclude_self))
+    if len(pivot_array) == 1:
+        single = q.withColumn("cells", F.array(F.lit(0))).filter(F.col("grp").isin(list(cells.stats)))
+        best = _visit(single, b, cells, k, payload, exclude_self, block_rows)
+    else:
+
+        @F.pandas_udf("array<int>")
+        def nearest(vectors: pd.Series, groups: pd.Series) -> pd.Series:
+            return cells.choose(vectors, groups, None)
+
+        @F.pandas_udf("array<int>")
+        def others(vectors: pd.Series, groups: pd.Series, bounds: pd.Series) -> pd.Series:
+            return cells.choose(vectors, groups, bounds)
+
+        near = checkpointed(_visit(checkpointed(q.withColumn("cells", nearest("vec", "grp"))), b, cells, k, payload, exclude_self, block_rows))
+        # with k rows found, the k-th distance bounds what is still worth visiting
+        bound = near.groupBy("qid").agg(F.when(F.count("*") >= k, F.max("distance")).alias("bound"))
+        rest = checkpointed(q.join(bound, "qid", "left").withColumn("cells", others("vec", "grp", "bound")))
+        more = _visit(rest, b, cells, k, payload, exclude_self, block_rows)
+        w = Window.partitionBy("qid").orderBy("distance", "neighbor_id")
+        best = near.unionByName(more).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return best.select(F.col("qid").alias("query_id"), "neighbor_id", "distance", "rank", *payload)
 
 

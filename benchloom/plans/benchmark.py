@@ -7,10 +7,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from benchloom.functions.columns import numeric_columns
-from benchloom.models.base import assemble, predict_classification
+from benchloom.models.base import VECTOR, assemble, predict_classification, with_vector
 from benchloom.models.panel import panel
 from benchloom.models.registry import get_classification_models, get_regression_models
 from benchloom.models.series_registry import get_timeseries_models
@@ -99,11 +101,13 @@ def benchmark_classification(
     parallelism: int = 2,
     legacy_auc_default: bool = False,
     balance_inside_fold: bool = False,
+    scale_inside_fold: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(leaderboard by AUC, predictions).  Tables hold row_id, label, features; labels are 0 and 1.
 
     Cross-validation runs on the unbalanced training rows, as established users of this benchmark expect.
-    ``balance_inside_fold`` rebalances the training part of every fold instead.
+    ``balance_inside_fold`` rebalances the training part of every fold instead, ``scale_inside_fold`` standardises
+    every fold with the statistics of its own training part.
     """
     models = models if models is not None else get_classification_models(seed)
     classes = [r[0] for r in train.select("label").distinct().limit(3).collect()]
@@ -121,6 +125,7 @@ def benchmark_classification(
 
         def validate(estimator) -> dict:
             wrapped = _Balanced(estimator, balancing, seed) if balance_inside_fold else estimator
+            wrapped = _Standardized(wrapped) if scale_inside_fold else wrapped
             return _validate(wrapped, folds, cv_folds, "roc_auc", parallelism)
 
         parts, cv, failed = _run_models(models, predict, validate)
@@ -148,8 +153,41 @@ class _Balanced:
         return self.estimator.fit(apply_balancing(df.select("row_id", "label", "features"), self.technique, "label", self.seed))
 
 
+class _Standardized:
+    """Standardises with the statistics of whatever it is fitted on."""
+
+    def __init__(self, estimator):
+        self.estimator = estimator
+
+    def fit(self, df: DataFrame):
+        stats = with_vector(df).agg(Summarizer.metrics("mean", "variance", "count").summary(F.col(VECTOR)).alias("s")).first()["s"]
+        n = stats["count"]
+        dev = np.sqrt(stats["variance"].toArray() * (n - 1) / n)
+        mean, dev = F.array(*[F.lit(float(m)) for m in stats["mean"]]), F.array(*[F.lit(float(d) or 1.0) for d in dev])
+
+        def scaled(rows: DataFrame) -> DataFrame:
+            centred = F.zip_with("features", mean, lambda x, m: x - m)
+            return rows.withColumn("features", F.zip_with(centred, dev, lambda x, d: x / d))
+
+        return _StandardizedModel(self.estimator.fit(scaled(df)), scaled)
+
+
+class _StandardizedModel:
+    def __init__(self, model, scaled):
+        self.model, self.scaled = model, scaled
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.scaled(df))
+
+
 def benchmark_regression(
-    train: DataFrame, test: DataFrame, models: Mapping[str, Any] | None = None, cv_folds: int = 5, seed: int = 42, parallelism: int = 2
+    train: DataFrame,
+    test: DataFrame,
+    models: Mapping[str, Any] | None = None,
+    cv_folds: int = 5,
+    seed: int = 42,
+    parallelism: int = 2,
+    scale_inside_fold: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(leaderboard by R2, predictions)."""
     models = models if models is not None else get_regression_models(seed)
@@ -159,7 +197,7 @@ def benchmark_regression(
         parts, cv, failed = _run_models(
             models,
             lambda e: e.fit(train).transform(test).select("row_id", "label", "prediction"),
-            lambda e: _validate(e, folds, cv_folds, "r2", parallelism),
+            lambda e: _validate(_Standardized(e) if scale_inside_fold else e, folds, cv_folds, "r2", parallelism),
         )
         predictions = _union(parts)
         rows = failed
@@ -245,6 +283,7 @@ def run_benchmark(
     t: str | None = None,
     keys: Sequence[str] = (),
     parallelism: int = 2,
+    scale_inside_fold: bool = False,
 ) -> BenchmarkResult:
     """One call for all problem types.
 
@@ -270,7 +309,7 @@ def run_benchmark(
         raise ValueError("tabular problems need a row key: pass row_id=...")
     train, test, scaler, features = prepare_tabular(df, target, row_id, kind == "classification", test_size, scale, seed)
     if kind == "classification":
-        board, predictions = benchmark_classification(train, test, models, threshold, cv_folds, balancing, seed, parallelism)
+        board, predictions = benchmark_classification(train, test, models, threshold, cv_folds, balancing, seed, parallelism, scale_inside_fold=scale_inside_fold)
     else:
-        board, predictions = benchmark_regression(train, test, models, cv_folds, seed, parallelism)
+        board, predictions = benchmark_regression(train, test, models, cv_folds, seed, parallelism, scale_inside_fold)
     return BenchmarkResult(kind, board, predictions, train, test, scaler, features)

@@ -191,11 +191,11 @@ def correlation_matrix(spark, sf):
     return rounded(profile.correlation_matrix(load(spark, sf, "part")), PART_NUMBERS)
 
 
-def _hist_sql(table: str, cols: list[str]) -> str:
+def _hist_sql(table: str, cols: list[str], digits: int = 6) -> str:
     parts = []
     for c in cols:
         parts.append(
-            f"SELECT '{c}' AS \"column\", g.bin::INTEGER AS bin, round(a + g.bin * (b - a) / 30, 6) AS lo, round(a + (g.bin + 1) * (b - a) / 30, 6) AS hi, "
+            f"SELECT '{c}' AS \"column\", g.bin::INTEGER AS bin, round(a + g.bin * (b - a) / 30, {digits}) AS lo, round(a + (g.bin + 1) * (b - a) / 30, {digits}) AS hi, "
             f"coalesce(h.n, 0)::BIGINT AS n, round(coalesce(h.n, 0)::DOUBLE / (total * ((b - a) / 30)), 6) AS density "
             f"FROM (SELECT unnest(range(30)) AS bin) g CROSS JOIN (SELECT min({c})::DOUBLE AS a, max({c})::DOUBLE AS b, count({c}) AS total FROM {table} t) m "
             f"LEFT JOIN (SELECT least(floor(({c}::DOUBLE - a) / (b - a) * 30), 29)::INTEGER AS bin, count(*) AS n FROM {table} t, "
@@ -227,11 +227,11 @@ def kde_grid(spark, sf):
 
 @query(
     "histogram_kde",
-    f"SELECT \"column\", 'bar' AS kind, bin AS i, round((lo + hi) / 2, 4) AS x, density AS y FROM ({_hist_sql('events', ['value'])}) h "
-    f"UNION ALL SELECT \"column\", 'curve' AS kind, i, round(x, 4) AS x, round(density, 6) AS y FROM ({_kde_sql('events', 'value', True)}) k",
+    f"SELECT \"column\", 'bar' AS kind, bin AS i, round((lo + hi) / 2, 6) AS x, density AS y FROM ({_hist_sql('events', ['value'], 12)}) h "
+    f"UNION ALL SELECT \"column\", 'curve' AS kind, i, x, round(density, 6) AS y FROM ({_kde_sql('events', 'value', True)}) k",
 )
 def histogram_kde(spark, sf):
-    return rounded(rounded(dist.histogram_with_kde(load(spark, sf, "events"), ["value"]), ["x"], 4), ["y"])
+    return rounded(dist.histogram_with_kde(load(spark, sf, "events"), ["value"]), ["x", "y"])
 
 
 def _box_sql(table: str, c: str) -> str:

@@ -32,7 +32,7 @@ def test_classification(spark):
 
 def test_regression_and_multiclass(spark):
     df = spark.range(400).withColumn("x", F.col("id") % 17).withColumn("z", F.col("id") % 3).withColumn("y", F.col("x") * 2.0 + F.col("id") % 5)
-    run = run_benchmark("regression", df, "y", "id", models={"ridge": registry.ridge(), "bad": Broken()}, cv_folds=3)
+    run = run_benchmark("regression", df, "y", "id", models={"ridge": registry.ridge(), "bad": Broken()}, cv_folds=3, scale_inside_fold=True)
     first, second = run.results.collect()
     assert first.model == "ridge" and first.r2 > 0.95 and second.error
     with pytest.raises(ValueError):
