@@ -83,6 +83,23 @@ def threshold_sweep(
     )
 
 
+def best_of_sweep(sweep: DataFrame, metrics: Sequence[str] = METRICS, by: Sequence[str] = ()) -> DataFrame:
+    """(by, metric, threshold, score): the best threshold for each metric, the lowest among equals; 0.5 when every score is 0."""
+    unknown = [m for m in metrics if m not in METRICS]
+    if unknown:
+        raise ValueError(f"unknown metric {unknown[0]!r}; use one of {', '.join(METRICS)}")
+    keys = [col(b) for b in by]
+    best = sweep.groupBy(*keys).agg(
+        *[F.max(F.struct(F.col(m).alias("score"), (-F.col("threshold")).alias("neg"))).alias(f"_{m}") for m in metrics]
+    )
+    items = []
+    for m in metrics:
+        score = F.coalesce(F.col(f"_{m}.score"), F.lit(0.0))
+        threshold = F.when(score > 0, -F.col(f"_{m}.neg")).otherwise(0.5)
+        items.append(F.struct(F.lit(m).alias("metric"), threshold.alias("threshold"), score.alias("score")))
+    return best.select(*keys, F.explode(F.array(*items)).alias("r")).select(*keys, "r.*")
+
+
 def optimize_threshold(
     df: DataFrame,
     label: str = "label",
@@ -91,16 +108,8 @@ def optimize_threshold(
     thresholds: Sequence[float] | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """(by, threshold, score): the best threshold, the lowest among equals; 0.5 when every score is 0."""
+    """(by, threshold, score) for one metric, searched on the grid 0.01 ... 0.99 unless given."""
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; use one of {', '.join(METRICS)}")
     sweep = threshold_sweep(df, label, prob, thresholds if thresholds is not None else search_grid(), by)
-    best = sweep.groupBy(*[col(b) for b in by]).agg(
-        F.max(F.struct(F.col(metric).alias("score"), (-F.col("threshold")).alias("neg"))).alias("b")
-    )
-    score = F.coalesce(F.col("b.score"), F.lit(0.0))
-    return best.select(
-        *[col(b) for b in by],
-        F.when(score > 0, -F.col("b.neg")).otherwise(0.5).alias("threshold"),
-        score.alias("score"),
-    )
+    return best_of_sweep(sweep, [metric], by).drop("metric")

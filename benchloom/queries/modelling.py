@@ -8,10 +8,12 @@ from benchloom.models import registry
 from benchloom.models.base import assemble, predict_classification
 from benchloom.models.knn import KNNClassifier, KNNRegressor
 from benchloom.models.naive_bayes import GaussianNB
+from benchloom.models.panel import Baseline, drift_forecast, naive_forecast, seasonal_naive_forecast
 from benchloom.operators.split import kfold_assign, split_data
 from benchloom.operators.validate import cv_predictions, fold_scores, stratified_kfold, kfold_validation
 from benchloom.plans.benchmark import run_benchmark
 from benchloom.queries.catalog import EMBEDDED_SQL, embedded, labelled_documents, load, monthly_orders, query, rounded, sql_plain_split, sql_split
+from benchloom.queries.preparation import TIME_SPLIT_SQL
 
 
 def _split_embedded(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -173,3 +175,40 @@ def bench_timeseries(spark, sf):
 
     models = build_timeseries_models(["Holt-Winters", "ARIMA(1,1,1)", "LSTM"], seasonal_periods=12)
     return run_benchmark("timeseries", monthly_orders(spark, sf), "y", t="t", keys=["key"], models=models).results
+
+
+BENCH_RIDGE_SQL = f"""WITH {sql_plain_split('(SELECT event_id AS row_id, user_id::DOUBLE AS x, value AS label FROM events)', 'row_id')},
+sc AS (SELECT avg(x) AS m, stddev_pop(x) AS s FROM parts WHERE split = 'train'),
+z AS (SELECT row_id, label, split, (x - m) / s AS x FROM parts, sc),
+f AS (SELECT covar_pop(x, label) * count(*) / (var_pop(x) * count(*) + 1) AS w, avg(x) AS mx, avg(label) AS my FROM z WHERE split = 'train'),
+e AS (SELECT label, label - my - w * (x - mx) AS e FROM z, f WHERE split = 'test'),
+fo AS (SELECT x, label, (row_number() OVER (ORDER BY md5('42|fold|' || row_id), row_id) - 1) % 5 AS fold FROM z WHERE split = 'train'),
+ff AS (SELECT k.fold, covar_pop(x, label) * count(*) / (var_pop(x) * count(*) + 1) AS w, avg(x) AS mx, avg(label) AS my
+       FROM fo JOIN (SELECT DISTINCT fold FROM fo) k ON fo.fold <> k.fold GROUP BY 1),
+sco AS (SELECT fold, 1 - avg(pow(label - my - w * (x - mx), 2)) / var_pop(label) AS score FROM fo JOIN ff USING (fold) GROUP BY 1)
+SELECT 'Ridge Regression' AS model, round(avg(e * e), 4) AS mse, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
+round(1 - avg(e * e) / var_pop(label), 6) AS r2, (SELECT round(avg(score), 6) FROM sco) AS cv_mean, (SELECT round(stddev_pop(score), 6) FROM sco) AS cv_std FROM e"""
+
+
+@query("bench_ridge", BENCH_RIDGE_SQL)
+def bench_ridge(spark, sf):
+    events = load(spark, sf, "events").select("event_id", "user_id", "value")
+    models = registry.build_models("regression", ["Ridge Regression"])
+    board = run_benchmark("regression", events, "value", "event_id", models=models).results.drop("cv_scores", "error")
+    return rounded(rounded(board, ["rmse", "mae", "r2", "cv_mean", "cv_std"]), ["mse"], 4)
+
+
+BENCH_BASELINES_SQL = f"""WITH {TIME_SPLIT_SQL}, tr AS (SELECT key, t, y, row_number() OVER (PARTITION BY key ORDER BY t DESC) AS r FROM p WHERE split = 'train'),
+te AS (SELECT key, y, row_number() OVER (PARTITION BY key ORDER BY t) AS step FROM p WHERE split = 'test'),
+en AS (SELECT key, arg_max(y, t) AS b, arg_min(y, t) AS a, count(*) AS n FROM tr GROUP BY 1),
+g AS (SELECT 'naive' AS model, y, b AS yhat FROM te JOIN en USING (key) UNION ALL SELECT 'drift', y, b + step * (b - a) / (n - 1) FROM te JOIN en USING (key)
+      UNION ALL SELECT 'seasonal', te.y, tr.y FROM te JOIN tr ON te.key = tr.key AND tr.r = 12 - (te.step - 1) % 12)
+SELECT model, round(avg(pow(y - yhat, 2)), 6) AS mse, round(sqrt(avg(pow(y - yhat, 2))), 6) AS rmse, round(avg(abs(y - yhat)), 6) AS mae,
+round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 6) AS mape FROM g GROUP BY 1"""
+
+
+@query("bench_baselines", BENCH_BASELINES_SQL)
+def bench_baselines(spark, sf):
+    models = {"naive": Baseline(naive_forecast), "seasonal": Baseline(seasonal_naive_forecast, m=12), "drift": Baseline(drift_forecast)}
+    board = run_benchmark("timeseries", monthly_orders(spark, sf), "y", t="t", keys=["key"], models=models).results.drop("error")
+    return rounded(board, ["mse", "rmse", "mae", "mape"])

@@ -108,11 +108,8 @@ def threshold_search(spark, sf):
     ),
 )
 def optimal_threshold(spark, sf):
-    scored, out = scored_documents(spark, sf), None
-    for m in threshold.METRICS:
-        part = threshold.optimize_threshold(scored, metric=m).select(F.lit(m).alias("metric"), "threshold", "score")
-        out = part if out is None else out.unionByName(part)
-    return rounded(out, ["score"])
+    sweep = threshold.threshold_sweep(scored_documents(spark, sf), thresholds=threshold.search_grid())
+    return rounded(threshold.best_of_sweep(sweep), ["score"])
 
 
 FOLDED_SQL = (
