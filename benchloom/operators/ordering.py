@@ -47,26 +47,27 @@ def _with_hash(df: DataFrame, ids: Sequence[str], seed: int, purpose: str) -> Da
     return out.withColumn("_b", F.substring("_h", 1, HASH_PREFIX))
 
 
-def _bucket_offsets(hashed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows per (group, bucket) and rows in the group's earlier buckets; at most 65,536 rows per group."""
-    counts = hashed.groupBy(*[col(b) for b in by], "_b").agg(F.count("*").alias("_n"))
-    if not by:
-        w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    else:
-        w = Window.partitionBy(*[col(b) for b in by]).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+def _group_text(keys: Sequence[str]) -> Column:
+    """The group as one non-null text: windows and joins on it share a partitioning, null-safe joins would not."""
+    return F.concat_ws("\u0001", *[F.coalesce(col(k).cast("string"), F.lit("\u0000")) for k in keys])
 
 
 def hash_rank(
     df: DataFrame, ids: Sequence[str], seed: int, purpose: str, by: Sequence[str] = (), name: str = "rank"
 ) -> DataFrame:
-    """Dense 1-based rank by (hash, ids) within each group of ``by``."""
-    hashed = _with_hash(df, ids, seed, purpose)
-    offsets = _bucket_offsets(hashed, by).drop("_n")
-    w = Window.partitionBy(*[col(b) for b in by], "_b").orderBy("_h", *[col(i) for i in ids])
-    ranked = hashed.withColumn("_rn", F.row_number().over(w))
-    out = _same(ranked, offsets, [*by, "_b"], "inner")
-    return out.withColumn(name, F.col("_rn") + F.col("_before")).drop("_h", "_b", "_rn", "_before")
+    """Dense 1-based rank by (hash, ids) within each group of ``by``.
+
+    The rows are shuffled once, by group and hash bucket; the offsets of the buckets (65,536 rows per group) come to them.
+    """
+    hashed = _with_hash(df, ids, seed, purpose).withColumn("_g", _group_text(by))
+    counts = hashed.groupBy("_g", "_b").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_g", "_b", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    if not by:
+        offsets = F.broadcast(offsets)  # one group: at most 65,536 rows
+    inside = Window.partitionBy("_g", "_b").orderBy("_h", *[col(i) for i in ids])
+    out = hashed.withColumn("_rn", F.row_number().over(inside)).join(offsets, ["_g", "_b"])
+    return out.withColumn(name, F.col("_rn") + F.col("_before")).select(*[col(c) for c in df.columns], name)
 
 
 def _quota_state(df: DataFrame, by: str, state: Mapping) -> DataFrame:
@@ -196,7 +197,8 @@ def ordered_scan(
     """
     sums = dict(sums or {})
     chunked, n_chunks = order_chunks(df, [*keys, *order], rows_per_chunk, total)
-    w = Window.partitionBy("_chunk", *[col(k) for k in keys]).orderBy(*[col(o) for o in order])
+    chunked = chunked.withColumn("_g", _group_text(keys))
+    w = Window.partitionBy("_chunk", "_g").orderBy(*[col(o) for o in order])
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     out = chunked.select(
         *[col(c) for c in chunked.columns],
@@ -208,16 +210,16 @@ def ordered_scan(
         if lead:
             first = F.min_by(F.struct(*[col(c) for c in lead]), F.struct(*[col(o) for o in order]))
             aggs.append(first.alias("_first"))
-        per_chunk = chunked.groupBy("_chunk", *[col(k) for k in keys]).agg(*aggs)
-        cw = Window.partitionBy(*[col(k) for k in keys]).orderBy("_chunk")
+        per_chunk = chunked.groupBy("_chunk", "_g").agg(*aggs)
+        cw = Window.partitionBy("_g").orderBy("_chunk")
         prior = cw.rowsBetween(Window.unboundedPreceding, -1)
         offsets = per_chunk.select(
             "_chunk",
-            *[col(k) for k in keys],
+            "_g",
             *[F.coalesce(F.sum(f"_tot_{n}").over(prior), F.lit(0)).alias(f"_off_{n}") for n in sums],
             *([F.lead("_first").over(cw).alias("_next_first")] if lead else []),
         )
-        out = _same(out, offsets, ["_chunk", *keys], "inner")
+        out = out.join(offsets, ["_chunk", "_g"])
         for n in sums:
             out = out.withColumn(f"_run_{n}", F.col(f"_run_{n}") + F.col(f"_off_{n}")).drop(f"_off_{n}")
         if lead:
@@ -226,7 +228,8 @@ def ordered_scan(
         out = out.withColumnRenamed(f"_run_{n}", n)
     for c in lead:
         out = out.withColumn(f"next_{c}", F.col("_lead").getField(c))
-    return out.drop("_chunk", "_lead")
+    names = [c for c in df.columns if c not in sums]
+    return out.select(*[col(c) for c in names], *sums, *[f"next_{c}" for c in lead])
 
 
 def positions(

@@ -30,7 +30,7 @@ def cv_predictions(estimator, folds: DataFrame, k: int, parallelism: int = 2, ke
         return model.transform(held_out).select(*[col(c) for c in keep], "prediction", "prob")
 
     with ThreadPool(max(1, parallelism)) as pool:
-        parts = pool.map(inheritable_thread_target(one), range(k))
+        parts = pool.map(inheritable_thread_target(folds.sparkSession)(one), range(k))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
