@@ -9,8 +9,8 @@ A gram seen in training has one ratio; for any other gram the shared back-off ca
 held-back masses of its context. Two tables with `2 ** bits` cells therefore hold all that scoring needs, whatever the
 size of the data.
 
-A document is judged by length-normalised ratios: the mean over all its words, and the best mean over stretches of 1, 4
-and 16 consecutive words anywhere in the text. A logistic curve fitted on labelled rows that the counts have not seen
+A document is judged by length-normalised ratios: the means over all its words of the ratios and of their positive and
+clearly positive parts, and the best mean over stretches of 1, 4, 16 and 64 consecutive words anywhere in the text. A logistic curve fitted on labelled rows that the counts have not seen
 turns them into a score from 0 to 1. Labels, language, source and id are never inputs of a score.
 
 Training reads a bounded sample of labelled rows, whole texts: the first `max_rows` of each class in the order of a hash
@@ -35,7 +35,9 @@ from benchloom.llm.common import add_columns, pieces, quoted
 
 ORDER = 6
 DISCOUNT = 0.75
-STRETCHES = (1, 4, 16)
+STRETCHES = (1, 4, 16, 64)
+CLEAR = 2.0
+FEATURES = 3 + len(STRETCHES)
 WORDS = re.compile(r"[^\W_]+")
 K = np.uint64(0x9E3779B97F4A7C15)
 START, END = "\x01" * (ORDER - 1), "\x02"
@@ -86,7 +88,7 @@ class Ratios:
         index = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(per_text)))}
         by_word = self.of_words(list(index))
         counts = np.array([len(w) for w in per_text], dtype=np.int64)
-        out = np.zeros((len(texts), 1 + len(STRETCHES)))
+        out = np.zeros((len(texts), FEATURES))
         if not index:
             return out
         seq = by_word[np.fromiter(map(index.__getitem__, chain.from_iterable(per_text)), np.int64, counts.sum())]
@@ -94,10 +96,11 @@ class Ratios:
         stop = np.cumsum(counts)
         start = stop - counts
         has = counts > 0
-        out[has, 0] = (total[stop] - total[start])[has] / counts[has]
+        for k, part in enumerate((seq, np.maximum(seq, 0), np.maximum(seq - CLEAR, 0))):
+            out[has, k] = np.add.reduceat(part, start[has]) / counts[has]
         last = np.repeat(stop, counts)
         here = np.arange(len(seq))
-        for k, size in enumerate(STRETCHES, 1):
+        for k, size in enumerate(STRETCHES, 3):
             window = (total[np.minimum(here + size, last)] - total[here]) / size
             out[has, k] = np.maximum.reduceat(window, start[has])
         return out
@@ -202,7 +205,7 @@ def fit(
     ratios = build(got["gram"].tolist(), got["toxic"].to_numpy(np.int64), got["plain"].to_numpy(np.int64), bits)
     seen = Scorer(ratios, np.zeros(0), np.zeros(0), np.zeros(0), share)
     shared = spark.sparkContext.broadcast(seen)
-    fields = StructType([StructField(f"f{k}", DoubleType()) for k in range(1 + len(STRETCHES))])
+    fields = StructType([StructField(f"f{k}", DoubleType()) for k in range(FEATURES)])
     measured = add_columns(
         rows.where(part == 0), ["text"], fields, lambda: lambda t: list(shared.value.ratios.features(t).T), ["y"]
     ).toPandas()  # a few numbers for each chosen row
