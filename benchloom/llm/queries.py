@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, decontaminate, toxicity
+from benchloom.llm import bpe, decontaminate, neardup, toxicity
 from benchloom.llm.common import table
 
 #: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -65,6 +69,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op3_bpe": op3_bpe,
     "op6_decontamination": op6_decontamination,
     "op9_toxicity": op9_toxicity,
