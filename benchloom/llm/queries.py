@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, decontaminate, neardup, toxicity
-from benchloom.llm.common import table
+from benchloom.llm import bpe, decontaminate, neardup, repeats, toxicity
+from benchloom.llm.common import remove, scratch, table, written
 
 #: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -18,6 +18,18 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), workspace=f"{path}/work")
+    digest = found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+    out = written(digest, f"{path}/result")
+    remove(spark, f"{path}/work")
+    return out
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -70,6 +82,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_suffixes": op2_suffixes,
     "op3_bpe": op3_bpe,
     "op6_decontamination": op6_decontamination,
     "op9_toxicity": op9_toxicity,
