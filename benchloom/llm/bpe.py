@@ -175,7 +175,8 @@ class Codec:
         parts = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(parts) + ")") if parts else None
         self.split = splitter().findall
-        self.runs = Memo(lambda run: self._split(" " + run), 800_000)
+        self.words = Memo(lambda w: array.array("I", self.automaton.encode(w.encode())).tobytes(), 600_000)
+        self.runs = Memo(lambda run: self._split(" " + run), 600_000)
         self.spaces = re.compile(f"[{SPACE}] ")
         self.emit = {i: b for i, b in self.automaton.label.items()} | {i: t.encode() for t, i in self.special.items()}
         if sys.byteorder != "little":
@@ -199,10 +200,7 @@ class Codec:
         return self._split(first) + b"".join(map(self.runs.__getitem__, runs))
 
     def _split(self, text: str) -> bytes:
-        ids: list[int] = []
-        for word in self.split(text):
-            ids += self.automaton.encode(word.encode())
-        return array.array("I", ids).tobytes()
+        return b"".join(map(self.words.__getitem__, self.split(text)))
 
     def decode(self, ids: bytes) -> str:
         """The labels of the path, one after the other; broken UTF-8 becomes the replacement character."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, decontaminate, neardup, repeats, toxicity
+from benchloom.llm import bpe, decontaminate, lm, neardup, repeats, toxicity
 from benchloom.llm.common import remove, scratch, table, written
 
 #: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
@@ -34,6 +34,15 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    found = lm.score(table(spark, sf_dir, "documents"), held_out, workspace=f"{path}/work")
+    out = written(found, f"{path}/result")
+    remove(spark, f"{path}/work")
+    return out
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -84,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
     "op3_bpe": op3_bpe,
+    "op4_scoring": op4_scoring,
     "op6_decontamination": op6_decontamination,
     "op9_toxicity": op9_toxicity,
 }

@@ -26,22 +26,18 @@ not remove from each other; further columns are not returned.
 
 from __future__ import annotations
 
-import struct
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from benchloom.llm.bagminhash import mix
-from benchloom.llm.common import quoted, scratch
+from benchloom.llm.blocks import blocks_of, each_row, pack, unpack
+from benchloom.llm.common import quoted, scratch, written
 from benchloom.llm.diffcover import equal_windows
 
 GRAM = 24
-LAST = (1 << 63) - 1
 U = np.uint64
 
 
@@ -151,20 +147,6 @@ class Block:
         return per, anchors, least, runs, bucket[runs], place
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    parts = [np.ascontiguousarray(a).tobytes() for a in arrays]
-    return struct.pack(f"<{len(parts)}q", *map(len, parts)) + b"".join(parts)
-
-
-def unpack(data: bytes, *kinds) -> list[np.ndarray]:
-    sizes = struct.unpack_from(f"<{len(kinds)}q", data)
-    at, out = 8 * len(kinds), []
-    for size, kind in zip(sizes, kinds, strict=True):
-        out.append(np.frombuffer(data, kind, size // np.dtype(kind).itemsize, at))
-        at += size
-    return out
-
-
 def smallest_ids(rows: list[bytes], width: int, budget: int = 1 << 20) -> list[bytes]:
     """One bucket: for the stretches of each block, runs of windows with their smallest document id."""
     known: dict[bytes, int] = {}
@@ -236,10 +218,6 @@ def _sort_lot(lot: list[int], texts: list[bytes], low: np.ndarray, width: int, a
         answer[j] = (np.diff(np.append(cut, len(v))).astype(np.int32), v[cut])
 
 
-BLOCK = StructType([
-    StructField("block", LongType()), StructField("ids", BinaryType()), StructField("has_id", BinaryType()),
-    StructField("sizes", BinaryType()), StructField("data", BinaryType()),
-])
 MAIL = StructType([StructField("bucket", IntegerType()), StructField("block", LongType()), StructField("load", BinaryType())])
 FOUND = StructType([
     StructField("doc_id", LongType()), StructField("n_bytes", LongType()),
@@ -248,34 +226,6 @@ FOUND = StructType([
 ])
 
 
-def _blocks(docs: DataFrame, doc_id: str, text: str, block_bytes: int) -> DataFrame:
-    rows = docs.select(quoted(doc_id).cast("long").alias("i"), F.coalesce(quoted(text), F.lit("")).cast("binary").alias("t"))
-
-    def run(batches):
-        number = TaskContext.get().partitionId() << 32
-        ids, parts, held = [], [], 0
-        for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids.append(i)
-                parts.append(t)
-                held += len(t) + 64
-                if held >= block_bytes:
-                    yield _block(number, ids, parts)
-                    number, ids, parts, held = number + 1, [], [], 0
-        if ids:
-            yield _block(number, ids, parts)
-
-    return rows.mapInArrow(run, BLOCK)
-
-
-def _block(number: int, ids: list, parts: list) -> pa.RecordBatch:
-    own = np.array([LAST if i is None else i for i in ids], dtype=np.int64)
-    has = np.array([i is not None for i in ids], dtype=np.uint8)
-    sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    cols = [pa.array([number], pa.int64())] + [pa.array([x], pa.binary()) for x in (own.tobytes(), has.tobytes(), sizes.tobytes(), b"".join(parts))]
-    return pa.RecordBatch.from_arrays(cols, names=BLOCK.names)
-
-
 def _opened(row: dict, width: int) -> tuple[Block, np.ndarray]:
     return Block(row["data"], np.frombuffer(row["sizes"], np.int64), width), np.frombuffer(row["ids"], np.int64)
 
@@ -287,12 +237,6 @@ def _mail(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
-def _each_row(batches):
-    for b in batches:
-        for k in range(b.num_rows):
-            yield b.slice(k, 1).to_pylist()[0]
-
-
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 50, block_bytes: int = 6 << 20, workspace: str | None = None,
 ) -> DataFrame:
@@ -303,15 +247,11 @@ def remove_repeats(
     spark = docs.sparkSession
     path = workspace or scratch(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"blocks_{uuid.uuid4().hex}"
-    (
-        _blocks(docs, doc_id, text, block_bytes).write.bucketBy(n, "block").format("parquet")
-        .option("compression", "zstd").option("path", f"{path}/blocks").saveAsTable(name)
-    )
-    blocks = spark.table(name)
+    rows = docs.select(quoted(doc_id).cast("long").alias("id"), quoted(text).alias("text"), F.lit(0).alias("flag"))
+    blocks = blocks_of(rows, f"{path}/blocks", n, block_bytes)
 
     def ask(batches):
-        for row in _each_row(batches):
+        for row in each_row(batches):
             block, _ = _opened(row, width)
             yield _mail([(b, row["block"], own.tobytes()) for b, own in enumerate(block.asked(n)) if len(own)])
 
@@ -324,13 +264,13 @@ def remove_repeats(
 
     answers = blocks.mapInArrow(ask, MAIL).groupBy("bucket").applyInPandas(count, MAIL)
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "load")).alias("mail"))  # a row per bucket at most
-    answers = _stored(answers, f"{path}/answers")
+    answers = written(answers, f"{path}/answers")
 
     def answered(row):
         return {m["bucket"]: m["load"] for m in row["mail"] or []}
 
     def send(batches):
-        for row in _each_row(batches):
+        for row in each_row(batches):
             block, ids = _opened(row, width)
             per, anchors, least, *_ = block.stretches(n, answered(row), ids)
             mail = []
@@ -349,10 +289,10 @@ def remove_repeats(
     both = blocks.join(answers, "block", "left")
     found = both.mapInArrow(send, MAIL).groupBy("bucket").applyInPandas(sort, MAIL)
     found = found.groupBy("block").agg(F.collect_list(F.struct("bucket", "load")).alias("found"))
-    found = _stored(found, f"{path}/found")
+    found = written(found, f"{path}/found")
 
     def finish(batches):
-        for row in _each_row(batches):
+        for row in each_row(batches):
             block, ids = _opened(row, width)
             removed = np.zeros(len(row["data"]) + 1, dtype=np.int64)
             loads = {m["bucket"]: unpack(m["load"], np.int32, np.int32, np.int64) for m in row["found"] or []}
@@ -396,9 +336,3 @@ def _result(row: dict, ids: np.ndarray, gone: np.ndarray) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
     cols = [pa.array(c, k) for c, k in zip((numbers, sizes.tolist(), spans, kept), kinds, strict=True)]
     return pa.RecordBatch.from_arrays(cols, names=FOUND.names)
-
-
-def _stored(df: DataFrame, path: str) -> DataFrame:
-    from benchloom.llm.common import written
-
-    return written(df, path)
