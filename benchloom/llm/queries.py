@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, decontaminate, lm, neardup, repeats, toxicity
+from benchloom.llm import bpe, decontaminate, lm, neardup, quality, repeats, toxicity
 from benchloom.llm.common import remove, scratch, table, written
 
 #: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
@@ -43,6 +43,15 @@ def op4_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    judged = quality.judge(table(spark, sf_dir, "documents"), workspace=f"{path}/work")
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    out = written(judged.select(*columns), f"{path}/result")
+    remove(spark, f"{path}/work")
+    return out
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -94,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffixes": op2_suffixes,
     "op3_bpe": op3_bpe,
     "op4_scoring": op4_scoring,
+    "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op9_toxicity": op9_toxicity,
 }
