@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, decontaminate, lm, neardup, quality, repeats, toxicity
+from benchloom.llm import bpe, decontaminate, lm, neardup, pii, quality, repeats, toxicity
 from benchloom.llm.common import remove, scratch, table, written
 
 #: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
@@ -91,6 +91,21 @@ FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    # positions and features only: the texts are read once
+    found = written(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "__base", "__wide"), f"{path}/work")
+    spans = pii.spans_of(found, pii.fit(found, found=found))
+    base = F.col("__base")
+    counts = [F.size(F.filter(base, pii.of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    out = written(
+        spans.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans")),
+        f"{path}/result",
+    )
+    remove(spark, f"{path}/work")
+    return out
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     fold = F.crc32(F.col("doc_id").cast("string")) % 3
@@ -105,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_scoring": op4_scoring,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii,
     "op9_toxicity": op9_toxicity,
 }
 

@@ -41,24 +41,34 @@ GRAM = 24
 U = np.uint64
 
 
-def grams(data: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of the `size` bytes from each place on; runs are doubled until they are long enough."""
-    h, done = mix(data.astype(U) + U(0x9E3779B97F4A7C15)), 1
-    while done < size:
-        step = min(done, size - done)
-        h = mix(h[: len(h) - step] * U(0x9E3779B97F4A7C15) + h[step:])
-        done += step
-    return h
-
-
-def minima(h: np.ndarray, size: int) -> np.ndarray:
-    """The smallest of `size` neighbours from each place on."""
-    done = 1
-    while done < size:
-        step = min(done, size - done)
-        h = np.minimum(h[: len(h) - step], h[step:])
-        done += step
-    return h
+#: A random number for each byte, and an odd factor for each doubling.
+BYTES = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
+FACTORS = mix(np.arange(300, 364, dtype=U)) | U(1)
+
+
+def anchors(data: np.ndarray, gram: int, size: int, piece: int = 1 << 16) -> np.ndarray:
+    """From each place on, the smallest of `size` neighbouring hashes of `gram` bytes.
+
+    Hashes and minima are doubled until they are long enough, piece by piece so that all steps stay in the cache.
+    """
+    total = len(data) - gram - size + 2
+    out = np.empty(max(total, 0), dtype=U)
+    for at in range(0, total, piece):
+        h, done, level = BYTES[data[at : at + piece + gram + size - 2]], 1, 0
+        while done < gram:
+            step = min(done, gram - done)
+            n = len(h) - step
+            left = h[:n] * FACTORS[level]
+            left += h[step:]
+            h, done, level = left, done + step, level + 1
+        h = mix(h)
+        done = 1
+        while done < size:
+            step = min(done, size - done)
+            h = np.minimum(h[: len(h) - step], h[step:])
+            done += step
+        out[at : at + len(h)] = h
+    return out
 
 
 class Block:
@@ -74,7 +84,7 @@ class Block:
         ends = np.cumsum(sizes)
         self.first = ends - sizes
         gram = min(GRAM, width)
-        low = minima(grams(a, gram), width - gram + 1) if len(a) >= width else np.zeros(0, U)
+        low = anchors(a, gram, width - gram + 1)
         count = np.maximum(sizes - width + 1, 0)
         doc = np.repeat(np.arange(len(sizes)), count)
         at = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count) + self.first[doc]
