@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, decontaminate, lm, neardup, pii, quality, repeats, toxicity
+from benchloom.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, repeats, toxicity
 from benchloom.llm.common import remove, scratch, table, written
 
 #: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
@@ -106,6 +106,29 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+OP8_SQL = r"""
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS pos
+  FROM conversations
+), whole AS (
+  SELECT conv_id, count(*) AS n, list(struct_pack(r := role, t := text) ORDER BY pos) AS turns FROM t GROUP BY conv_id
+), kept AS (
+  SELECT a.conv_id, a.n FROM whole a
+  WHERE NOT EXISTS (
+    SELECT 1 FROM whole b WHERE b.turns[1] = a.turns[1] AND b.turns[1 : a.n] = a.turns
+      AND (b.n > a.n OR (b.n = a.n AND b.conv_id < a.conv_id))
+  )
+)
+SELECT t.conv_id, t.pos AS position, kept.n AS n_turns, t.role,
+  '<|' || coalesce(t.role, 'unknown') || '|>' || chr(10) || coalesce(t.text, '') || chr(10) || '<|end|>' || chr(10) AS piece
+FROM t JOIN kept USING (conv_id)
+"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     fold = F.crc32(F.col("doc_id").cast("string")) % 3
@@ -113,6 +136,23 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", "text", (fold == 1).alias("held_out")), scorer, keep=["doc_id", "held_out"])
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.known_licenses(spark)).select("doc_id", "digest", "license_id")
+
+
+OP10_SQL = f"""
+WITH known AS (
+  SELECT digest, min(license_id) AS license_id
+  FROM (SELECT license_id, sha256({licenses.canonical_sql('text')}) AS digest
+        FROM (VALUES {", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in sorted(licenses.KNOWN.items()))}) v(license_id, text))
+  GROUP BY digest
+)
+SELECT doc_id, d.digest, license_id FROM (SELECT doc_id, sha256({licenses.canonical_sql('text')}) AS digest FROM documents) d
+LEFT JOIN known ON d.digest = known.digest
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
@@ -121,7 +161,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
+    "op8_chat": op8_chat,
     "op9_toxicity": op9_toxicity,
+    "op10_licenses": op10_licenses,
 }
 
-SQL: dict[str, str] = {"op6_decontamination": OP6_SQL}
+SQL: dict[str, str] = {"op6_decontamination": OP6_SQL, "op8_chat": OP8_SQL, "op10_licenses": OP10_SQL}
