@@ -1,8 +1,62 @@
-"""Placeholder until all stages exist."""
+"""From raw documents to tokens: toxicity, near-duplicates, benchmark passages, personal data, encoding.
 
-STAGES = []
+`STAGES` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the docs of the next one. All stages but the last return the columns of `documents`; where a
+stage changes texts, `n_chars` follows. Null and empty texts pass all filters and end with no tokens.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from benchloom.llm import bpe, decontaminate, neardup, pii, toxicity
+from benchloom.llm.common import scratch, table, written
+from benchloom.llm.queries import TOKENIZER
+
+
+def _recounted(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.keep_one(docs)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _recounted(decontaminate.remove_contamination(docs, table(spark, sf_dir, "benchmark"), mode="spans"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _recounted(pii.redact(docs, pii.fit(docs)))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode(docs, TOKENIZER, keep=[c for c in docs.columns if c != "text"])
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", remove_benchmark),
+    ("pii", redact_personal_data),
+    ("bpe", encode),
+]
+
+#: Models and signatures are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table, each written to the shared folder."""
+    path = scratch(spark)
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = written(stage(spark, docs, sf_dir), f"{path}/{k}")
+    return docs
