@@ -56,7 +56,7 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
     return out.reshape(n_docs, m)
 
 
-def _draw(todo, owner, top, seed, start, length, limit, m, best, out, chunk=1 << 20):
+def _draw(todo, owner, top, seed, start, length, limit, m, best, out, chunk=1 << 17):
     """All points up to the limits for the processes `todo`, blocks of points at a time."""
     mean = limit[owner[todo]] * length[todo]
     block = np.ceil(mean + 2 * np.sqrt(mean) + 1).astype(np.int64)

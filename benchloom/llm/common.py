@@ -76,7 +76,7 @@ def add_columns(
     return inner.mapInArrow(run, schema)
 
 
-def pieces(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch into runs of rows of about `size` bytes, which bounds what Python holds at once."""
     rows = batch.num_rows
     step = max(1, rows // max(1, -(-batch.nbytes // size)))

@@ -9,11 +9,11 @@ separates, A-Z in lower case; a text with fewer words than a run is one run.
 3. In a bucket of texts with a common key, all are compared with one pivot, the text that shares most keys with
    others (the centre of a family of variants). Links are verified on the full multisets.
 4. Where a bucket's texts still lie in different classes, those outside the pivot's class are compared with the texts
-   of other classes there: all of them in a bucket of up to 32 texts, the 4 with the most shared keys in a larger one,
-   and 4 more as long as a round still finds a link. A pair is skipped when it cannot be linked, that is when the
-   distances to the first pivot differ by more than 1 - threshold (Jaccard distance is a metric). So no bucket is
-   capped and none is expanded into all its pairs; what may be missed is a link between two texts of a bucket of more
-   than 32 that are both far from its centre and from all its probes, and share no smaller bucket.
+   of other classes there: all of them in a bucket of up to 32 texts; in a larger one first those that agree in two
+   keys, then one more text each round, the one with the most shared keys, as long as a round finds a link. A pair is
+   skipped when it cannot be linked, that is when the distances to the first pivot differ by more than 1 - threshold
+   (Jaccard distance is a metric). So no bucket is capped and none is expanded into all its pairs; what may be missed
+   is a link between two texts of large buckets only that are both far from every centre and probe they meet.
 
 With 40 bands of 6 slots a pair at similarity 0.8 shares no key with probability 5e-6.
 
@@ -28,15 +28,15 @@ import hashlib
 from itertools import chain
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
+from xxhash import xxh3_64_intdigest
 
 from benchloom.llm.bagminhash import C1, bands as band_keys, mix, signatures
-from benchloom.llm.common import Memo, add_columns, pieces, quoted, remove, scratch, written
+from benchloom.llm.common import add_columns, quoted, remove, scratch, written
 
-SMALL, PROBES = 32, 4
+SMALL = 32  # texts in a bucket that is compared throughout
 SEED_BITS = 26  # of the fixed-size filter that spares texts without candidates the second reading
 
 
@@ -44,10 +44,6 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def _word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-
-
 def text_key(words: list[bytes]) -> bytes | None:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
 
@@ -57,12 +53,11 @@ class Shingler:
 
     def __init__(self, size: int):
         self.size = size
-        self.hashes = Memo(_word_hash)
 
     def __call__(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text number, shingle hash, count), sorted, for texts with words."""
         sizes = np.array([len(w) for w in texts], dtype=np.int64)
-        seq = np.fromiter(map(self.hashes.__getitem__, chain.from_iterable(texts)), np.uint64, sizes.sum())
+        seq = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(texts)), np.uint64, sizes.sum())
         width = np.minimum(sizes, self.size)
         starts = np.cumsum(sizes) - sizes
         number = sizes - width + (sizes > 0)
@@ -191,12 +186,13 @@ def components(links: DataFrame, path: str) -> DataFrame:
 
 def links_between_texts(docs: DataFrame, nodes: DataFrame, text: str, threshold: float, shingle: int, path: str) -> DataFrame:
     """Classes (key, part) of the distinct texts that have a link."""
-    at = nodes.select("key", F.explode("bands").alias("band"))
+    at = nodes.select("key", "bands", F.posexplode("bands").alias("place", "band"))
+    at = at.select("key", "band", F.get("bands", (F.col("place") + 1) % F.size("bands")).alias("next"))
     buckets = at.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = written(at.join(buckets, "band"), f"{path}/members")
     keys = written(members.groupBy("key").agg(F.sum("n").alias("pull")), f"{path}/keys")
     bags = written(_bags(docs, text, keys.select("key"), shingle), f"{path}/bags")
-    members = members.select("band", "key").join(keys, "key")
+    members = members.select("band", "next", "key").join(keys, "key")
     pivot = members.groupBy("band").agg(F.max(F.struct("pull", "key"))["key"].alias("pivot"))
     members = written(members.join(pivot, "band"), f"{path}/pivoted")
     pairs = members.where("key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -207,7 +203,7 @@ def links_between_texts(docs: DataFrame, nodes: DataFrame, text: str, threshold:
     far = known.select(F.col("a").alias("key"), F.col("b").alias("pivot"), (1 - F.col("sim")).alias("far"))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 2")
     near = members.join(sizes, "band").join(far, ["key", "pivot"], "left").na.fill(0.0, ["far"])
-    near = written(near.select("band", "key", "pull", "pivot", "far", "size"), f"{path}/near")
+    near = written(near.select("band", "next", "key", "pull", "pivot", "far", "size"), f"{path}/near")
     step, tested = 0, None
     while True:
         step += 1
@@ -218,29 +214,34 @@ def links_between_texts(docs: DataFrame, nodes: DataFrame, text: str, threshold:
             return part
         links = links.union(new)
         part = components(links, f"{path}/parts{step}")
-        own = pairs.where("size > 0").select("band", F.col("probe").alias("key")).distinct()
+        own = pairs.where("probe IS NOT NULL").select("band", F.col("probe").alias("key")).distinct()
         tested = own if tested is None else tested.union(own)
 
 
 def _further_pairs(near: DataFrame, part: DataFrame, gap: float, step: int, tested: DataFrame | None) -> DataFrame:
     """Pairs of texts of different classes to compare next: (a, b, band, probe, size).
 
-    In a bucket, texts outside the class of its first pivot are probes. A bucket of up to SMALL texts has all of them at
-    once, a larger one the PROBES texts with the most shared keys that were not probes before.
+    In a bucket, texts outside the class of its first pivot are probes: all of them at once in a bucket of up to SMALL
+    texts. In a larger one the texts that also agree in the next key meet a pivot of their own first; then, round by
+    round, the text with the most shared keys that was no probe before meets all others.
     """
     named = near.join(part.withColumnRenamed("part", "p"), "key", "left").withColumn("p", F.coalesce("p", "key"))
+    if step == 1:
+        inner = named.where(F.col("size") > SMALL).groupBy("band", "next").agg(
+            F.max(F.struct("pull", "key", "p")).alias("h"), F.min("p").alias("low"), F.max("p").alias("high")
+        ).where("low != high").select("band", "next", F.col("h.key").alias("probe"), F.col("h.p").alias("pp"))
+        close = named.join(inner, ["band", "next"]).where("p != pp")
+        close = close.select(F.least("key", "probe").alias("a"), F.greatest("key", "probe").alias("b"), "band", F.lit(None).cast("binary").alias("probe"), "size")
     heads = named.where("key = pivot").select("band", F.col("p").alias("head"))
-    loose = named.join(heads, "band").where("p != head")
-    if tested is not None:
-        loose = loose.where(F.col("size") > SMALL).join(tested, ["band", "key"], "left_anti")
-    turn = Window.partitionBy("band").orderBy(F.desc("pull"), "key")
-    large = loose.where(F.col("size") > SMALL).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= PROBES).drop("turn")
-    probes = large if step > 1 else loose.where(F.col("size") <= SMALL).unionByName(large)
-    probes = probes.select("band", F.col("key").alias("probe"), F.col("p").alias("pp"), F.col("far").alias("pfar"))
-    return (
+    loose = named.join(heads, "band").where("p != head").where(F.col("size") <= SMALL if step == 1 else F.col("size") > SMALL)
+    if step > 1:
+        loose = loose.join(tested, ["band", "key"], "left_anti").groupBy("band").agg(F.max(F.struct("pull", "key", "p", "far")).alias("h")).select("band", "h.*")
+    probes = loose.select("band", F.col("key").alias("probe"), F.col("p").alias("pp"), F.col("far").alias("pfar"))
+    pairs = (
         named.join(probes, "band").where("key != probe AND p != pp AND key != pivot").where(F.abs(F.col("far") - F.col("pfar")) <= gap)
         .select(F.least("key", "probe").alias("a"), F.greatest("key", "probe").alias("b"), "band", "probe", "size")
     )
+    return close.unionByName(pairs) if step == 1 else pairs
 
 
 def near_duplicates(
@@ -259,7 +260,9 @@ def near_duplicates(
         "id", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
     )
-    return out.withColumnRenamed("id", doc_id)
+    out = written(out.withColumnRenamed("id", doc_id), scratch(docs.sparkSession))
+    remove(docs.sparkSession, path)
+    return out
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
