@@ -49,13 +49,13 @@ class KNNClassifierModel(_KNNModel):
             (F.coalesce(F.sum(F.when(F.col("label") == 1, F.col("w"))), F.lit(0.0)) / F.sum("w")).alias("prob"),
         )
         result = result.select(F.col("query_id").alias("_q"), (-F.col("top.neg")).alias("prediction"), "prob")
-        return df.join(result, F.col("row_id") == F.col("_q")).select(*[col(c) for c in df.columns], "prediction", "prob")
+        return df.join(result, F.col("row_id") == F.col("_q"), "left").select(*[col(c) for c in df.columns], "prediction", "prob")
 
 
 class KNNRegressorModel(_KNNModel):
     def _transform(self, df: DataFrame) -> DataFrame:
         result = vote(self.neighbors(df), "label", self.settings.weights).select(F.col("query_id").alias("_q"), F.col("prob").alias("prediction"))
-        return df.join(result, F.col("row_id") == F.col("_q")).select(
+        return df.join(result, F.col("row_id") == F.col("_q"), "left").select(
             *[col(c) for c in df.columns], "prediction", F.lit(None).cast("double").alias("prob")
         )
 

@@ -6,16 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from benchloom.functions.columns import col
+from benchloom.functions.columns import col, real
 from benchloom.operators.series import lag_windows
 
 MAX_SERIES_ROWS = 1_000_000
 
 
 def panel(df: DataFrame, t: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Canonical panel columns; without keys the table is one series."""
-    key = F.concat_ws("|", *[col(k).cast("string") for k in keys]) if keys else F.lit("series")
-    return df.select(key.alias("key"), col(t).alias("t"), col(y).cast("double").alias("y")).filter(F.col("y").isNotNull())
+    """Canonical panel columns; without keys the table is one series.  NULL and NaN values are left out.
+
+    Different key values give different names: a NULL is written \\N, and | and \\ within a value get a \\ in front.
+    """
+    key = F.concat_ws("|", *[_key_text(k) for k in keys]) if keys else F.lit("series")
+    return df.select(key.alias("key"), col(t).alias("t"), real(y).alias("y")).filter(F.col("y").isNotNull())
+
+
+def _key_text(name: str):
+    return F.coalesce(F.regexp_replace(col(name).cast("string"), r"([\\|])", r"\\$1"), F.lit("\\N"))
 
 
 def longest_series(df: DataFrame) -> int:
@@ -69,12 +76,11 @@ def ar1_fit(train: DataFrame) -> DataFrame:
 
 
 def ar1_forecast(train: DataFrame, steps: int) -> DataFrame:
-    fitted = ar1_fit(train)
-    path = F.transform(
-        F.sequence(F.lit(1), F.lit(int(steps))),
-        lambda h: F.aggregate(F.sequence(F.lit(1), h), F.col("last"), lambda acc, _: F.col("intercept") + F.col("slope") * acc),
-    )
-    return fitted.select("key", F.posexplode(path).alias("i", "yhat")).select("key", (F.col("i") + 1).alias("step"), "yhat")
+    """The recursion yhat = intercept + slope * yhat, summed up: slope ** h and a geometric series."""
+    fitted = ar1_fit(train).select("*", _steps(steps))
+    power = F.pow("slope", F.col("step"))
+    series = F.when(F.abs(F.col("slope") - 1) < 1e-9, F.col("step").cast("double")).otherwise((1 - power) / F.nullif(1 - F.col("slope"), F.lit(0.0)))
+    return fitted.select("key", "step", (power * F.col("last") + F.col("intercept") * series).alias("yhat"))
 
 
 class Baseline:

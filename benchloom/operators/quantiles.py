@@ -86,8 +86,8 @@ def _narrow(values: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> d
                 out[c].append(None)
                 continue
             h = (n - 1) * p
-            lo, hi = found[(i, math.floor(h))], found[(i, math.ceil(h))]
-            out[c].append(lo + (h - math.floor(h)) * (hi - lo))
+            lo, hi, part = found[(i, math.floor(h))], found[(i, math.ceil(h))], h - math.floor(h)
+            out[c].append(lo if part == 0 or lo == hi else (1 - part) * lo + part * hi)
     return out
 
 
@@ -108,11 +108,29 @@ def _values_inside(values, ranges):
     return out
 
 
+def _magnitude(v):
+    """A whole number that never falls when v rises: the sign with the binary exponent, infinities outermost."""
+    size = F.abs(v)
+    power = F.when(size == 0, 0).when(size == math.inf, 4000).otherwise(F.floor(F.log2(F.when((size > 0) & (size < math.inf), size))) + 1100)
+    return F.when(v < 0, -power).otherwise(power)
+
+
+def _wide(low: float, high: float) -> bool:
+    """Do the bounds differ in sign or by more than 2**10?  Then equal slots would hardly narrow the range."""
+    if math.isinf(low) or math.isinf(high) or low <= 0 <= high:
+        return True
+    return abs(math.frexp(low)[1] - math.frexp(high)[1]) > 10
+
+
 def _histogram(values, ranges):
+    """Counts per slot.  One pass separates orders of magnitude, then each pass narrows a range by BUCKETS, so few are needed."""
     inside = _in_ranges(values, ranges)
-    low = F.element_at(F.array(*[F.lit(float(r[1])) for r in ranges]), F.col("g") + 1)
-    high = F.element_at(F.array(*[F.lit(float(r[2])) for r in ranges]), F.col("g") + 1)
-    slot = F.least(F.floor((F.col("v") - low) / (high - low) * BUCKETS), F.lit(BUCKETS - 1))
+    pick = lambda xs: F.element_at(F.array(*[F.lit(x) for x in xs]), F.col("g") + 1)
+    wide = [_wide(r[1], r[2]) for r in ranges]
+    low = pick([0.0 if w else float(r[1]) for w, r in zip(wide, ranges, strict=True)])
+    high = pick([1.0 if w else float(r[2]) for w, r in zip(wide, ranges, strict=True)])
+    even = F.when(~pick(wide), F.least(F.floor((F.col("v") - low) / (high - low) * BUCKETS), F.lit(BUCKETS - 1)))
+    slot = F.coalesce(even, _magnitude(F.col("v")))
     rows = (
         inside.groupBy("g", slot.alias("slot"))
         .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from benchloom.functions.columns import col, ratio_or_zero
+from benchloom.functions.columns import col, ratio_or_zero, real
 
 # The search grid 0.01 ... 0.99 and the analysis grid 0.10 ... 0.95.
 SEARCH_START, SEARCH_STEP, SEARCH_POINTS = 0.01, 0.01, 99
@@ -59,9 +59,10 @@ def threshold_sweep(
     thresholds = sorted(float(t) for t in (thresholds if thresholds is not None else analysis_grid()))
     keys = [col(b) for b in by]
     y = col(label) == 1
-    reached = _passed(col(prob).cast("double"), thresholds)
+    score = real(prob)  # NaN counts as missing
+    reached = _passed(score, thresholds)
     counted = (
-        df.filter(col(prob).isNotNull()).groupBy(*keys, reached.alias("reached"))
+        df.filter(score.isNotNull()).groupBy(*keys, reached.alias("reached"))
         .agg(F.count_if(y).alias("p"), F.count_if(~y).alias("n"))
         .groupBy(*keys)
         .agg(F.sum("p").alias("pos"), F.sum("n").alias("neg"), F.collect_list(F.struct("reached", "p", "n")).alias("cells"))

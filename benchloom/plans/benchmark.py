@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from benchloom.functions.columns import numeric_columns
+from benchloom.functions.columns import numeric_columns, real
 from benchloom.models.base import VECTOR, assemble, predict_classification, with_vector
 from benchloom.models.panel import panel
 from benchloom.models.registry import get_classification_models, get_regression_models
@@ -37,7 +37,7 @@ CLASSIFICATION_SCHEMA = (
 REGRESSION_SCHEMA = (
     "model string, mse double, rmse double, mae double, r2 double, cv_mean double, cv_std double, cv_scores array<double>, error string"
 )
-SERIES_SCHEMA = "model string, mse double, rmse double, mae double, mape double, error string"
+SERIES_SCHEMA = "model string, mse double, rmse double, mae double, mape double, n_series bigint, n_failed bigint, error string"
 
 
 @dataclass
@@ -215,7 +215,9 @@ def benchmark_timeseries(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(leaderboard by RMSE over the whole panel, predictions key, t, step, y, yhat).
 
-    Panels hold key, t, y.  Forecast step h of a series is compared with its h-th test row.
+    Panels hold key, t, y.  Forecast step h of a series is compared with its h-th test row.  A series with a test row
+    that has no forecast counts in n_failed, its yhat stays NULL there; models with failed series come after complete ones,
+    and say so in `error`.
     """
     models = models if models is not None else get_timeseries_models(seasonal_periods)
     numbered = positions(test, ["key"], ["t"], "step").withColumn("step", F.col("step").cast("int")).persist()
@@ -226,9 +228,9 @@ def benchmark_timeseries(
         for name, model in models.items():
             try:
                 predicted = model.fit(train).forecast(steps)
-                joined = numbered.join(predicted, ["key", "step"]).select(F.lit(name).alias("model"), "key", "t", "step", "y", "yhat")
+                joined = numbered.join(predicted, ["key", "step"], "left").select(F.lit(name).alias("model"), "key", "t", "step", "y", "yhat")
                 done = checkpointed(joined)
-                if done.isEmpty():
+                if done.filter(F.col("yhat").isNotNull()).isEmpty():
                     raise ValueError("no series could be forecast")
                 parts.append(done)
             except Exception as e:  # noqa: BLE001
@@ -236,12 +238,21 @@ def benchmark_timeseries(
                 rows.append({"model": name, "error": str(e).strip() or type(e).__name__})
         predictions = _union(parts)
         if predictions is not None:
-            rows = [r.asDict() for r in forecast_metrics(predictions, "y", "yhat", by=["model"]).collect()] + rows
+            scored = predictions.filter(real("yhat").isNotNull())
+            coverage = predictions.groupBy("model", "key").agg(F.count_if(real("yhat").isNull()).alias("gaps")).groupBy("model").agg(
+                F.count("*").alias("n_series"), F.count_if(F.col("gaps") > 0).alias("n_failed")
+            )
+            seen = {r["model"]: r.asDict() for r in coverage.collect()}
+            own = [r.asDict() | seen[r["model"]] for r in forecast_metrics(scored, "y", "yhat", by=["model"]).collect()]
+            for r in own:
+                r["error"] = f"no forecast for {r['n_failed']} of {r['n_series']} series" if r["n_failed"] else None
+            rows = own + rows
         board = _board(train.sparkSession, rows, SERIES_SCHEMA)
     finally:
         numbered.unpersist()
         train.unpersist()
-    return board.orderBy(F.col("rmse").asc_nulls_last(), "model"), predictions
+    incomplete = F.coalesce(F.col("n_failed") > 0, F.lit(True))
+    return board.orderBy(incomplete, F.col("rmse").asc_nulls_last(), "model"), predictions
 
 
 def prepare_tabular(
@@ -284,6 +295,8 @@ def run_benchmark(
     keys: Sequence[str] = (),
     parallelism: int = 2,
     scale_inside_fold: bool = False,
+    balance_inside_fold: bool = False,
+    legacy_auc_default: bool = False,
 ) -> BenchmarkResult:
     """One call for all problem types.
 
@@ -309,7 +322,9 @@ def run_benchmark(
         raise ValueError("tabular problems need a row key: pass row_id=...")
     train, test, scaler, features = prepare_tabular(df, target, row_id, kind == "classification", test_size, scale, seed)
     if kind == "classification":
-        board, predictions = benchmark_classification(train, test, models, threshold, cv_folds, balancing, seed, parallelism, scale_inside_fold=scale_inside_fold)
+        board, predictions = benchmark_classification(
+            train, test, models, threshold, cv_folds, balancing, seed, parallelism, legacy_auc_default, balance_inside_fold, scale_inside_fold
+        )
     else:
         board, predictions = benchmark_regression(train, test, models, cv_folds, seed, parallelism, scale_inside_fold)
     return BenchmarkResult(kind, board, predictions, train, test, scaler, features)

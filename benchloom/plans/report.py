@@ -22,7 +22,7 @@ TIERS = ("excellent", "good", "weak")
 def rank_models(board: DataFrame, metric: str | None = None, ascending: bool | None = None) -> DataFrame:
     """Add ``rank``: best first, missing values last, equal values by model name.
 
-    Without a metric the first of auc, r2, rmse present decides (and ``ascending`` is ignored); with none of them the
+    Series models with failed series (n_failed) come after complete ones. Without a metric the first of auc, r2, rmse present decides (and ``ascending`` is ignored); with none of them the
     table comes back unchanged.
     """
     if metric is None:
@@ -35,8 +35,10 @@ def rank_models(board: DataFrame, metric: str | None = None, ascending: bool | N
     if ascending is None:
         ascending = metric in LESS_IS_BETTER
     order = col(metric).asc_nulls_last() if ascending else col(metric).desc_nulls_last()
+    # a model without a forecast for some series is not compared with those that have all of them
+    partial = [F.col("n_failed") > 0] if "n_failed" in board.columns else []
     # one row per model: the window is as small as the registry
-    return board.withColumn("rank", F.row_number().over(Window.orderBy(order, "model"))).orderBy("rank")
+    return board.withColumn("rank", F.row_number().over(Window.orderBy(*partial, order, "model"))).orderBy("rank")
 
 
 def compare_metric(board: DataFrame, metric: str) -> DataFrame:

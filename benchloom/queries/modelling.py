@@ -201,10 +201,11 @@ def bench_ridge(spark, sf):
 BENCH_BASELINES_SQL = f"""WITH {TIME_SPLIT_SQL}, tr AS (SELECT key, t, y, row_number() OVER (PARTITION BY key ORDER BY t DESC) AS r FROM p WHERE split = 'train'),
 te AS (SELECT key, y, row_number() OVER (PARTITION BY key ORDER BY t) AS step FROM p WHERE split = 'test'),
 en AS (SELECT key, arg_max(y, t) AS b, arg_min(y, t) AS a, count(*) AS n FROM tr GROUP BY 1),
-g AS (SELECT 'naive' AS model, y, b AS yhat FROM te JOIN en USING (key) UNION ALL SELECT 'drift', y, b + step * (b - a) / (n - 1) FROM te JOIN en USING (key)
-      UNION ALL SELECT 'seasonal', te.y, tr.y FROM te JOIN tr ON te.key = tr.key AND tr.r = 12 - (te.step - 1) % 12)
+g AS (SELECT 'naive' AS model, key, y, b AS yhat FROM te LEFT JOIN en USING (key) UNION ALL SELECT 'drift', key, y, b + step * (b - a) / (n - 1) FROM te LEFT JOIN en USING (key)
+      UNION ALL SELECT 'seasonal', te.key, te.y, tr.y FROM te LEFT JOIN tr ON te.key = tr.key AND tr.r = 12 - (te.step - 1) % 12)
 SELECT model, round(avg(pow(y - yhat, 2)), 6) AS mse, round(sqrt(avg(pow(y - yhat, 2))), 6) AS rmse, round(avg(abs(y - yhat)), 6) AS mae,
-round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 6) AS mape FROM g GROUP BY 1"""
+round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 6) AS mape,
+count(DISTINCT key) AS n_series, count(DISTINCT key) FILTER (yhat IS NULL) AS n_failed FROM g GROUP BY 1"""
 
 
 @query("bench_baselines", BENCH_BASELINES_SQL)

@@ -13,7 +13,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    target = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="benchloom-ckpt-")
+    target = spark.conf.get("spark.checkpoint.dir", None)
+    if not target:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        target = tempfile.mkdtemp(prefix="benchloom-ckpt-")
     sc.setCheckpointDir(target)
     return target
 

@@ -35,7 +35,9 @@ def read_csv(
     if index_column not in (None, "drop", "keep"):
         raise ValueError("index_column is None, 'drop' or 'keep'")
     reader = spark.read.option("header", True).option("sep", sep)
-    if schema is not None:
+    if schema is not None and decimal == ",":
+        df = _with_schema(reader, path, T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+    elif schema is not None:
         df = reader.schema(schema).csv(path)
     elif decimal == ",":
         # no option turns a decimal comma into a number: read text, then convert the columns that parse as a whole
@@ -51,6 +53,16 @@ def read_csv(
     return nan_to_null(df)
 
 
+def _with_schema(reader, path: str, schema: T.StructType) -> DataFrame:
+    """Decimal commas under a given schema: fractional columns are read as text; what is no number raises when read."""
+    fractional = (T.DoubleType, T.FloatType, T.DecimalType)
+    text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, fractional) else f.dataType) for f in schema])
+    number = lambda f: F.nullif(F.trim(F.regexp_replace(col(f.name), ",", ".")), F.lit("")).cast(f.dataType)
+    return reader.schema(text).csv(path).select(
+        *[number(f).alias(f.name) if isinstance(f.dataType, fractional) else col(f.name) for f in schema]
+    )
+
+
 def _decimal_comma(text: DataFrame) -> DataFrame:
     pointed = text.select(*[F.regexp_replace(col(c), ",", ".").alias(c) for c in text.columns])
     kinds = dict(display_types(pointed).dtypes)
