@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from benchloom.functions.columns import col
-from benchloom.operators.ordering import BROADCAST_ROWS, _same, hash_rank, mark_smallest, ordered_scan
+from benchloom.operators.ordering import BROADCAST_ROWS, _same, hash_rank, mark_smallest, ordered_scan, positions
+from benchloom.session import checkpointed
 
 
 def _class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -26,6 +27,23 @@ def class_quotas(sizes: dict, n_train: int) -> dict:
     return quota
 
 
+def _quota_table(df: DataFrame, label: str, test_size: float) -> DataFrame | None:
+    """(label, _quota): `class_quotas` for any number of classes; None where the classes cannot be split in proportion."""
+    counts = checkpointed(_class_counts(df, label))
+    total, classes, least = counts.agg(F.sum("n"), F.count("*"), F.min("n")).first()
+    n_test = math.ceil(total * test_size)
+    n_train = total - n_test
+    if least < 2 or min(n_train, n_test) < classes:
+        return None
+    share = F.col("n").cast("decimal(19,0)") * F.lit(n_train).cast("decimal(19,0)")
+    parts = counts.select(
+        col(label), F.floor(share / F.lit(total)).cast("bigint").alias("_floor"), (-(share % F.lit(total).cast("decimal(19,0)"))).alias("_less")
+    )
+    rest = n_train - parts.agg(F.sum("_floor")).first()[0]
+    placed = positions(parts, [], ["_less", label], "_place", total=classes)
+    return placed.select(col(label), (F.col("_floor") + (F.col("_place") <= rest).cast("bigint")).alias("_quota"))
+
+
 def split_flag(
     df: DataFrame,
     row_id: str | Sequence[str],
@@ -43,9 +61,16 @@ def split_flag(
     ids = [row_id] if isinstance(row_id, str) else list(row_id)
     sizes: dict = {}
     if label is not None and stratify:
-        # a label with too many values to be a class label is not stratified; BROADCAST_ROWS bounds what is fetched
         rows = _class_counts(df, label).limit(BROADCAST_ROWS + 1).collect()
-        sizes = {r[0]: r["n"] for r in rows} if len(rows) <= BROADCAST_ROWS else {}
+        if len(rows) > BROADCAST_ROWS:
+            # too many classes to list: ranks within classes and a table of quotas give the same split with a shuffle
+            quotas = _quota_table(df, label, test_size)
+            if quotas is not None:
+                ranked = _same(hash_rank(df, ids, seed, "split", [label], "_rank"), quotas, [label], "inner")
+                side = F.when(F.col("_rank") <= F.col("_quota"), "train").otherwise("test")
+                return ranked.withColumn(name, side).drop("_rank", "_quota")
+        else:
+            sizes = {r[0]: r["n"] for r in rows}
     total = sum(sizes.values()) if sizes else df.count()
     n_test = math.ceil(total * test_size)
     n_train = total - n_test

@@ -74,3 +74,13 @@ def test_ar1_equals_the_recursion(spark):
         last = intercept + slope * last
         assert got["s", h] == pytest.approx(last)
         assert got["line", h] == pytest.approx(5.0 + h)
+
+
+def test_split_is_stratified_with_any_number_of_classes(spark, monkeypatch):
+    from benchloom.operators import split
+
+    df = spark.range(600).select("id", F.when(F.col("id") % 40 == 7, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(23))).alias("label"))
+    want = {r.id: r.split for r in split.split_flag(df, "id", "label", 0.3).collect()}
+    monkeypatch.setattr(split, "BROADCAST_ROWS", 5)
+    got = {r.id: r.split for r in split.split_flag(df, "id", "label", 0.3).collect()}
+    assert got == want and set(got.values()) == {"train", "test"}
