@@ -231,14 +231,14 @@ def _slice(spark, sums: DataFrame, buckets: list[int], n: int):
     """Broadcast the filter parts of some buckets, whose sizes have been added up before."""
     own = sums.where((F.col("kind") == PART) & F.col("bucket").isin(buckets)).select("bucket", "block", "load")
     parts = [(r.bucket, r.block, bytes(r.load)) for r in own.toLocalIterator()] if buckets else []
-    return spark.sparkContext.broadcast((parts, n))
+    return spark.sparkContext.broadcast(Filter(parts, n))
 
 
 def _levels_step(shared, schema):
     names = [f.name for f in schema]
 
     def run(batches):
-        table = Filter(*shared.value)
+        table = shared.value
         for b in batches:
             for k in range(b.num_rows):
                 piece = b.slice(k, 1)
@@ -254,7 +254,7 @@ def _levels_step(shared, schema):
 
 def _score_step(shared, n: int, train_tokens: int, distinct: int, mu: float, power: float):
     def run(batches):
-        table = Filter(*shared.value)
+        table = shared.value
         floor = float(train_tokens + distinct + 1)
         for row in each_row(batches):
             t = Tokens(row)
