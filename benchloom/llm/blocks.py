@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import struct
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
@@ -40,7 +40,7 @@ def blocks_of(rows: DataFrame, path: str, buckets: int, block_bytes: int) -> Dat
         if held[0]:
             yield _block(number, *held)
 
-    name = f"blocks_{uuid.uuid4().hex}"
+    name = table_name(path)
     (
         packed.mapInArrow(run, BLOCK).write.bucketBy(buckets, "block").format("parquet")
         .option("compression", "zstd").option("path", path).saveAsTable(name)
@@ -48,6 +48,16 @@ def blocks_of(rows: DataFrame, path: str, buckets: int, block_bytes: int) -> Dat
     return rows.sparkSession.table(name)
 
 
+def table_name(path: str) -> str:
+    """The name under which the session knows the blocks stored at a path."""
+    return "blocks_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def forget_blocks(spark: SparkSession, path: str) -> None:
+    """Take the name out of the session's catalog; the files are the caller's."""
+    spark.sql(f"DROP TABLE IF EXISTS {table_name(path)}")
+
+
 def _block(number: int, ids: list, parts: list, flags: list) -> pa.RecordBatch:
     own = np.array([LAST if i is None else i for i in ids], dtype=np.int64)
     has = np.array([i is not None for i in ids], dtype=np.uint8)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchloom.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, repeats, toxicity
+from benchloom.llm.blocks import forget_blocks
 from benchloom.llm.common import remove, scratch, table, written
 
 #: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
@@ -26,6 +27,7 @@ def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
     out = written(digest, f"{path}/result")
+    forget_blocks(spark, f"{path}/work/blocks")
     remove(spark, f"{path}/work")
     return out
 
@@ -39,6 +41,7 @@ def op4_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     found = lm.score(table(spark, sf_dir, "documents"), held_out, workspace=f"{path}/work")
     out = written(found, f"{path}/result")
+    forget_blocks(spark, f"{path}/work/blocks")
     remove(spark, f"{path}/work")
     return out
 
