@@ -99,9 +99,9 @@ def sketches(docs: DataFrame, doc_id: str, text: str, shingle: int, bands: int,
 
 def _filter_of(keys: DataFrame) -> np.ndarray:
     """A bitmap of fixed size with one bit for each key: what is not in it is not among the keys."""
-    bit = F.pmod(F.xxhash64("key"), F.lit(1 << SEED_BITS))
+    start = F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long")
     rows = (
-        keys.select(bit.alias("b")).groupBy(F.shiftright("b", 5).alias("w"))
+        keys.select((start % (1 << SEED_BITS)).alias("b")).groupBy(F.shiftright("b", 5).alias("w"))
         .agg(F.expr("bit_or(shiftleft(1L, CAST(b % 32 AS INT)))").alias("v")).toPandas()
     )
     out = np.zeros(1 << (SEED_BITS - 5), dtype=np.uint32)
@@ -111,32 +111,33 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
 
 def _bags(docs: DataFrame, text: str, keys: DataFrame, shingle: int) -> DataFrame:
     """Sorted shingle hashes and counts of the texts with the given keys."""
-    spark = docs.sparkSession
-    may = spark.sparkContext.broadcast(_filter_of(keys))
-    keyed = add_columns(
-        docs.select(quoted(text).alias("text")), ["text"], StructType([StructField("key", BinaryType())]),
-        lambda: lambda texts: ([text_key(words_of(t)) for t in texts],),
-    )
-    bit = F.pmod(F.xxhash64("key"), F.lit(1 << SEED_BITS))
-    asked = StructType([StructField("wanted", LongType())])
-    hit = add_columns(
-        keyed.where("key IS NOT NULL").withColumn("bit", bit), ["bit"], asked,
-        lambda: lambda b: (((may.value[np.array(b) >> 5] >> (np.array(b) & 31).astype(np.uint32)) & 1).astype(np.int64),),
-    ).where("wanted = 1")
-    schema = StructType([StructField("bag", BinaryType()), StructField("counts", BinaryType())])
+    may = docs.sparkSession.sparkContext.broadcast(_filter_of(keys))
+    schema = StructType([StructField("key", BinaryType()), StructField("bag", BinaryType()), StructField("counts", BinaryType())])
 
     def make():
         shingler = Shingler(shingle)
 
+        def wanted(key):
+            if key is None:
+                return False
+            bit = int.from_bytes(key[:4], "big") % (1 << SEED_BITS)
+            return bool(may.value[bit >> 5] >> (bit & 31) & 1)
+
         def work(texts):
-            doc, h, n = shingler([words_of(t) for t in texts])
-            cut = np.searchsorted(doc, np.arange(len(texts) + 1))
-            pairs = list(zip(cut[:-1], cut[1:], strict=True))
-            return [h[a:b].tobytes() for a, b in pairs], [n[a:b].astype(np.uint32).tobytes() if n[a:b].max() > 1 else b"" for a, b in pairs]
+            words = [words_of(t) for t in texts]
+            keys = [k if wanted(k) else None for k in map(text_key, words)]
+            own = dict((k, w) for k, w in zip(keys, words, strict=True) if k is not None)
+            found: dict = {None: (None, None)}
+            if own:
+                doc, h, n = shingler(list(own.values()))
+                cut = np.searchsorted(doc, np.arange(len(own) + 1))
+                for k, a, b in zip(own, cut[:-1], cut[1:], strict=True):
+                    found[k] = (h[a:b].tobytes(), n[a:b].astype(np.uint32).tobytes() if n[a:b].max() > 1 else b"")
+            return keys, [found[k][0] for k in keys], [found[k][1] for k in keys]
 
         return work
 
-    bags = add_columns(hit, ["text"], schema, make, ["key"])
+    bags = add_columns(docs.select(quoted(text).alias("text")), ["text"], schema, make, []).where("key IS NOT NULL")
     return bags.join(keys, "key", "left_semi").groupBy("key").agg(F.min(F.struct("bag", "counts")).alias("b")).select("key", "b.*")
 
 
