@@ -8,12 +8,13 @@ separates, A-Z in lower case; a text with fewer words than a run is one run.
 2. Each distinct text gets a BagMinHash signature (`bagminhash`), cut into `bands` keys of `rows` slots.
 3. In a bucket of texts with a common key, all are compared with one pivot, the text that shares most keys with
    others (the centre of a family of variants). Links are verified on the full multisets.
-4. Where a bucket's texts still lie in different classes, those outside the pivot's class are compared with the texts
-   of other classes there: all of them in a bucket of up to 32 texts; in a larger one first those that agree in two
-   keys, then one more text each round, the one with the most shared keys, as long as a round finds a link. A pair is
-   skipped when it cannot be linked, that is when the distances to the first pivot differ by more than 1 - threshold
-   (Jaccard distance is a metric). So no bucket is capped and none is expanded into all its pairs; what may be missed
-   is a link between two texts of large buckets only that are both far from every centre and probe they meet.
+4. Where a bucket's texts still lie in different classes, each text outside the pivot's class is compared with all
+   texts of other classes there. What cannot be linked is skipped, that is when the distances to the first pivot differ
+   by more than 1 - threshold (Jaccard distance is a metric). A bucket of up to 32 texts is joined with itself. A larger
+   one is dealt into cells, some of its loose texts by some of all its texts, of bounded rows and bytes; a cell finds its
+   similarities through an inverted index and returns only links that join two of its classes. So no bucket is capped,
+   none is written out as pairs, and every two texts with a common key end up in one class if they are linked. A bucket
+   with very many loose texts takes work that grows with their number times its size, spread over its cells.
 
 With 40 bands of 6 slots a pair at similarity 0.8 shares no key with probability 5e-6.
 
@@ -28,6 +29,7 @@ import hashlib
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
@@ -36,7 +38,8 @@ from xxhash import xxh3_64_intdigest
 from benchloom.llm.bagminhash import C1, bands as band_keys, mix, signatures
 from benchloom.llm.common import add_columns, quoted, remove, scratch, written
 
-SMALL = 32  # texts in a bucket that is compared throughout
+SMALL = 32  # texts in a bucket that is joined with itself; larger ones are compared in cells
+CELL_ROWS, CELL_BYTES = 256, 8 << 20  # of each side of a cell, on average
 SEED_BITS = 26  # of the fixed-size filter that spares texts without candidates the second reading
 
 
@@ -187,13 +190,13 @@ def components(links: DataFrame, path: str) -> DataFrame:
 
 def links_between_texts(docs: DataFrame, nodes: DataFrame, text: str, threshold: float, shingle: int, path: str) -> DataFrame:
     """Classes (key, part) of the distinct texts that have a link."""
-    at = nodes.select("key", "bands", F.posexplode("bands").alias("place", "band"))
-    at = at.select("key", "band", F.get("bands", (F.col("place") + 1) % F.size("bands")).alias("next"))
+    at = nodes.select("key", F.explode("bands").alias("band"))
     buckets = at.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = written(at.join(buckets, "band"), f"{path}/members")
     keys = written(members.groupBy("key").agg(F.sum("n").alias("pull")), f"{path}/keys")
-    bags = written(_bags(docs, text, keys.select("key"), shingle), f"{path}/bags")
-    members = members.select("band", "next", "key").join(keys, "key")
+    bags = _bags(docs, text, keys.select("key"), shingle).withColumn("bytes", F.length("bag") + F.length("counts"))
+    bags = written(bags, f"{path}/bags")
+    members = members.select("band", "key").join(keys, "key")
     pivot = members.groupBy("band").agg(F.max(F.struct("pull", "key"))["key"].alias("pivot"))
     members = written(members.join(pivot, "band"), f"{path}/pivoted")
     pairs = members.where("key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -204,45 +207,89 @@ def links_between_texts(docs: DataFrame, nodes: DataFrame, text: str, threshold:
     far = known.select(F.col("a").alias("key"), F.col("b").alias("pivot"), (1 - F.col("sim")).alias("far"))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 2")
     near = members.join(sizes, "band").join(far, ["key", "pivot"], "left").na.fill(0.0, ["far"])
-    near = written(near.select("band", "next", "key", "pull", "pivot", "far", "size"), f"{path}/near")
-    step, tested = 0, None
-    while True:
-        step += 1
-        pairs = written(_further_pairs(near, part, 1 - threshold, step, tested), f"{path}/pairs{step}")
-        fresh = pairs.select("a", "b").distinct()
-        new = written(_verified(fresh, bags).where(F.col("sim") >= threshold).select("a", "b"), f"{path}/links{step}")
-        if not new.head(1):
-            return part
-        links = links.union(new)
-        part = components(links, f"{path}/parts{step}")
-        own = pairs.where("probe IS NOT NULL").select("band", F.col("probe").alias("key")).distinct()
-        tested = own if tested is None else tested.union(own)
-
-
-def _further_pairs(near: DataFrame, part: DataFrame, gap: float, step: int, tested: DataFrame | None) -> DataFrame:
-    """Pairs of texts of different classes to compare next: (a, b, band, probe, size).
-
-    In a bucket, texts outside the class of its first pivot are probes: all of them at once in a bucket of up to SMALL
-    texts. In a larger one the texts that also agree in the next key meet a pivot of their own first; then, round by
-    round, the text with the most shared keys that was no probe before meets all others.
-    """
+    near = written(near.select("band", "key", "pivot", "far", "size"), f"{path}/near")
+    gap = 1 - threshold + 1e-9  # distances are rounded
+    for step, size in (("small", F.col("size") <= SMALL), ("large", F.col("size") > SMALL)):
+        named = _named(near.where(size), part)
+        if step == "small":
+            pairs = written(_pairs(named, gap), f"{path}/pairs")
+            new = _verified(pairs, bags).where(F.col("sim") >= threshold).select("a", "b")
+        else:
+            new = _cell_links(named, bags, gap, threshold)
+        new = written(new, f"{path}/links_{step}")
+        if new.head(1):
+            links = links.union(new)
+            part = components(links, f"{path}/parts_{step}")
+    return part
+
+
+def _named(near: DataFrame, part: DataFrame) -> DataFrame:
+    """Texts of buckets with their classes p; loose: outside the class of the first pivot."""
     named = near.join(part.withColumnRenamed("part", "p"), "key", "left").withColumn("p", F.coalesce("p", "key"))
-    if step == 1:
-        inner = named.where(F.col("size") > SMALL).groupBy("band", "next").agg(
-            F.max(F.struct("pull", "key", "p")).alias("h"), F.min("p").alias("low"), F.max("p").alias("high")
-        ).where("low != high").select("band", "next", F.col("h.key").alias("probe"), F.col("h.p").alias("pp"))
-        close = named.join(inner, ["band", "next"]).where("p != pp")
-        close = close.select(F.least("key", "probe").alias("a"), F.greatest("key", "probe").alias("b"), "band", F.lit(None).cast("binary").alias("probe"), "size")
     heads = named.where("key = pivot").select("band", F.col("p").alias("head"))
-    loose = named.join(heads, "band").where("p != head").where(F.col("size") <= SMALL if step == 1 else F.col("size") > SMALL)
-    if step > 1:
-        loose = loose.join(tested, ["band", "key"], "left_anti").groupBy("band").agg(F.max(F.struct("pull", "key", "p", "far")).alias("h")).select("band", "h.*")
-    probes = loose.select("band", F.col("key").alias("probe"), F.col("p").alias("pp"), F.col("far").alias("pfar"))
-    pairs = (
-        named.join(probes, "band").where("key != probe AND p != pp AND key != pivot").where(F.abs(F.col("far") - F.col("pfar")) <= gap)
-        .select(F.least("key", "probe").alias("a"), F.greatest("key", "probe").alias("b"), "band", "probe", "size")
-    )
-    return close.unionByName(pairs) if step == 1 else pairs
+    return named.join(heads, "band").withColumn("loose", F.expr("p != head")).drop("head")
+
+
+def _pairs(named: DataFrame, gap: float) -> DataFrame:
+    """(a, b): each loose text of a bucket with the texts of other classes there that are not ruled out."""
+    probes = named.where("loose").select("band", F.col("key").alias("probe"), F.col("p").alias("pp"), F.col("far").alias("pfar"))
+    pairs = named.join(probes, "band").where("key != probe AND p != pp AND key != pivot").where(F.abs(F.col("far") - F.col("pfar")) <= gap)
+    return pairs.select(F.least("key", "probe").alias("a"), F.greatest("key", "probe").alias("b")).distinct()
+
+
+def _cell_links(named: DataFrame, bags: DataFrame, gap: float, threshold: float) -> DataFrame:
+    """Links (a, b) that join the classes of buckets of any size: all loose texts against all texts, in cells."""
+    named = named.join(bags.select("key", "bytes"), "key")
+    own = lambda c: F.when(F.col("loose"), c)
+    parts = lambda n, size: F.greatest(F.ceil(n / CELL_ROWS), F.ceil(size / CELL_BYTES), F.lit(1)).cast("int")
+    stats = named.groupBy("band").agg(
+        parts(F.count(own(F.lit(1))), F.sum(own(F.col("bytes")))).alias("across"), parts(F.count("*"), F.sum("bytes")).alias("down"),
+        F.min(own(F.col("far"))).alias("low"), F.max(own(F.col("far"))).alias("high"),
+    ).where("low IS NOT NULL")
+    named = named.join(stats, "band").where((F.col("far") >= F.col("low") - gap) & (F.col("far") <= F.col("high") + gap))
+    place = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    probes = named.where("loose").select("band", place("across").alias("i"), every("down").alias("j"), "key", "p", "loose")
+    others = named.select("band", every("across").alias("i"), place("down").alias("j"), "key", "p", F.lit(False).alias("loose"))
+    cells = probes.union(others).join(bags.select("key", "bag", "counts"), "key")
+    return cells.groupBy("band", "i", "j").applyInPandas(lambda pdf: cell_links(pdf, threshold), "a binary, b binary")
+
+
+def cell_links(cell: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links between the loose and the other rows (key, p, loose, bag, counts) of a cell, one for each two classes that they join."""
+    probes, others = cell[cell["loose"]], cell[~cell["loose"]]
+    parent: dict = {}
+
+    def root(p):
+        while (up := parent.get(p, p)) != p:
+            parent[p] = p = parent.get(up, up)
+        return p
+
+    def bag(b, n):
+        h = np.frombuffer(b, np.uint64)
+        return h, np.frombuffer(n, np.uint32).astype(np.int64) if n else np.ones(len(h), np.int64)
+
+    found = []
+    if len(probes) and len(others):
+        bags = [bag(*x) for x in zip(others["bag"], others["counts"], strict=True)]
+        h, w = np.concatenate([x[0] for x in bags]), np.concatenate([x[1] for x in bags])
+        doc = np.repeat(np.arange(len(bags)), [len(x[0]) for x in bags])
+        total = np.array([x[1].sum() for x in bags])
+        order = np.argsort(h, kind="stable")
+        h, w, doc = h[order], w[order], doc[order]
+        names = list(zip(others["key"], others["p"], strict=True))
+        for key, p, b, n in zip(probes["key"], probes["p"], probes["bag"], probes["counts"], strict=True):
+            x, wx = bag(b, n)
+            start = np.searchsorted(h, x)
+            size = np.searchsorted(h, x, "right") - start
+            at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+            low = np.bincount(doc[at], np.minimum(np.repeat(wx, size), w[at]), len(bags))
+            for k in np.flatnonzero(low / (wx.sum() + total - low) >= threshold):
+                other, q = names[k]
+                if (one := root(p)) != (two := root(q)):
+                    parent[one] = two
+                    found.append((key, other))
+    return pd.DataFrame(found, columns=["a", "b"])
 
 
 def near_duplicates(
