@@ -2,9 +2,10 @@
 
 Every (key, order) is a group of its own, so an order search runs as many tasks as there are series and
 orders.  Series of at most ``MAX_SERIES_ROWS`` counted rows get the exact Gaussian likelihood (Kalman filter,
-concentrated variance).  Longer series are never put into one task: they are fitted by the two-stage
-regression of Hannan & Rissanen (Biometrika 69, 1982), which only needs sums over distributed lag windows and
-agrees with the likelihood estimate up to terms that vanish with the length.
+concentrated variance), whatever else is in the panel.  Longer series are never put into one task: they, and only
+they, are fitted by the two-stage regression of Hannan & Rissanen (Biometrika 69, 1982), which only needs sums over
+distributed lag windows and agrees with the likelihood estimate up to terms that vanish with the length.  Series with
+too few values for the regression are short whatever the limit; a series that cannot be fitted has a row with an error.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from benchloom.models.kernel import minimize_lbfgs
 from benchloom.models.panel import MAX_SERIES_ROWS, last_values, longest_series
+from benchloom.operators.ordering import BROADCAST_ROWS
 from benchloom.operators.series import lag_windows
-from benchloom.session import fan_out
+from benchloom.session import checkpointed, fan_out
 
 DEFAULT_ORDER = (1, 1, 1)
 LONG_AR = 20
@@ -165,15 +167,25 @@ def _fit_groups(tagged: DataFrame) -> DataFrame:
 
 def fit_orders(train: DataFrame, orders: Sequence[tuple[int, int, int]], max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
     """Fits of every series under every order (see FIT_SCHEMA); failed fits carry an error."""
-    if longest_series(train) <= max_rows:
-        return _fit_groups(train.select("key", "t", "y", _orders_table(orders)).select("key", "t", "y", "o.*"))
-    out = None
-    for d in sorted({o[1] for o in orders}):
-        part = _hannan_rissanen(train, d, [(p, q) for p, dd, q in orders if dd == d], max_rows)
-        out = part if out is None else out.unionByName(part)
+    limit = max(max_rows, _least_rows(orders))
+    short, long = train, None
+    if longest_series(train) > limit:
+        keys = checkpointed(train.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("key"))
+        keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+        short, long = train.join(keys, "key", "left_anti"), train.join(keys, "key", "left_semi")
+    out = _fit_groups(short.select("key", "t", "y", _orders_table(orders)).select("key", "t", "y", "o.*"))
+    if long is not None:
+        for d in sorted({o[1] for o in orders}):
+            out = out.unionByName(_hannan_rissanen(long, d, [(p, q) for p, dd, q in orders if dd == d], max_rows))
     return out
 
 
+def _least_rows(orders: Sequence[tuple[int, int, int]]) -> int:
+    """Up to so many values, a stage of the regression has no more rows than coefficients."""
+    reach, terms = max(max(1, p, q) for p, _, q in orders), max(p + q for p, _, q in orders)
+    return LONG_AR + max(d for _, d, _ in orders) + 1 + max(LONG_AR, reach + terms)
+
+
 # ------------------------------------------------------------------ long series
 
 def _differenced(train: DataFrame, d: int, max_rows: int) -> DataFrame:
@@ -238,7 +250,7 @@ def _hannan_rissanen(train: DataFrame, d: int, pq: Sequence[tuple[int, int]], ma
         phi_sum = F.aggregate(ar, F.lit(0.0), lambda s, v: s + v)
         const = F.col("coef")[0] / F.nullif(1.0 - phi_sum, F.lit(0.0)) if d == 0 else F.lit(0.0)
         sigma2 = F.col("rss") / F.col("n")
-        rows = fit.join(sizes, "key").join(tails, "key").join(etails, "key").join(last, "key")
+        rows = sizes.join(fit, "key", "left").join(tails, "key", "left").join(etails, "key", "left").join(last, "key", "left")
         loglik = -0.5 * F.col("total") * (F.log(2 * math.pi * sigma2) + 1.0)
         rows = rows.select(
             "key", F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q"), F.col("total").alias("n"), const.alias("constant"),
@@ -254,9 +266,11 @@ def _hannan_rissanen(train: DataFrame, d: int, pq: Sequence[tuple[int, int]], ma
             state.append(sum(terms, F.lit(0.0)))
         size = F.size("tail")
         ends = [F.element_at("tail", size), F.element_at("tail", size) - F.element_at("tail", size - 1)][:d]
+        ok, ends = F.col("sigma2").isNotNull(), F.array(*ends) if ends else F.array().cast("array<double>")
         rows = rows.select(
-            "key", "p", "d", "q", "n", "constant", "ar", "ma", "sigma2", "loglik", "aic", F.array(*state).alias("state"),
-            (F.array(*ends) if ends else F.array().cast("array<double>")).alias("ends"), F.lit(None).cast("string").alias("error"),
+            "key", "p", "d", "q", F.when(ok, F.col("n")).alias("n"), F.when(ok, F.col("constant")).alias("constant"), "ar", "ma", "sigma2", "loglik", "aic",
+            F.when(ok, F.array(*state)).alias("state"), F.when(ok, ends).alias("ends"),
+            F.when(~ok, F.lit(f"no lag windows for order {(p, d, q)}")).alias("error"),
         )
         out = rows if out is None else out.unionByName(rows)
     return out
