@@ -74,3 +74,20 @@ def test_cell_links_are_exact_and_few():
     want = brute(texts)
     assert sorted(map(sorted, got.values())) == want
     assert len(found) == len(texts) - len(want)
+
+
+def test_probe_without_partners_does_not_hold_up_its_bucket(spark):
+    """The loose text with the most shared keys is too far from all others; other buckets still find links for a while."""
+    one, two = variants(11, 40), variants(12, 40)
+    half = " ".join([*one[0].split()[:100], *prose(13, 50).split()])
+    pair, other, third = variants(14, 2), variants(15, 2), variants(16, 2)
+    centre, lone = prose(17, 150), [prose(18 + k, 150) for k in range(3)]
+    placed = {t: [1] for t in [*one, half, *pair]} | {t: [2] for t in [*two, *other]} | {t: [3] for t in [centre, *third]}
+    placed[one[1]] = [1, 5, 6]
+    placed[half] = [1, 7]
+    placed[two[1]] = [2, 8]
+    placed[centre] = [3, 8]
+    placed |= {lone[0]: [5], lone[1]: [6], lone[2]: [6, 7]}
+    want = brute(list(placed))
+    assert {tuple(sorted(p)) for p in (pair, other, third)} <= set(map(tuple, want))
+    assert classes(spark, placed) == want
