@@ -18,7 +18,8 @@ of the id.
 
 Defined cases: null and empty texts have ratio 0 everywhere; label rows with a null id or label are ignored, an id
 labelled twice is toxic if any label says so, repeated documents count each; with one class missing every score is the
-share of toxic rows (0 without rows); columns of the input named like an added one are replaced.
+share of toxic rows (0 without rows); columns of the input named like an added one are replaced. `drop_toxic` keeps
+documents without letters and numbers, whatever the labels are, and changes no column.
 """
 
 from __future__ import annotations
@@ -27,11 +28,12 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from benchloom.llm.common import add_columns, pieces, quoted
+from benchloom.llm.common import add_columns, pieces, quoted, without
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -106,37 +108,38 @@ class Ratios:
         return out
 
 
+def ranks(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dense numbers of the pairs (left, right), and the place where each pair is first met."""
+    _, first, number = np.unique(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64), return_index=True, return_inverse=True)
+    return number.reshape(-1), first
+
+
 def shared_backoff(grams: np.ndarray) -> np.ndarray:
     """Kneser-Ney probability of the last character after the ORDER - 2 before it, for each distinct top gram.
 
-    `grams` has one row of code points per distinct gram of the highest order, either class.
+    `grams` has one row of code points per distinct gram of the highest order, either class. Grams are told apart by
+    numbers that grow to the left, one character at a time.
     """
-    p = np.full(len(grams), 1.0 / max(1, len(np.unique(grams[:, -1]))))
+    none = np.zeros(len(grams), dtype=np.int64)
+    which, first = ranks(none, grams[:, -1])
+    context = none
+    p = np.full(len(grams), 1.0 / max(1, len(first)))
     for n in range(1, ORDER):
-        longer = grams[:, ORDER - n - 1 :]
-        _, first = np.unique(longer, axis=0, return_index=True)  # distinct grams one longer: what continuation counts
-        own = grams[:, ORDER - n :]
-        _, which = np.unique(own, axis=0, return_inverse=True)
-        which = which.reshape(-1)
-        if n > 1:
-            _, context = np.unique(own[:, :-1], axis=0, return_inverse=True)
-            context = context.reshape(-1)
-        else:
-            context = np.zeros(len(grams), dtype=np.int64)
+        one = first  # where each gram of this order is first met
+        longer, first = ranks(grams[:, ORDER - n - 1], which)  # distinct grams one longer: what continuation counts
         follows = np.bincount(which[first], minlength=which.max() + 1)
         total = np.bincount(context[first], minlength=context.max() + 1)
-        _, one = np.unique(which, return_index=True)
         kinds = np.bincount(context[one], minlength=context.max() + 1)
         p = (np.maximum(follows[which] - DISCOUNT, 0) + DISCOUNT * kinds[context] * p) / total[context]
+        which, context = longer, ranks(grams[:, ORDER - n - 1], context)[0]
     return p
 
 
-def build(grams: list[str], toxic: np.ndarray, plain: np.ndarray, bits: int) -> Ratios:
-    """Tables from distinct grams with their counts in both classes."""
-    points = np.array([[ord(c) for c in g] for g in grams], dtype=np.uint32).reshape(-1, ORDER)
-    backoff = shared_backoff(points) if len(grams) else np.zeros(0)
+def build(points: np.ndarray, toxic: np.ndarray, plain: np.ndarray, bits: int) -> Ratios:
+    """Tables from distinct grams (rows of ORDER code points) with their counts in both classes."""
+    backoff = shared_backoff(points) if len(points) else np.zeros(0)
     flat = points.reshape(-1)
-    gram, context = cells(flat, np.arange(len(grams)) * ORDER + ORDER - 1, bits)
+    gram, context = cells(flat, np.arange(len(points)) * ORDER + ORDER - 1, bits)
     size = 1 << bits
     probability, held = [], []
     for count in (toxic, plain):
@@ -199,10 +202,12 @@ def fit(
     rows = docs.select(quoted(doc_id).cast("string").alias("id"), quoted(text).alias("text")).join(picked, "id")
     part = F.pmod(F.xxhash64("id", F.lit(23)), F.lit(4))
     counted = _count(rows.where(part != 0), bits)
-    got = counted.toPandas()  # at most 2 ** bits rows
-    if not len(got):
+    got = counted.toArrow().combine_chunks()  # at most 2 ** bits rows
+    if not got.num_rows:
         return nothing
-    ratios = build(got["gram"].tolist(), got["toxic"].to_numpy(np.int64), got["plain"].to_numpy(np.int64), bits)
+    points = np.frombuffer(b"".join(c.buffers()[2][: 4 * ORDER * len(c)] for c in got["gram"].chunks), ">u4").astype(np.uint32)
+    ratios = build(points.reshape(-1, ORDER), got["toxic"].to_numpy(), got["plain"].to_numpy(), bits)
+    del got, points
     seen = Scorer(ratios, np.zeros(0), np.zeros(0), np.zeros(0), share)
     shared = spark.sparkContext.broadcast(seen)
     fields = StructType([StructField(f"f{k}", DoubleType()) for k in range(FEATURES)])
@@ -220,16 +225,15 @@ def fit(
 
 
 def _count(rows: DataFrame, bits: int) -> DataFrame:
-    """Distinct top grams with their counts in toxic and ordinary text, one gram for each table cell."""
+    """Distinct top grams (code points, four bytes each, in an order that sorts) with their counts in toxic and ordinary
+    text, one gram for each table cell."""
     schema = StructType([
-        StructField("cell", IntegerType()), StructField("gram", StringType()),
+        StructField("cell", IntegerType()), StructField("gram", BinaryType()),
         StructField("toxic", LongType()), StructField("plain", LongType()),
     ])
 
     def run(batches):
-        import pyarrow as pa
-
-        for b in (p for whole in batches for p in pieces(whole)):
+        for b in (p for whole in batches for p in pieces(whole, 256 << 10)):
             texts, ys = b.column(0).to_pylist(), b.column(1).to_pylist()
             for y in (0, 1):
                 words = [w for t, own in zip(texts, ys, strict=True) if own == y for w in words_of(t)]
@@ -238,11 +242,11 @@ def _count(rows: DataFrame, bits: int) -> DataFrame:
                 chars, at = spell(words)
                 cell, _ = cells(chars, at, bits)
                 keys, first, counts = np.unique(cell, return_index=True, return_counts=True)
-                points = np.stack([chars[at[first] - back] for back in range(ORDER - 1, -1, -1)], axis=1)
-                names = np.ascontiguousarray(points).view(f"<U{ORDER}").reshape(-1)
+                points = np.stack([chars[at[first] - back] for back in range(ORDER - 1, -1, -1)], axis=1).astype(">u4")
+                names = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * ORDER), len(keys), [None, pa.py_buffer(points.tobytes())])
                 zero = np.zeros(len(keys), dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int32()), pa.array(names.tolist(), pa.string()),
+                    [pa.array(keys, pa.int32()), names.cast(pa.binary()),
                      pa.array(counts if y else zero, pa.int64()), pa.array(zero if y else counts, pa.int64())],
                     names=schema.names,
                 )
@@ -253,24 +257,27 @@ def _count(rows: DataFrame, bits: int) -> DataFrame:
     )
 
 
-def score(docs: DataFrame, scorer: Scorer, text: str = "text", threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
-    """Add score (0 to 1) and predicted (1 from `threshold` on)."""
+def scores(docs: DataFrame, scorer: Scorer, text: str):
+    """The score as a column: only the texts go to Python, only numbers come back."""
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
-    added = StructType([StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
-    def make():
-        def work(texts):
-            s = shared.value(texts)
-            return s, (s >= threshold).astype(np.int32)
+    @F.arrow_udf(DoubleType())
+    def measure(texts: pa.Array) -> pa.Array:
+        parts = pieces(pa.RecordBatch.from_arrays([texts], names=["text"]), 1 << 20)
+        found = [shared.value(p.column(0).to_pylist()) for p in parts]
+        return pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
-        return work
+    return measure(quoted(text))
 
-    return add_columns(docs, [text], added, make, keep)
+
+def score(docs: DataFrame, scorer: Scorer, text: str = "text", threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
+    """Add score (0 to 1) and predicted (1 from `threshold` on)."""
+    kept = [c for c in without(docs, ["score", "predicted"]).columns if keep is None or c in keep]
+    scored = docs.select(*[quoted(c) for c in kept], scores(docs, scorer, text).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, scorer: Scorer, text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """Keep the documents scored below the threshold, with the columns they came with."""
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
-    added = StructType([StructField("__toxic_score", DoubleType())])
-    scored = add_columns(docs, [text], added, lambda: lambda texts: (shared.value(texts),))
-    return scored.where(F.col("__toxic_score") < threshold).select(*[quoted(c) for c in docs.columns])
+    """Keep the documents scored below the threshold and those without a word, with the columns they came with."""
+    silent = ~F.coalesce(quoted(text), F.lit("")).rlike(r"[\p{L}\p{N}]")
+    return docs.where(silent | (scores(docs, scorer, text) < threshold))
