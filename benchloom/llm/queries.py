@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, repeats, toxicity
+from benchloom.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, repeats, tokenfiles, toxicity
 from benchloom.llm.blocks import forget_blocks
 from benchloom.llm.common import remove, scratch, table, written
 
 #: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,6 +157,15 @@ LEFT JOIN known ON d.digest = known.digest
 """
 
 
+def op12_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, docs = scratch(spark), table(spark, sf_dir, "documents")
+    manifest = tokenfiles.write_sequences(docs, TOKENIZER, f"{path}/files")
+    found = tokenfiles.read_documents(spark, manifest, docs.schema["doc_id"].dataType)
+    out = written(found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")), f"{path}/result")
+    remove(spark, f"{path}/files")
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
@@ -167,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_toxicity": op9_toxicity,
     "op10_licenses": op10_licenses,
+    "op12_sequences": op12_sequences,
 }
 
 SQL: dict[str, str] = {"op6_decontamination": OP6_SQL, "op8_chat": OP8_SQL, "op10_licenses": OP10_SQL}
