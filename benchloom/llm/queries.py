@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, repeats, tokenfiles, toxicity
+from benchloom.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, repeats, tokenfiles, toxicity, whitening
 from benchloom.llm.blocks import forget_blocks
 from benchloom.llm.common import remove, scratch, table, written
 
@@ -166,6 +166,11 @@ def op12_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
@@ -178,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_licenses": op10_licenses,
     "op12_sequences": op12_sequences,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {"op6_decontamination": OP6_SQL, "op8_chat": OP8_SQL, "op10_licenses": OP10_SQL}
