@@ -28,6 +28,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Bound the bytes of the Arrow batches that Python gets; a number of rows alone says little about texts.
+
+    A bound that the session has chosen, other than Spark's default of 64 MiB, stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "64MB", "64m"):
+        spark.conf.set(key, str(size))
+
+
 def fan_out(spark: SparkSession) -> int:
     """Partitions for grouped Python work.
 
