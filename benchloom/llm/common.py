@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from benchloom.session import ensure_checkpoint_dir
+from benchloom.session import bounded_batches, ensure_checkpoint_dir
 
 #: Largest broadcast made here, in bytes; what is larger goes in several passes or through a shuffle.
 BROADCAST_BYTES = 64 << 20
@@ -55,13 +55,15 @@ def add_columns(
 
     `make()` runs once per task and returns a function from the `needs` columns (Python lists) to one list per added
     column. Columns of the input that have the name of an added one are replaced. `keep`: which input columns to
-    return (all by default).
+    return (all by default). A column that is kept and needed travels once.
     """
+    bounded_batches(df.sparkSession)
     base = without(df, [f.name for f in added])
     keep = [c for c in base.columns if keep is None or c in keep]
-    inner = df.select(*[quoted(c) for c in keep], *[quoted(c).alias(f"__in{i}") for i, c in enumerate(needs)])
+    others = [c for c in needs if c not in keep]
+    inner = df.select(*[quoted(c) for c in keep], *[quoted(c).alias(f"__in{i}") for i, c in enumerate(others)])
     schema = StructType([base.schema[c] for c in keep] + [StructField(f.name, f.dataType, True) for f in added])
-    n_keep, n_needs = len(keep), len(needs)
+    n_keep, at = len(keep), [[*keep, *others].index(c) for c in needs]
     from pyspark.sql.pandas.types import to_arrow_type
 
     kinds, names = [to_arrow_type(f.dataType) for f in added], [f.name for f in schema]
@@ -69,9 +71,11 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for b in (part for whole in batches for part in pieces(whole)):
-            cols = work(*[b.column(n_keep + i).to_pylist() for i in range(n_needs)])
+            cols = work(*[b.column(i).to_pylist() for i in at])
             arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(n_keep)] + arrays, names=names)
+            del cols, arrays
+        pa.default_memory_pool().release_unused()
 
     return inner.mapInArrow(run, schema)
 

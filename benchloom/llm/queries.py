@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchloom.llm import bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, repeats, tokenfiles, toxicity, whitening
+from benchloom.llm import alignment, bpe, chat, decontaminate, licenses, lm, neardup, pii, quality, repeats, tokenfiles, toxicity, whitening
 from benchloom.llm.blocks import forget_blocks
 from benchloom.llm.common import remove, scratch, table, written
 
-#: Vocabulary file of a public byte-level tokenizer; a parameter of `encode` and `decode`.
+#: Vocabulary files of public tokenizers, byte-level and sentence pieces; parameters of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +158,15 @@ LEFT JOIN known ON d.digest = known.digest
 """
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    found = alignment.link_summary(table(spark, sf_dir, "documents"), TOKENIZER, PIECES, workspace=f"{path}/work")
+    out = written(found, f"{path}/result")
+    forget_blocks(spark, f"{path}/work/blocks")
+    remove(spark, f"{path}/work")
+    return out
+
+
 def op12_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, docs = scratch(spark), table(spark, sf_dir, "documents")
     manifest = tokenfiles.write_sequences(docs, TOKENIZER, f"{path}/files")
@@ -182,6 +192,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_toxicity": op9_toxicity,
     "op10_licenses": op10_licenses,
+    "op11_alignment": op11_alignment,
     "op12_sequences": op12_sequences,
     "op13_whitening": op13_whitening,
 }

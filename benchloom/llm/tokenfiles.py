@@ -33,7 +33,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, Str
 
 from benchloom.llm.common import pieces, quoted, written
 from benchloom.llm.runs import RunEncoder, byte_bpe
-from benchloom.session import fan_out
+from benchloom.session import bounded_batches, fan_out
 
 LENGTH = 2048
 END = 2
@@ -125,6 +125,7 @@ def write_sequences(
 
     Returns the manifest: part, number (the order of the files), file, n_docs, n_tokens, n_sequences. It is stored in the folder, too.
     """
+    bounded_batches(docs.sparkSession)
     with open(tokenizer, encoding="utf-8") as f:  # its size does not depend on the data
         definition = f.read()
     j = json.loads(definition)

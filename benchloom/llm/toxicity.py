@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from benchloom.llm.common import add_columns, pieces, quoted, without
+from benchloom.session import bounded_batches
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -259,6 +260,7 @@ def _count(rows: DataFrame, bits: int) -> DataFrame:
 
 def scores(docs: DataFrame, scorer: Scorer, text: str):
     """The score as a column: only the texts go to Python, only numbers come back."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
     @F.arrow_udf(DoubleType())
