@@ -17,7 +17,6 @@ groups; rows that share an id count as documents each; a null id is kept; column
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,23 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from benchloom.llm.blocks import each_row, pack, table_name, unpack
-from benchloom.llm.bpe import _byte_chars
 from benchloom.llm.common import add_columns, pieces, quoted
-from benchloom.llm.runs import RunEncoder, byte_bpe, piece_bpe
+from benchloom.llm.runs import RunEncoder, byte_bpe, byte_labels, piece_bpe
 from benchloom.session import bounded_batches
 
 LANE_RUNS = 256
 PIECE_BYTES = 4 << 20
 
 
-def byte_labels(definition: str) -> list[bytes]:
-    """The bytes of each id of a byte-level vocabulary; special tokens spell themselves."""
-    j, back = json.loads(definition), _byte_chars()
-    own = {i: bytes(back[c] for c in t) for t, i in j["model"]["vocab"].items() if all(c in back for c in t)}
-    own |= {t["id"]: t["content"].encode() for t in j.get("added_tokens", [])}
-    return [own.get(i, b"") for i in range(max(own) + 1)]
-
-
 def piece_labels(model: bytes) -> list[bytes]:
     """The bytes of each piece: the mark is a blank, <0xHH> is a byte."""
     import sentencepiece

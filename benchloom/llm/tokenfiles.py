@@ -149,7 +149,7 @@ def write_sequences(
         def close():
             found.append((part, len(found), writer.file, *writer.close()))
 
-        for b in (p for whole in batches for p in pieces(whole, min(2 << 20, 4 * file_tokens))):
+        for b in (p for whole in batches for p in pieces(whole, min(4 << 20, 4 * file_tokens))):
             ids, sizes = with_end(encoder, b.column(1), end, kind)
             if writer is None:
                 name = f"{folder}/part-{part:06d}-{len(found):04d}-{attempt}.arrow"
