@@ -1,36 +1,43 @@
-"""ARIMA(p, d, q) for panels of series.
-
-Every (key, order) is a group of its own, so an order search runs as many tasks as there are series and
-orders.  Series of at most ``MAX_SERIES_ROWS`` counted rows get the exact Gaussian likelihood (Kalman filter,
-concentrated variance), whatever else is in the panel.  Longer series are never put into one task: they, and only
-they, are fitted by the two-stage regression of Hannan & Rissanen (Biometrika 69, 1982), which only needs sums over
-distributed lag windows and agrees with the likelihood estimate up to terms that vanish with the length.  Series with
-too few values for the regression are short whatever the limit; a series that cannot be fitted has a row with an error.
+"""ARIMA(p, d, q) for panels of series, by exact maximum likelihood at any length.
+
+The likelihood of a stretch of values is a small quadratic form of the state before it (see ``arma_filter``), and forms of
+neighbouring stretches join exactly. Parameters are found by a damped Newton search whose state is a row of numbers: a round
+evaluates all candidates that its derivatives need, then moves the state. Series of at most ``stretch_rows`` counted rows
+do all rounds inside one group. Longer ones are packed into stretches once, and each round of all searches is one Spark
+job over the stretches. Both run the same functions, so the estimate does not depend on where a series is cut.
+
+A series that cannot be fitted has a row with an error.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import product
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from benchloom.models.kernel import minimize_lbfgs
-from benchloom.models.panel import MAX_SERIES_ROWS, last_values, longest_series
-from benchloom.operators.ordering import BROADCAST_ROWS
-from benchloom.operators.series import lag_windows
-from benchloom.session import checkpointed, fan_out
+from benchloom.models.arma_filter import Stretch, join, objective, stretch, system, unflatten
+from benchloom.operators.ordering import BROADCAST_ROWS, positions
+from benchloom.session import bounded_batches, checkpointed, fan_out
 
 DEFAULT_ORDER = (1, 1, 1)
-LONG_AR = 20
+STRETCH_ROWS = 1_000_000
+STEP = 2e-4  # of the differences that stand for derivatives
+ROUNDS = 60
+LONGEST_STEP = 1.5
+SETTLED = 1e-13  # expected gain per value below which a search ends
+FLAT = 1e-7  # slope per value below which it ends: at a unit root the likelihood only levels out
+STARTS = (0.1, -0.4, 0.6, -1.2, 1.5)
 
 FIT_SCHEMA = (
     "key string, p int, d int, q int, n bigint, constant double, ar array<double>, ma array<double>, "
     "sigma2 double, loglik double, aic double, state array<double>, ends array<double>, error string"
 )
+FIT_NAMES = [f.split()[0] for f in FIT_SCHEMA.split(", ")]
+Order = tuple[int, int, int]
 
 
 def stationary(z: np.ndarray) -> np.ndarray:
@@ -44,96 +51,141 @@ def stationary(z: np.ndarray) -> np.ndarray:
     return out
 
 
-def _system(ar: np.ndarray, ma: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    c, p, q = len(ar), ar.shape[1], ma.shape[1]
-    r = max(p, q + 1)
-    t = np.zeros((c, r, r))
-    t[:, :p, 0] = ar
-    for i in range(r - 1):
-        t[:, i, i + 1] = 1.0
-    w = np.zeros((c, r))
-    w[:, 0] = 1.0
-    w[:, 1 : q + 1] = ma
-    return t, w
-
-
-def likelihood(y: np.ndarray, const: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log-likelihood, variance, predicted state) of ARMA candidates, side by side."""
-    t, w = _system(ar, ma)
-    c, r = w.shape
-    noise = w[:, :, None] * w[:, None, :]
-    eye = np.eye(r * r)
-    lifted = np.einsum("cij,ckl->cikjl", t, t).reshape(c, r * r, r * r)
-    cov = np.linalg.solve(eye[None] - lifted, noise.reshape(c, r * r, 1)).reshape(c, r, r)
-    state = np.zeros((c, r))
-    log_f, ss = np.zeros(c), np.zeros(c)
-    tt = t.transpose(0, 2, 1)
-    steady, f, gain = False, None, None
-    for v in y:
-        if not steady:
-            f = cov[:, 0, 0]
-            gain = (t @ cov[:, :, :1])[:, :, 0] / f[:, None]
-        err = v - const - state[:, 0]
-        log_f += np.log(f)
-        ss += err * err / f
-        state = (t @ state[:, :, None])[:, :, 0] + gain * err[:, None]
-        if not steady:
-            new = t @ cov @ tt + noise - gain[:, :, None] * gain[:, None, :] * f[:, None, None]
-            steady = bool(np.abs(new - cov).max() < 1e-13 * max(1.0, float(np.abs(new).max())))
-            cov = new
-    n = len(y)
-    sigma2 = ss / n
-    loglik = -0.5 * n * (np.log(2 * math.pi * sigma2) + 1.0) - 0.5 * log_f
-    return loglik, sigma2, state
-
-
-def fit_arima(y: np.ndarray, order: tuple[int, int, int]) -> dict:
-    """Exact maximum likelihood of one series; a constant only without differencing."""
-    p, d, q = order
-    ends = []
-    z = np.asarray(y, dtype=float)
+class Search:
+    """Damped Newton search for the parameters of one series under one order; all that it knows is `vector`.
+
+    The constant (without differencing only) is counted in standard deviations from the mean.
+    """
+
+    FIXED = 8  # round, done, damping, value, sum of squares, log of variances, center, scale
+
+    def __init__(self, order: Order, vector: np.ndarray):
+        self.order, self.v = order, np.array(vector, dtype=float)
+        self.k, self.r = free_parameters(order), max(order[0], order[2] + 1)
+
+    @classmethod
+    def begin(cls, order: Order, center: float, scale: float) -> "Search":
+        k, r = free_parameters(order), max(order[0], order[2] + 1)
+        out = cls(order, np.zeros(cls.FIXED + 3 * k + k * k + r))
+        out.v[2], out.v[3], out.v[6], out.v[7] = 1e-3, math.inf, center, scale
+        return out
+
+    def _slice(self, number: int) -> slice:
+        sizes = [self.k, self.k, self.k, self.k * self.k, self.r]
+        at = self.FIXED + sum(sizes[:number])
+        return slice(at, at + sizes[number])
+
+    theta, trial, gradient, curvature, state = (
+        property(lambda self, n=n: self.v[self._slice(n)], lambda self, x, n=n: self.v.__setitem__(self._slice(n), np.ravel(x))) for n in range(5)
+    )
+
+    @property
+    def done(self) -> bool:
+        return bool(self.v[1])
+
+    def candidates(self) -> np.ndarray:
+        """The first round tries starts, later ones the trial point and what its derivatives need."""
+        if self.k and self.v[0] == 0:
+            coefficients = self.order[0] + self.order[2]
+            grid = np.array([[STARTS[(i * (j + 1) + j) % len(STARTS)] for j in range(coefficients)] for i in range(3 * len(STARTS))])
+            return np.hstack([grid, np.zeros((len(grid), self.k - coefficients))]) if coefficients else np.zeros((1, self.k))
+        e = STEP * np.eye(self.k)
+        one = [x for i in range(self.k) for x in (e[i], -e[i])]
+        two = [e[i] + e[j] for i in range(self.k) for j in range(i)]
+        return self.trial + np.stack([np.zeros(self.k), *one, *two])
+
+    def models(self, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        p, d, q = self.order
+        const = self.v[6] + self.v[7] * candidates[:, -1] if d == 0 else np.zeros(len(candidates))
+        return const, stationary(candidates[:, :p]), -stationary(candidates[:, p : p + q])
+
+    def form(self, z: np.ndarray, before: int = 0) -> Stretch:
+        with np.errstate(all="ignore"):
+            return stretch(z, *self.models(self.candidates()), before)
+
+    def advance(self, whole: Stretch, n: int) -> None:
+        """Move on, given the form of the whole series for the candidates of this round."""
+        values, tried = objective(whole, n), self.candidates()
+        if self.k and self.v[0] == 0:
+            self.trial = tried[np.argmin(values)]
+            self.v[0] = 1
+            return
+        better = values[0] < self.v[3]
+        if better:
+            self.v[3], self.v[4], self.v[5] = values[0], whole.square[0], whole.log_f[0]
+            self.theta, self.state = self.trial, whole.offset[0]
+            self._differentiate(values)
+            self.v[2] = self.v[2] / 8 if self.v[0] > 1 else self.v[2]
+        else:
+            self.v[2] = max(8 * self.v[2], 1e-4)
+        self.v[0] += 1
+        if not self.k or not values[0] < 1e10 or self.v[0] > ROUNDS:
+            self.v[1] = 1
+            return
+        h = self.curvature.reshape(self.k, self.k)
+        roots, turn = np.linalg.eigh(h)
+        step = -turn @ ((turn.T @ self.gradient) / (np.maximum(np.abs(roots), 1e-7) + self.v[2]))
+        size = np.linalg.norm(step)
+        step *= min(1.0, (LONGEST_STEP + 0.5 * np.abs(self.theta).max()) / max(size, 1e-300))
+        self.trial = self.theta + step
+        if -(self.gradient @ step) < SETTLED or np.abs(self.gradient).max() < FLAT or size < 1e-9:
+            self.v[1] = 1
+
+    def _differentiate(self, values: np.ndarray) -> None:
+        up, down, mixed = values[1 : 2 * self.k : 2], values[2 : 2 * self.k + 1 : 2], values[2 * self.k + 1 :]
+        h = np.diag((up - 2 * values[0] + down) / STEP**2)
+        at = 0
+        for i in range(self.k):
+            for j in range(i):
+                h[i, j] = h[j, i] = (mixed[at] - up[i] - up[j] + values[0]) / STEP**2
+                at += 1
+        self.gradient, self.curvature = (up - down) / (2 * STEP), h
+
+    def result(self, n: int, rows: int, ends: Sequence[float]) -> dict:
+        if not np.isfinite(self.v[3]) or self.v[3] >= 1e10:
+            raise ValueError("the likelihood is not finite")
+        const, ar, ma = self.models(self.theta.reshape(1, -1))
+        loglik = -n * float(self.v[3])
+        return {
+            "n": rows, "constant": float(const[0]), "ar": ar[0].tolist(), "ma": ma[0].tolist(), "sigma2": float(self.v[4]) / n,
+            "loglik": loglik, "aic": -2 * loglik + 2 * (self.k + 1), "state": self.state.tolist(), "ends": list(ends),
+        }
+
+
+def free_parameters(order: Order) -> int:
+    return order[0] + order[2] + (order[1] == 0)
+
+
+def differenced(y: np.ndarray, d: int) -> tuple[np.ndarray, list[float]]:
+    """(y differenced d times, the last values that summing up again needs)."""
+    ends, z = [], np.asarray(y, dtype=float)
     for _ in range(d):
-        ends.append(float(z[-1]))
+        ends.append(float(z[-1]) if len(z) else math.nan)
         z = np.diff(z)
-    if len(z) <= p + q + 2:
-        raise ValueError(f"{len(y)} values are too few for order {order}")
-    with_const = d == 0
-    scale = float(np.sqrt(np.mean(z * z))) or 1.0
-    z = z / scale
-
-    def unpack(theta: np.ndarray):
-        theta = np.atleast_2d(theta)
-        const = theta[:, -1] if with_const else np.zeros(len(theta))
-        return const, stationary(theta[:, :p]), -stationary(theta[:, p : p + q])
-
-    def objective(theta: np.ndarray) -> tuple[float, np.ndarray]:
-        # value and central-difference gradient from one batched filter pass
-        k, eps = len(theta), 1e-5
-        batch = np.vstack([theta] + [theta + s * eps * np.eye(k)[i] for i in range(k) for s in (1, -1)])
-        with np.errstate(all="ignore"):
-            values = -likelihood(z, *unpack(batch))[0] / len(z)
-        values = np.where(np.isfinite(values), values, 1e10)
-        return float(values[0]), (values[1::2] - values[2::2]) / (2 * eps)
-
-    start = np.full(p + q + int(with_const), 0.1)
-    if with_const:
-        start[-1] = z.mean()
-    theta = minimize_lbfgs(objective, start, 60, tol=1e-7) if len(start) else start
-    const, ar, ma = unpack(theta)
-    loglik, sigma2, state = likelihood(z, const, ar, ma)
-    if not np.isfinite(loglik[0]):
-        raise ValueError("the likelihood is not finite")
-    ll = float(loglik[0]) - len(z) * math.log(scale)
-    return {
-        "n": len(y), "constant": float(const[0]) * scale, "ar": ar[0].tolist(), "ma": ma[0].tolist(),
-        "sigma2": float(sigma2[0]) * scale**2, "loglik": ll, "aic": -2 * ll + 2 * (p + q + int(with_const) + 1),
-        "state": (state[0] * scale).tolist(), "ends": ends,
-    }
+    return z, ends
+
+
+def check_length(rows: int, order: Order) -> int:
+    """The number of values after differencing."""
+    n = rows - order[1]
+    if n <= order[0] + order[2] + 2:
+        raise ValueError(f"{rows} values are too few for order {order}")
+    return n
+
+
+def fit_arima(y: np.ndarray, order: Order) -> dict:
+    """Exact maximum likelihood of one series; a constant only without differencing."""
+    n = check_length(len(y), order)
+    z, ends = differenced(y, order[1])
+    search = Search.begin(order, float(np.mean(y)), float(np.std(y)) or 1.0)
+    while not search.done:
+        search.advance(search.form(z), n)
+    return search.result(n, len(y), ends)
 
 
 def forecast_path(fit: dict, steps: int) -> np.ndarray:
     ar, ma = np.array([fit["ar"]], dtype=float).reshape(1, -1), np.array([fit["ma"]], dtype=float).reshape(1, -1)
-    t = _system(ar, ma)[0][0]
+    t = system(ar, ma)[0][0]
     state, out = np.array(fit["state"], dtype=float), []
     for _ in range(steps):
         out.append(state[0] + fit["constant"])
@@ -144,136 +196,136 @@ def forecast_path(fit: dict, steps: int) -> np.ndarray:
     return path
 
 
-def _orders_table(orders: Sequence[tuple[int, int, int]]):
-    return F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q")) for p, d, q in orders])).alias("o")
+def _row(key: str, order: Order, values: dict) -> dict:
+    return {"key": key, **dict(zip("pdq", order, strict=True)), "error": None, **values}
+
 
+def _frame(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame([{c: r.get(c) for c in FIT_NAMES} for r in rows], columns=FIT_NAMES).astype({"n": "Int64"})
 
-def _fit_groups(tagged: DataFrame) -> DataFrame:
-    names = [f.split()[0] for f in FIT_SCHEMA.split(", ")]
+
+def _fit_groups(train: DataFrame, orders: Sequence[Order], keys: int) -> DataFrame:
+    """Series as groups; with few series the orders are dealt out to several copies."""
+    copies = max(1, min(len(orders), -(-2 * fan_out(train.sparkSession) // max(1, keys))))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        order = tuple(int(pdf[c].iloc[0]) for c in "pdq")
-        row = {"key": pdf["key"].iloc[0], "p": order[0], "d": order[1], "q": order[2], "error": None}
-        try:
-            row.update(fit_arima(pdf["y"].to_numpy(), order))
-        except (ValueError, np.linalg.LinAlgError) as e:
-            row["error"] = str(e)
-        return pd.DataFrame([{c: row.get(c) for c in names}]).astype({"n": "Int64"})
+        key, y, rows = pdf["key"].iloc[0], pdf.sort_values("t")["y"].to_numpy(), []
+        for order in orders[int(pdf["part"].iloc[0]) :: copies]:
+            try:
+                rows.append(_row(key, order, fit_arima(y, order)))
+            except (ValueError, np.linalg.LinAlgError) as e:
+                rows.append(_row(key, order, {"error": str(e)}))
+        return _frame(rows)
 
-    by = ["key", "p", "d", "q"]
-    return tagged.repartition(fan_out(tagged.sparkSession), *by).groupBy(*by).applyInPandas(fit, FIT_SCHEMA)
+    tall = train.select("key", "t", "y", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("part"))
+    return tall.repartition(fan_out(train.sparkSession), "key", "part").groupBy("key", "part").applyInPandas(fit, FIT_SCHEMA)
 
 
-def fit_orders(train: DataFrame, orders: Sequence[tuple[int, int, int]], max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+def fit_orders(train: DataFrame, orders: Sequence[Order], stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Fits of every series under every order (see FIT_SCHEMA); failed fits carry an error."""
-    limit = max(max_rows, _least_rows(orders))
-    short, long = train, None
-    if longest_series(train) > limit:
-        keys = checkpointed(train.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("key"))
-        keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
-        short, long = train.join(keys, "key", "left_anti"), train.join(keys, "key", "left_semi")
-    out = _fit_groups(short.select("key", "t", "y", _orders_table(orders)).select("key", "t", "y", "o.*"))
-    if long is not None:
-        for d in sorted({o[1] for o in orders}):
-            out = out.unionByName(_hannan_rissanen(long, d, [(p, q) for p, dd, q in orders if dd == d], max_rows))
-    return out
+    orders = list(dict.fromkeys(map(tuple, orders)))
+    sizes = train.groupBy("key").agg(F.count("*").alias("n"))
+    stretch_rows = max(stretch_rows, max(d for _, d, _ in orders) + 8)
+    most, keys = sizes.agg(F.max("n"), F.count("*")).first()
+    if (most or 0) <= stretch_rows:
+        return _fit_groups(train, orders, keys)
+    long = checkpointed(sizes.filter(F.col("n") > stretch_rows).select("key"))
+    count = long.count()
+    long = F.broadcast(long) if count <= BROADCAST_ROWS else long
+    short = _fit_groups(train.join(long, "key", "left_anti"), orders, keys - count)
+    return short.unionByName(_fit_long(train.join(long, "key", "left_semi"), orders, stretch_rows))
 
 
-def _least_rows(orders: Sequence[tuple[int, int, int]]) -> int:
-    """Up to so many values, a stage of the regression has no more rows than coefficients."""
-    reach, terms = max(max(1, p, q) for p, _, q in orders), max(p + q for p, _, q in orders)
-    return LONG_AR + max(d for _, d, _ in orders) + 1 + max(LONG_AR, reach + terms)
+# ------------------------------------------------------------------ long series
 
+SEARCH = "key string, p int, d int, q int, n bigint, search array<double>, ends array<double>"
+FORM = "key string, p int, d int, q int, chunk bigint, n bigint, search array<double>, form array<double>, ends array<double>"
 
-# ------------------------------------------------------------------ long series
 
-def _differenced(train: DataFrame, d: int, max_rows: int) -> DataFrame:
-    z = train
-    for _ in range(d):
-        w = lag_windows(z, ["key"], "t", "y", 1, max_rows)
-        z = w.select("key", "t", (F.col("target") - F.col("window")[0]).alias("y"))
-    return z
-
-
-def _solve(rows: DataFrame, x: str, y: str, by: Sequence[str] = ("key",)) -> DataFrame:
-    """(by, coef, rss, n): least squares of y on the array x from sums of products, one small solve per group."""
-    both = F.concat(F.col(x), F.array(F.col(y)))
-    cells = rows.select(*by, both.alias("v")).select(*by, F.posexplode("v").alias("i", "a"), "v")
-    cells = cells.select(*by, "i", "a", F.posexplode("v").alias("j", "b")).filter(F.col("i") <= F.col("j"))
-    sums = cells.groupBy(*by, "i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("s"), F.count("*").alias("n"))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"{b} {kinds[b]}" for b in by) + ", coef array<double>, rss double, n bigint"
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = int(pdf["j"].max()) + 1
-        g = np.zeros((k, k))
-        g[pdf["i"], pdf["j"]] = pdf["s"]
-        g = g + np.triu(g, 1).T
-        coef = np.linalg.lstsq(g[:-1, :-1], g[:-1, -1], rcond=None)[0]
-        rss = float(g[-1, -1] - 2 * coef @ g[:-1, -1] + coef @ g[:-1, :-1] @ coef)
-        return pd.DataFrame([{**{b: pdf[b].iloc[0] for b in by}, "coef": coef.tolist(), "rss": rss, "n": int(pdf["n"].iloc[0])}])
-
-    return sums.groupBy(*by).applyInPandas(solve, schema)
-
-
-def _hannan_rissanen(train: DataFrame, d: int, pq: Sequence[tuple[int, int]], max_rows: int) -> DataFrame:
-    z = _differenced(train, d, max_rows)
-    one = F.array(F.lit(1.0)) if d == 0 else F.array().cast("array<double>")
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    long = lag_windows(z, ["key"], "t", "y", LONG_AR, max_rows).select(
-        "key", "t", F.concat(one, F.reverse("window")).alias("x"), F.col("target").alias("y")
-    )
-    first = _solve(long, "x", "y").select("key", F.col("coef").alias("c"))
-    shocks = long.join(first, "key").select("key", "t", F.struct("y", (F.col("y") - dot("x", "c")).alias("e")).alias("ye"))
-    reach = max(1, max(max(p, q) for p, q in pq))
-    # lags of value and shock come from the same windows: two passes over the same order, joined on (key, t)
-    flat = shocks.select("key", "t", F.col("ye.y").alias("y"), F.col("ye.e").alias("e"))
-    ylag = lag_windows(flat, ["key"], "t", "y", reach, max_rows).select("key", "t", F.reverse("window").alias("yl"), F.col("target").alias("y"))
-    elag = lag_windows(flat, ["key"], "t", "e", reach, max_rows).select("key", "t", F.reverse("window").alias("el"))
-    lags = ylag.join(elag, ["key", "t"])
-    sizes = train.groupBy("key").agg(F.count("*").alias("total"))
-    tails = last_values(flat, reach).select("key", F.reverse("tail").alias("ylast"))
-    etails = last_values(flat.select("key", "t", F.col("e").alias("y")), reach).select("key", F.reverse("tail").alias("elast"))
-    last = last_values(train, d + 1).select("key", "tail")
-    out = None
-    for p, q in pq:
-        x = F.concat(one, F.slice("yl", 1, p), F.slice("el", 1, q))
-        if d == 0 or p + q:
-            fit = _solve(lags.select("key", x.alias("x"), "y"), "x", "y")
-        else:
-            fit = lags.groupBy("key").agg(F.sum(F.col("y") * F.col("y")).alias("rss"), F.count("*").alias("n")).select(
-                "key", F.array().cast("array<double>").alias("coef"), "rss", "n"
+def _packed(train: DataFrame, lead: int, size: int) -> DataFrame:
+    """(key, chunk, y): the values of a stretch in order, behind the last `lead` values of the one before."""
+    numbered = positions(train, ["key"], ["t"], "_pos", size)
+    at, within = F.floor((F.col("_pos") - 1) / size), (F.col("_pos") - 1) % size
+    chunk = F.explode(F.when(within >= size - lead, F.array(at, at + 1)).otherwise(F.array(at)))
+    rows = numbered.select("key", "_pos", "y", chunk.alias("chunk"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = pdf.sort_values("_pos")
+        chunk = int(pdf["chunk"].iloc[0])
+        if y["_pos"].iloc[-1] <= chunk * size:  # only what the stretch before has lent: the series ends there
+            return pd.DataFrame({"key": [], "chunk": [], "y": []}, dtype=object)
+        return pd.DataFrame([{"key": pdf["key"].iloc[0], "chunk": chunk, "y": y["y"].to_numpy()}])
+
+    spread = rows.repartition(fan_out(train.sparkSession), "key", "chunk")
+    return checkpointed(spread.groupBy("key", "chunk").applyInPandas(pack, "key string, chunk bigint, y array<double>"))
+
+
+def _fit_long(train: DataFrame, orders: Sequence[Order], size: int) -> DataFrame:
+    bounded_batches(train.sparkSession)
+    lead = max(d for _, d, _ in orders)
+    packed = _packed(train, lead, size)
+    sums = train.groupBy("key").agg(F.count("*").alias("n"), F.avg("y").alias("center"), F.stddev_pop("y").alias("scale"))
+
+    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame(
+                [{"key": r.key, **dict(zip("pdq", o, strict=True)), "n": r.n, "search": Search.begin(o, r.center, r.scale or 1.0).v, "ends": []}
+                 for r in pdf.itertuples() for o in orders],
+                columns=["key", "p", "d", "q", "n", "search", "ends"],
             )
-        off = 1 if d == 0 else 0
-        ar, ma = F.slice("coef", off + 1, p), F.slice("coef", off + p + 1, q)
-        phi_sum = F.aggregate(ar, F.lit(0.0), lambda s, v: s + v)
-        const = F.col("coef")[0] / F.nullif(1.0 - phi_sum, F.lit(0.0)) if d == 0 else F.lit(0.0)
-        sigma2 = F.col("rss") / F.col("n")
-        rows = sizes.join(fit, "key", "left").join(tails, "key", "left").join(etails, "key", "left").join(last, "key", "left")
-        loglik = -0.5 * F.col("total") * (F.log(2 * math.pi * sigma2) + 1.0)
-        rows = rows.select(
-            "key", F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q"), F.col("total").alias("n"), const.alias("constant"),
-            ar.alias("ar"), ma.alias("ma"), sigma2.alias("sigma2"), loglik.alias("loglik"),
-            (-2.0 * loglik + 2.0 * (p + q + off + 1)).alias("aic"), "ylast", "elast", "tail",
-        )
-        # the state after the last value: element i collects the effects of past values and shocks i steps ahead
-        r = max(p, q + 1)
-        y0 = lambda i: F.col("ylast")[i] - F.col("constant")
-        state = []
-        for i in range(r):
-            terms = [F.col("ar")[j] * y0(j - i) for j in range(i, p)] + [F.col("ma")[j] * F.col("elast")[j - i] for j in range(i, q)]
-            state.append(sum(terms, F.lit(0.0)))
-        size = F.size("tail")
-        ends = [F.element_at("tail", size), F.element_at("tail", size) - F.element_at("tail", size - 1)][:d]
-        ok, ends = F.col("sigma2").isNotNull(), F.array(*ends) if ends else F.array().cast("array<double>")
-        rows = rows.select(
-            "key", "p", "d", "q", F.when(ok, F.col("n")).alias("n"), F.when(ok, F.col("constant")).alias("constant"), "ar", "ma", "sigma2", "loglik", "aic",
-            F.when(ok, F.array(*state)).alias("state"), F.when(ok, ends).alias("ends"),
-            F.when(~ok, F.lit(f"no lag windows for order {(p, d, q)}")).alias("error"),
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+
+    def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                rows = []
+                for p, d, q, vector in zip(r.p, r.d, r.q, r.search, strict=True):
+                    search = Search((p, d, q), vector)
+                    z, ends = differenced(np.asarray(r.y)[lead - d if r.chunk else 0 :], d)
+                    form = search.form(z, r.chunk * size - d if r.chunk else 0)
+                    rows.append({
+                        "key": r.key, "p": p, "d": d, "q": q, "chunk": r.chunk, "n": r.n, "search": search.v, "form": form.flat(), "ends": ends,
+                    })
+                yield pd.DataFrame(rows)
+
+    def advance(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = list(pdf.sort_values("chunk").itertuples())
+        first = rows[0]
+        search = Search((first.p, first.d, first.q), first.search)
+        c, whole = len(search.candidates()), None
+        for r in rows:
+            own = unflatten(r.form, c, search.r)
+            whole = own if whole is None else join(whole, own)
+        search.advance(whole, int(first.n) - int(first.d))
+        return pd.DataFrame([{"key": first.key, "p": first.p, "d": first.d, "q": first.q, "n": first.n, "search": search.v, "ends": rows[-1].ends}])
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples():
+                order = (r.p, r.d, r.q)
+                try:
+                    rows.append(_row(r.key, order, Search(order, r.search).result(check_length(r.n, order), r.n, r.ends)))
+                except ValueError as e:
+                    rows.append(_row(r.key, order, {"error": str(e)}))
+            yield _frame(rows)
+
+    parts = fan_out(train.sparkSession)
+    by = ["key", "p", "d", "q"]
+    active = checkpointed(sums.mapInPandas(begin, SEARCH))
+    done = None
+    while True:
+        count = active.count()
+        if not count:
+            break
+        asked = active.groupBy("key").agg(F.collect_list(F.struct("p", "d", "q", "search")).alias("s"), F.first("n").alias("n"))
+        asked = asked.select("key", "n", *[F.col(f"s.{c}").alias(c) for c in ("p", "d", "q", "search")])
+        # the searches come to the stretches, which stay where they are
+        forms = packed.join(F.broadcast(asked) if count <= BROADCAST_ROWS else asked, "key").mapInPandas(evaluate, FORM)
+        moved = checkpointed(forms.repartition(parts, *by).groupBy(*by).applyInPandas(advance, SEARCH))
+        ended = F.col("search")[1] > 0
+        done = moved.filter(ended) if done is None else done.unionByName(moved.filter(ended))
+        active = moved.filter(~ended)
+    return done.mapInPandas(finish, FIT_SCHEMA)
 
 
 # ------------------------------------------------------------------ series models
@@ -289,21 +341,27 @@ def forecast_fits(fits: DataFrame, steps: int) -> DataFrame:
     return fits.filter(F.col("error").isNull()).mapInPandas(path, "key string, step int, yhat double")
 
 
-def best_orders(fits: DataFrame) -> DataFrame:
-    """The fit with the least AIC per key; the first order (p, d, q) of equals."""
-    ok = fits.filter(F.col("error").isNull() & ~F.isnan("aic"))
-    rank = F.struct("aic", "p", "d", "q")
-    return ok.groupBy("key").agg(F.min_by(F.struct(*[F.col(c) for c in fits.columns]), rank).alias("b")).select("b.*")
+def best_orders(fits: DataFrame, orders: Sequence[Order] | None = None) -> DataFrame:
+    """The fit with the least AIC per key, the first order (p, d, q) of equals; DEFAULT_ORDER where none has one.
+
+    `orders`: those that may be picked by AIC (all by default).
+    """
+    listed = F.lit(True) if orders is None else F.struct("p", "d", "q").isin(*[F.struct(*map(F.lit, o)) for o in orders])
+    usable = F.col("error").isNull() & ~F.isnan("aic") & listed
+    default = F.struct("p", "d", "q") == F.struct(*map(F.lit, DEFAULT_ORDER))
+    rank = F.struct((~usable).alias("other"), F.when(usable, F.col("aic")).alias("aic"), "p", "d", "q")
+    picked = fits.filter(usable | default).groupBy("key").agg(F.min_by(F.struct(*[F.col(c) for c in fits.columns]), rank).alias("b"))
+    return picked.select("b.*")
 
 
 class ARIMA:
-    def __init__(self, order: tuple[int, int, int] = DEFAULT_ORDER, max_rows: int = MAX_SERIES_ROWS):
-        self.order, self.max_rows = tuple(order), max_rows
+    def __init__(self, order: Order = DEFAULT_ORDER, stretch_rows: int = STRETCH_ROWS):
+        self.order, self.stretch_rows = tuple(order), stretch_rows
         self.fits: DataFrame | None = None
 
     def fit(self, train: DataFrame) -> "ARIMA":
-        out = type(self)(self.order, self.max_rows)
-        out.fits = fit_orders(train, [self.order], self.max_rows)
+        out = type(self)(self.order, self.stretch_rows)
+        out.fits = fit_orders(train, [self.order], self.stretch_rows)
         return out
 
     def forecast(self, steps: int) -> DataFrame:
@@ -311,16 +369,19 @@ class ARIMA:
 
 
 class ARIMACalibrated:
-    """Order search by AIC over p, d, q up to the given limits; each series gets its own order."""
+    """Order search by AIC over p, d, q up to the given limits; each series gets its own order.
+
+    A series for which no order gives an AIC is fitted with DEFAULT_ORDER, or has that fit's error.
+    """
 
-    def __init__(self, max_p: int = 3, max_d: int = 2, max_q: int = 3, max_rows: int = MAX_SERIES_ROWS):
-        self.limits, self.max_rows = (max_p, max_d, max_q), max_rows
+    def __init__(self, max_p: int = 3, max_d: int = 2, max_q: int = 3, stretch_rows: int = STRETCH_ROWS):
+        self.limits, self.stretch_rows = (max_p, max_d, max_q), stretch_rows
         self.fits: DataFrame | None = None
 
     def fit(self, train: DataFrame) -> "ARIMACalibrated":
-        out = type(self)(*self.limits, self.max_rows)
+        out = type(self)(*self.limits, self.stretch_rows)
         orders = list(product(*[range(n + 1) for n in self.limits]))
-        out.fits = best_orders(fit_orders(train, orders, self.max_rows))
+        out.fits = best_orders(fit_orders(train, [*orders, DEFAULT_ORDER], self.stretch_rows), orders)
         return out
 
     def forecast(self, steps: int) -> DataFrame:

@@ -106,6 +106,26 @@ def arima_grid(spark, sf):
     return rounded(arima.ARIMACalibrated(2, 2, 2).fit(monthly_orders(spark, sf)).forecast(STEPS), ["yhat"], 4)
 
 
+def _walk_sql(d: int) -> str:
+    z = "y" if d == 0 else "y - lag(y) OVER w" if d == 1 else "y - 2 * lag(y) OVER w + lag(y, 2) OVER w"
+    constant, spread = ("avg(z)", "var_pop(z)") if d == 0 else ("0.0::DOUBLE", "avg(z * z)")
+    return (
+        f"SELECT key, {d} AS d, max(rows) AS n, {constant} AS constant, {spread} AS sigma2, count(z) AS used, {2 + (d == 0)} - 1 AS free "
+        f"FROM (SELECT key, {z} AS z, count(*) OVER (PARTITION BY key) AS rows FROM {MONTHLY_SQL} q WINDOW w AS (PARTITION BY key ORDER BY t)) x GROUP BY key"
+    )
+
+
+@query(
+    "arima_walks",
+    f"WITH f AS ({' UNION ALL '.join(map(_walk_sql, range(3)))}) SELECT key, d, n, round(constant, 6) AS constant, round(sigma2, 6) AS sigma2, "
+    "round(-0.5 * used * (ln(2 * pi() * sigma2) + 1), 6) AS loglik, round(used * (ln(2 * pi() * sigma2) + 1) + 2 * free, 6) AS aic FROM f",
+)
+def arima_walks(spark, sf):
+    """Orders (0, d, 0), where the best fit is known: the mean, the random walk, the walk of the slope."""
+    fits = arima.fit_orders(monthly_orders(spark, sf), [(0, d, 0) for d in range(3)])
+    return rounded(fits.select("key", "d", "n", "constant", "sigma2", "loglik", "aic"), ["constant", "sigma2", "loglik", "aic"])
+
+
 @query("window_ar")
 def window_ar(spark, sf):
     return rounded(WindowRegression(12).fit(monthly_orders(spark, sf)).forecast(STEPS), ["yhat"], 4)

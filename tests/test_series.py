@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from benchloom.models import arima, panel, smoothing
+from benchloom.models.arma_filter import join, stretch, system, unflatten
 from benchloom.models.series_registry import build_timeseries_models, get_timeseries_models
 from benchloom.models.window_ar import WindowRegression
 from benchloom.operators import series
@@ -96,26 +97,30 @@ def test_arima_forecast_undoes_differences():
         arima.fit_arima(y[:4], (1, 1, 1))
 
 
-def test_long_series_regression_agrees_with_likelihood(spark):
+@pytest.mark.parametrize("order", [(1, 0, 1), (2, 1, 0), (0, 1, 2), (0, 2, 1)])
+def test_fits_do_not_depend_on_stretches(spark, order):
     rng = np.random.default_rng(8)
     e = rng.normal(size=1501)
     z = np.zeros(1500)
     for i in range(1500):
         z[i] = (0.6 * z[i - 1] if i else 0) + e[i + 1] + 0.3 * e[i]
-    df = spark.createDataFrame(pd.DataFrame({"key": "k", "t": np.arange(1500), "y": z + 5}))
-    exact = arima.fit_orders(df, [(1, 0, 1)]).first()
-    long = arima.fit_orders(df, [(1, 0, 1)], max_rows=400).first()
-    assert (long.ar[0], long.ma[0], long.constant) == pytest.approx((exact.ar[0], exact.ma[0], exact.constant), abs=0.05)
-    a = arima.forecast_fits(arima.fit_orders(df, [(1, 0, 1)]), 5).orderBy("step").toPandas()["yhat"]
-    b = arima.forecast_fits(arima.fit_orders(df, [(1, 0, 1)], max_rows=400), 5).orderBy("step").toPandas()["yhat"]
-    assert np.abs(a - b).max() < 0.15
-
-
-def test_long_series_with_differences(spark):
+    y = z + 5 if order[1] == 0 else np.cumsum(z) + 0.2 * np.arange(1500)
+    df = spark.createDataFrame(pd.DataFrame({"key": "k", "t": np.arange(1500), "y": y}))
+    whole = arima.fit_orders(df, [order]).first()
+    path = arima.forecast_path(whole.asDict(), 5)
+    for rows in (300, 30):  # 5 and 50 stretches
+        cut = arima.fit_orders(df, [order], stretch_rows=rows).first()
+        assert cut.error is None and cut.n == 1500
+        assert (cut.loglik, cut.aic, cut.sigma2) == pytest.approx((whole.loglik, whole.aic, whole.sigma2), rel=1e-9)
+        assert cut.ar + cut.ma + [cut.constant] == pytest.approx(whole.ar + whole.ma + [whole.constant], abs=1e-5)
+        assert arima.forecast_path(cut.asDict(), 5) == pytest.approx(path, abs=1e-5)
+
+
+def test_no_parameters_are_fitted_in_one_round(spark):
     rng = np.random.default_rng(9)
     y = np.cumsum(rng.normal(size=800)) + 10
     df = spark.createDataFrame(pd.DataFrame({"key": "k", "t": np.arange(800), "y": y}))
-    fits = arima.fit_orders(df, [(0, 1, 0), (1, 1, 1), (0, 2, 1)], max_rows=300)
+    fits = arima.fit_orders(df, [(0, 1, 0), (1, 1, 1), (0, 2, 1)], stretch_rows=300)
     got = arima.forecast_fits(fits.filter("d = 1 AND p = 0"), 2).orderBy("step").collect()
     assert [r.yhat for r in got] == pytest.approx([y[-1]] * 2)
     other = arima.forecast_fits(fits.filter("p = 1"), 1).first()["yhat"]
@@ -123,6 +128,44 @@ def test_long_series_with_differences(spark):
     assert arima.best_orders(fits).first()["d"] == 1
 
 
+def plain_filter(y, const, ar, ma):
+    """Sum of squares, log of variances and last state by the Kalman filter, value by value."""
+    t, w = (x[0] for x in system(np.array([ar]), np.array([ma])))
+    r = len(w)
+    cov = np.linalg.solve(np.eye(r * r) - np.kron(t, t), np.outer(w, w).reshape(-1)).reshape(r, r)
+    state, squares, logs = np.zeros(r), 0.0, 0.0
+    for v in y:
+        f, gain = cov[0, 0], t @ cov[:, 0] / cov[0, 0]
+        error = v - const - state[0]
+        squares, logs = squares + error**2 / f, logs + np.log(f)
+        state, cov = t @ state + gain * error, t @ cov @ t.T + np.outer(w, w) - np.outer(gain, gain) * f
+    return squares, logs, state
+
+
+@pytest.mark.parametrize(("ar", "ma"), [([], []), ([0.5], [0.4]), ([0.2, -0.5, 0.3], [0.6]), ([], [0.5, 0.9995 - 0.5]), ([0.97], [-0.3, 0.2, 0.1])])
+def test_stretches_join_to_the_plain_filter(ar, ma):
+    y = np.random.default_rng(3).normal(size=2000).cumsum() * 0.1
+    many = [np.tile(x, (2, 1)) if len(x) else np.zeros((2, 0)) for x in (ar, ma)]
+    squares, logs, state = plain_filter(y, 0.3, ar, ma)
+    for cuts in ([0, 2000], [0, 3, 500, 501, 1100, 2000], list(range(0, 2001, 40))):
+        whole = None
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            own = stretch(y[a:b], np.full(2, 0.3), *many, before=a)
+            own = unflatten(own.flat(), 2, len(state))
+            whole = own if whole is None else join(whole, own)
+        assert whole.square == pytest.approx([squares] * 2, rel=1e-9) and whole.log_f == pytest.approx([logs] * 2, abs=1e-6)
+        assert whole.offset[1] == pytest.approx(state, abs=1e-8)
+
+
+def test_series_without_a_usable_order_fall_back(spark):
+    rows = [("flat", i, 5.0) for i in range(30)] + [("tiny", i, float(i)) for i in range(2)] + [("real", i, float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(rows, "key string, t long, y double")
+    best = {r.key: r for r in arima.ARIMACalibrated(1, 0, 1).fit(df).fits.collect()}
+    assert (best["real"].p, best["real"].d, best["real"].q) != (1, 1, 1) and best["real"].error is None
+    assert (best["tiny"].p, best["tiny"].d, best["tiny"].q) == (1, 1, 1) and "too few" in best["tiny"].error
+    assert (best["flat"].p, best["flat"].d, best["flat"].q) == (1, 1, 1)
+
+
 def test_failed_orders_carry_an_error(air):
     both = air.filter("t <= 5").withColumn("key", F.lit("short")).unionByName(air)
     rows = {r.key: r for r in arima.fit_orders(both, [(2, 1, 2)]).collect()}
