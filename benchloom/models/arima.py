@@ -20,11 +20,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from benchloom.models.arma_filter import Stretch, join, objective, stretch, system, unflatten
-from benchloom.operators.ordering import BROADCAST_ROWS, positions
-from benchloom.session import bounded_batches, checkpointed, fan_out
+from benchloom.models.panel import STRETCH_ROWS, packed_stretches, split_by_length
+from benchloom.operators.ordering import BROADCAST_ROWS
+from benchloom.session import checkpointed, fan_out
 
 DEFAULT_ORDER = (1, 1, 1)
-STRETCH_ROWS = 1_000_000
 STEP = 2e-4  # of the differences that stand for derivatives
 ROUNDS = 60
 LONGEST_STEP = 1.5
@@ -224,16 +224,10 @@ def _fit_groups(train: DataFrame, orders: Sequence[Order], keys: int) -> DataFra
 def fit_orders(train: DataFrame, orders: Sequence[Order], stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Fits of every series under every order (see FIT_SCHEMA); failed fits carry an error."""
     orders = list(dict.fromkeys(map(tuple, orders)))
-    sizes = train.groupBy("key").agg(F.count("*").alias("n"))
     stretch_rows = max(stretch_rows, max(d for _, d, _ in orders) + 8)
-    most, keys = sizes.agg(F.max("n"), F.count("*")).first()
-    if (most or 0) <= stretch_rows:
-        return _fit_groups(train, orders, keys)
-    long = checkpointed(sizes.filter(F.col("n") > stretch_rows).select("key"))
-    count = long.count()
-    long = F.broadcast(long) if count <= BROADCAST_ROWS else long
-    short = _fit_groups(train.join(long, "key", "left_anti"), orders, keys - count)
-    return short.unionByName(_fit_long(train.join(long, "key", "left_semi"), orders, stretch_rows))
+    short, keys, long = split_by_length(train, stretch_rows)
+    fits = _fit_groups(short, orders, keys)
+    return fits if long is None else fits.unionByName(_fit_long(long, orders, stretch_rows))
 
 
 # ------------------------------------------------------------------ long series
@@ -242,28 +236,9 @@ SEARCH = "key string, p int, d int, q int, n bigint, search array<double>, ends
 FORM = "key string, p int, d int, q int, chunk bigint, n bigint, search array<double>, form array<double>, ends array<double>"
 
 
-def _packed(train: DataFrame, lead: int, size: int) -> DataFrame:
-    """(key, chunk, y): the values of a stretch in order, behind the last `lead` values of the one before."""
-    numbered = positions(train, ["key"], ["t"], "_pos", size)
-    at, within = F.floor((F.col("_pos") - 1) / size), (F.col("_pos") - 1) % size
-    chunk = F.explode(F.when(within >= size - lead, F.array(at, at + 1)).otherwise(F.array(at)))
-    rows = numbered.select("key", "_pos", "y", chunk.alias("chunk"))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("_pos")
-        chunk = int(pdf["chunk"].iloc[0])
-        if y["_pos"].iloc[-1] <= chunk * size:  # only what the stretch before has lent: the series ends there
-            return pd.DataFrame({"key": [], "chunk": [], "y": []}, dtype=object)
-        return pd.DataFrame([{"key": pdf["key"].iloc[0], "chunk": chunk, "y": y["y"].to_numpy()}])
-
-    spread = rows.repartition(fan_out(train.sparkSession), "key", "chunk")
-    return checkpointed(spread.groupBy("key", "chunk").applyInPandas(pack, "key string, chunk bigint, y array<double>"))
-
-
 def _fit_long(train: DataFrame, orders: Sequence[Order], size: int) -> DataFrame:
-    bounded_batches(train.sparkSession)
     lead = max(d for _, d, _ in orders)
-    packed = _packed(train, lead, size)
+    packed = packed_stretches(train, lead, size)
     sums = train.groupBy("key").agg(F.count("*").alias("n"), F.avg("y").alias("center"), F.stddev_pop("y").alias("scale"))
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -164,7 +164,7 @@ def _lanes(x: np.ndarray, const: np.ndarray, t: np.ndarray, noise: np.ndarray, c
     return Stretch(move, state, square, cross, form, log_f), cov, read
 
 
-def _folded(lanes: Stretch, n: int) -> Stretch:
+def folded(lanes: Stretch, n: int) -> Stretch:
     """All lanes of one form per candidate, joined in order, pair by pair."""
 
     def part(s: Stretch, which) -> Stretch:
@@ -187,7 +187,7 @@ def stretch(y: np.ndarray, const: np.ndarray, ar: np.ndarray, ma: np.ndarray, be
     variances = Variances(t, w)
     cov = variances.at(before)[:, None]
     out, cov, read = _lanes(y[: min(HEAD, len(y)), None], const, t, variances.noise, cov, False, True)
-    whole = _folded(out, 1)
+    whole = folded(out, 1)
     rest, steady = y[read:], read < HEAD
     size = max(32, math.isqrt(len(rest)))
     for part in (rest[: len(rest) - len(rest) % size].reshape(-1, size).T, rest[len(rest) - len(rest) % size :, None]):
@@ -195,7 +195,7 @@ def stretch(y: np.ndarray, const: np.ndarray, ar: np.ndarray, ma: np.ndarray, be
             if not steady:
                 cov = variances.every(before + read, len(part), part.shape[1])
             more, _, _ = _lanes(part, const, t, variances.noise, cov, steady)
-            whole = join(whole, _folded(more, part.shape[1]))
+            whole = join(whole, folded(more, part.shape[1]))
             read += part.size
     return whole
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from benchloom.functions.columns import col, real
+from benchloom.operators.ordering import BROADCAST_ROWS, positions
 from benchloom.operators.series import lag_windows
+from benchloom.session import bounded_batches, checkpointed, fan_out
 
-MAX_SERIES_ROWS = 1_000_000
+STRETCH_ROWS = 1_000_000  # longer series are cut into stretches of so many values
 
 
 def panel(df: DataFrame, t: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -25,8 +28,35 @@ def _key_text(name: str):
     return F.coalesce(F.regexp_replace(col(name).cast("string"), r"([\\|])", r"\\$1"), F.lit("\\N"))
 
 
-def longest_series(df: DataFrame) -> int:
-    return df.groupBy("key").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+def split_by_length(df: DataFrame, most: int) -> tuple[DataFrame, int, DataFrame | None]:
+    """(series of at most `most` counted rows, how many they are, the longer ones or None)."""
+    sizes = df.groupBy("key").agg(F.count("*").alias("n"))
+    longest, keys = sizes.agg(F.max("n"), F.count("*")).first()
+    if (longest or 0) <= most:
+        return df, keys, None
+    long = checkpointed(sizes.filter(F.col("n") > most).select("key"))
+    count = long.count()
+    long = F.broadcast(long) if count <= BROADCAST_ROWS else long
+    return df.join(long, "key", "left_anti"), keys - count, df.join(long, "key", "left_semi")
+
+
+def packed_stretches(train: DataFrame, lead: int, size: int) -> DataFrame:
+    """(key, chunk, y): the values of a stretch in order, behind the last `lead` values of the one before."""
+    bounded_batches(train.sparkSession)
+    numbered = positions(train, ["key"], ["t"], "_pos", size)
+    at, within = F.floor((F.col("_pos") - 1) / size), (F.col("_pos") - 1) % size
+    chunk = F.explode(F.when(within >= size - lead, F.array(at, at + 1)).otherwise(F.array(at)))
+    rows = numbered.select("key", "_pos", "y", chunk.alias("chunk"))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = pdf.sort_values("_pos")
+        chunk = int(pdf["chunk"].iloc[0])
+        if y["_pos"].iloc[-1] <= chunk * size:  # only what the stretch before has lent: the series ends there
+            return pd.DataFrame({"key": [], "chunk": [], "y": []}, dtype=object)
+        return pd.DataFrame([{"key": pdf["key"].iloc[0], "chunk": chunk, "y": y["y"].to_numpy()}])
+
+    spread = rows.repartition(fan_out(train.sparkSession), "key", "chunk")
+    return checkpointed(spread.groupBy("key", "chunk").applyInPandas(pack, "key string, chunk bigint, y array<double>"))
 
 
 def last_values(df: DataFrame, n: int) -> DataFrame:

@@ -1,10 +1,16 @@
 """Holt-Winters (triple exponential smoothing) for panels of series.
 
-Candidate parameters are evaluated side by side as numpy vectors.  Series of at most ``max_rows`` counted rows are
-one group each.  Longer series are cut into stretches that run at the same time: every stretch starts from a
-guessed state, hands its final state to the next one, and the stretches whose start changed run again until
-nothing changes.  Smoothing forgets its start geometrically, so this takes few passes; and since the first
-stretch is right from the beginning, the result is that of the plain recursion in any case.
+Candidate parameters are evaluated side by side as numpy vectors.  Series of at most ``stretch_rows`` counted rows are
+one group each; longer ones are cut into stretches that run at the same time.
+
+Without a multiplicative part the recursion is linear, and stretches join exactly (see ``smoothing_scan``): one pass over
+the values for each round of the search, however many stretches there are.
+
+With a multiplicative part every stretch starts from a guessed state, hands its final state to the next one, and the
+stretches whose start changed run again until nothing changes.  With a multiplicative season, level times c and season over c
+is the same model: that direction is never forgotten, so states are handed over with mean season 1 and the factors are
+multiplied up afterwards.  The rest of the state is forgotten geometrically, so few passes do where stretches are longer than
+that memory; and since the first stretch is right from the beginning, the result is that of the plain recursion in any case.
 """
 
 from __future__ import annotations
@@ -16,8 +22,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from benchloom.models.panel import MAX_SERIES_ROWS, longest_series
-from benchloom.operators.ordering import positions
+from benchloom.models.panel import STRETCH_ROWS, packed_stretches, split_by_length
+from benchloom.models.smoothing_scan import follow, scan_numbers
+from benchloom.operators.ordering import BROADCAST_ROWS, positions
 from benchloom.session import checkpointed, fan_out
 
 FORMS = ("add", "mul", None)
@@ -140,9 +147,19 @@ def _frame(rows: list[dict]) -> pd.DataFrame:
     return pd.DataFrame([{c: r.get(c) for c in names} for r in rows]).astype({"n": "Int64"})
 
 
-def _with_forms(train: DataFrame, forms: Sequence[tuple]) -> DataFrame:
-    """One copy of the series per configuration: (key, config, t, y)."""
-    return train.select("key", F.explode(F.array(*[F.lit(i) for i in range(len(forms))])).alias("config"), "t", "y")
+def _config_of(forms: Sequence[tuple]):
+    """The number of a row's (trend, seasonal) among the forms, -1 if it is none of them."""
+    config = F.lit(-1)
+    for i, (tr, se) in enumerate(forms):
+        config = F.when(F.col("trend").eqNullSafe(F.lit(tr)) & F.col("seasonal").eqNullSafe(F.lit(se)), i).otherwise(config)
+    return config
+
+
+def _with_forms(train: DataFrame, forms: Sequence[tuple], choice: DataFrame | None) -> DataFrame:
+    """Copies of the series, one for each configuration, or the chosen one (key, trend, seasonal) only: (key, config, t, y)."""
+    if choice is None:
+        return train.select("key", F.explode(F.array(*[F.lit(i) for i in range(len(forms))])).alias("config"), "t", "y")
+    return train.join(choice.select("key", _config_of(forms).alias("config")), "key").select("key", "config", "t", "y")
 
 
 def _search(pdf: pd.DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int) -> dict:
@@ -163,8 +180,10 @@ def _search(pdf: pd.DataFrame, forms: Sequence[tuple], m: int, center: Sequence[
     return _row(key, *form, *(best if best else (run, None)))
 
 
-def _grouped(train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int) -> DataFrame:
-    rows = _with_forms(train, forms)
+def _grouped(
+    train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int, choice: DataFrame | None,
+) -> DataFrame:
+    rows = _with_forms(train, forms, choice)
     spread = rows.repartition(fan_out(rows.sparkSession), "key", "config")
     return spread.groupBy("key", "config").applyInPandas(
         lambda pdf: _frame([_search(pdf, forms, m, center, width, rounds)]), STATE_SCHEMA
@@ -173,10 +192,25 @@ def _grouped(train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[
 
 # ------------------------------------------------------------------ long series
 
-PASS_SCHEMA = "key string, config int, chunk bigint, n bigint, sse array<double>, state array<double>"
+PASS_SCHEMA = "key string, config int, chunk bigint, n bigint, sse array<double>, state array<double>, scale array<double>"
 _AT = ["key", "config", "chunk"]
 
 
+def _level_out(state: np.ndarray, trend: str | None, seasonal: str | None, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the state with mean season 1, logarithm of the factor that its level took); as it is without a multiplicative season."""
+    level, slope, season = (x := np.asarray(state, dtype=float).reshape(size + 2, -1).copy())[0], x[1], x[2:]
+    if seasonal != "mul":
+        return x.reshape(-1), np.zeros(x.shape[1])
+    with np.errstate(all="ignore"):
+        factor = season.mean(axis=0)
+        factor = np.where(np.isfinite(factor) & (factor > 0), factor, 1.0)
+        level *= factor
+        if trend == "add":
+            slope *= factor
+        season /= factor
+        return x.reshape(-1), np.log(factor)
+
+
 def _starts(first: DataFrame, forms: Sequence[tuple], m: int, copies: int) -> DataFrame:
     """(key, config, state): the start values from the first two seasons, for each of ``copies`` candidates."""
 
@@ -185,9 +219,10 @@ def _starts(first: DataFrame, forms: Sequence[tuple], m: int, copies: int) -> Da
         run.head = list(pdf.sort_values("t")["y"].to_numpy()[: run.needed])
         with np.errstate(all="ignore"):
             run._start()
-        return pd.DataFrame([{"key": pdf["key"].iloc[0], "config": int(pdf["config"].iloc[0]), "state": run.dump()}])
+        state, scale = _level_out(run.dump(), run.trend, run.seasonal, run.m)
+        return pd.DataFrame([{"key": pdf["key"].iloc[0], "config": int(pdf["config"].iloc[0]), "state": state, "scale": scale}])
 
-    return first.groupBy("key", "config").applyInPandas(start, "key string, config int, state array<double>")
+    return first.groupBy("key", "config").applyInPandas(start, "key string, config int, state array<double>, scale array<double>")
 
 
 def _one_round(chunked: DataFrame, starts: DataFrame, centers: DataFrame, forms: Sequence[tuple], m: int, width: float) -> DataFrame:
@@ -197,13 +232,18 @@ def _one_round(chunked: DataFrame, starts: DataFrame, centers: DataFrame, forms:
 
     def step(pdf: pd.DataFrame, init: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty or init.empty:
-            return pd.DataFrame({c: [] for c in ("key", "config", "chunk", "n", "sse", "state")})
+            return pd.DataFrame({c: [] for c in ("key", "config", "chunk", "n", "sse", "state", "scale")}, dtype=object)
         at, config = init.iloc[0], int(init["config"].iloc[0])
         run = Recursion(_candidates([at["ca"], at["cb"], at["cg"]], width), *forms[config], m)
         run.load(at["state"])
         with np.errstate(all="ignore"):
             run._run(pdf.sort_values("t")["y"].to_numpy())
-        return pd.DataFrame([{"key": at["key"], "config": config, "chunk": at["chunk"], "n": run.n, "sse": run.sse, "state": run.dump()}])
+        state, scale = run.dump(), np.zeros(len(run.a))
+        if run.pos == 0:  # what follows begins a season; the last stretch may end within one
+            state, scale = _level_out(state, run.trend, run.seasonal, run.m)
+        return pd.DataFrame([{
+            "key": at["key"], "config": config, "chunk": at["chunk"], "n": run.n, "sse": run.sse, "state": state, "scale": scale,
+        }])
 
     def run_pass(init: DataFrame) -> DataFrame:
         seeded = init.join(centers, ["key", "config"]).repartition(parts, *_AT)
@@ -229,7 +269,10 @@ def _one_round(chunked: DataFrame, starts: DataFrame, centers: DataFrame, forms:
     finite = F.when(~F.isnan("e") & (F.abs("e") < float("inf")), F.col("e")).otherwise(float("inf"))
     best = errors.groupBy("key", "config").agg(F.min(F.struct(finite.alias("e"), "i")).alias("b"))
     sizes = done.groupBy("key", "config").agg(F.sum("n").alias("total"), F.max_by("state", "chunk").alias("state"))
-    final = best.join(sizes, ["key", "config"]).join(centers, ["key", "config"])
+    scales = done.select("key", "config", "scale").unionByName(starts.select("key", "config", "scale"))
+    scales = scales.select("key", "config", F.posexplode("scale").alias("i", "s")).groupBy("key", "config", "i").agg(F.sum("s").alias("s"))
+    best = best.join(scales.select("key", "config", F.col("i").alias("_i"), F.col("s").alias("scale")), ["key", "config"]).filter(F.col("_i") == F.col("b.i"))
+    final = best.drop("_i").join(sizes, ["key", "config"]).join(centers, ["key", "config"])
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -241,6 +284,8 @@ def _one_round(chunked: DataFrame, starts: DataFrame, centers: DataFrame, forms:
                     yield _frame([{**base, "error": "no parameters give a finite fit"}])
                     continue
                 level, slope, *season = np.asarray(r["state"], dtype=float).reshape(size + 2, -1)[:, i]
+                factor = float(np.exp(r["scale"])) if seasonal == "mul" else 1.0
+                level, slope, season = level / factor, slope / factor if trend == "add" else slope, [v * factor for v in season]
                 alpha, beta, gamma = _candidates([r["ca"], r["cb"], r["cg"]], width)[i]
                 turn = int(r["total"]) % size
                 yield _frame([{
@@ -251,55 +296,129 @@ def _one_round(chunked: DataFrame, starts: DataFrame, centers: DataFrame, forms:
     return checkpointed(final.mapInPandas(finish, STATE_SCHEMA))
 
 
-def _long(train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int, chunk_rows: int) -> DataFrame:
-    length = max(2 * m, chunk_rows - chunk_rows % m)  # whole seasons, so that every stretch starts one
-    numbered = checkpointed(positions(train, ["key"], ["t"], "_pos", chunk_rows))
-    tall = numbered.select(
-        "key", F.explode(F.array(*[F.lit(i) for i in range(len(forms))])).alias("config"),
-        F.floor((F.col("_pos") - 1) / length).alias("chunk"), F.col("_pos").alias("t"), "y",
+def _iterated(
+    train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int, rows: int, choice: DataFrame | None,
+) -> DataFrame:
+    """Forms with a multiplicative part: (key, config, state columns) of long series."""
+    length = max(2 * m, rows - rows % m)  # whole seasons, so that every stretch starts one
+    numbered = checkpointed(positions(train, ["key"], ["t"], "_pos", rows).select("key", F.col("_pos").alias("t"), "y"))
+    tall = _with_forms(numbered, forms, choice).withColumn("chunk", F.floor((F.col("t") - 1) / length))
+    centers = checkpointed(tall.select("key", "config").distinct()).withColumns(
+        {c: F.lit(float(v)) for c, v in zip(("ca", "cb", "cg"), center, strict=True)}
     )
-    sizes = numbered.groupBy("key").agg(F.max("_pos").alias("_n"))
-    enough = tall.join(sizes.filter(F.col("_n") >= 2 * m).select("key"), "key", "left_semi")
-    centers = enough.select("key", "config").distinct().withColumns({c: F.lit(float(v)) for c, v in zip(("ca", "cb", "cg"), center)})
-    starts = checkpointed(_starts(enough.filter(F.col("t") <= 2 * m), forms, m, len(_candidates(center, width))))
+    starts = checkpointed(_starts(tall.filter(F.col("t") <= 2 * m), forms, m, len(_candidates(center, width))))
+    return _rounds(lambda centers, width: _one_round(tall, starts, centers, forms, m, width), centers, forms, width, rounds)
+
+
+def _scanned(
+    train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int, rows: int, choice: DataFrame | None,
+) -> DataFrame:
+    """Additive forms: one pass over the packed stretches for each round."""
+    length = max(2 * m, rows - rows % m)
+    packed = packed_stretches(train, 0, length)
+    first = packed.filter(F.col("chunk") == 0).select("key", F.posexplode(F.slice("y", 1, 2 * m)).alias("t", "y"))
+    starts = checkpointed(_starts(_with_forms(first, forms, choice), forms, m, 1).drop("scale"))
+    centers = starts.select("key", "config").withColumns({c: F.lit(float(v)) for c, v in zip(("ca", "cb", "cg"), center, strict=True)})
+    return _rounds(lambda centers, width: _one_scan(packed, starts, centers, forms, m, width), centers, forms, width, rounds)
+
+
+SCAN_SCHEMA = "key string, config int, chunk bigint, n bigint, ca double, cb double, cg double, state array<double>, numbers array<double>"
+
+
+def _one_scan(packed: DataFrame, starts: DataFrame, centers: DataFrame, forms: Sequence[tuple], m: int, width: float) -> DataFrame:
+    """Best candidate around the centers (key, config, ca, cb, cg), from the joined forms of all stretches."""
+    known = ["config", "ca", "cb", "cg", "state"]
+    asked = starts.join(centers, ["key", "config"]).groupBy("key").agg(F.collect_list(F.struct(*known)).alias("s"))
+    asked = asked.select("key", *[F.col(f"s.{c}").alias(c) for c in known])  # a row for each form
+    asked = checkpointed(asked)
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                y, rows = np.asarray(r.y, dtype=float), []
+                for config, ca, cb, cg, state in zip(r.config, r.ca, r.cb, r.cg, r.state, strict=True):
+                    # a constant taken off all values only shifts the level
+                    numbers = scan_numbers(y - state[0], _candidates([ca, cb, cg], width), *forms[config], m)
+                    rows.append({
+                        "key": r.key, "config": config, "chunk": r.chunk, "n": len(y), "ca": ca, "cb": cb, "cg": cg, "state": state,
+                        "numbers": numbers.reshape(-1),
+                    })
+                yield pd.DataFrame(rows)
+
+    def best(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = list(pdf.sort_values("chunk").itertuples())
+        at, total = rows[0], int(pdf["n"].sum())
+        trend, seasonal = forms[int(at.config)]
+        params, size = _candidates([at.ca, at.cb, at.cg], width), m if seasonal else 1
+        start = np.array(at.state, dtype=float)
+        shift, start[0] = start[0], 0.0
+        numbers = [np.asarray(r.numbers).reshape(len(params), -1) for r in rows]
+        states, sse = follow(start, numbers, [r.n for r in rows], params, trend, seasonal, m)
+        base = {"key": at.key, "trend": trend, "seasonal": seasonal, "error": None}
+        usable = np.isfinite(sse) & np.isfinite(states).all(axis=1)
+        if not usable.any():
+            return _frame([{**base, "error": "no parameters give a finite fit"}])
+        i, turn = int(np.argmin(np.where(usable, sse, np.inf))), total % size
+        level, slope, *season = states[i].tolist()
+        return _frame([{
+            **base, "n": total, "sse": float(sse[i]), "level": level + shift, "slope": slope, "season": season[turn:] + season[:turn],
+            **dict(zip(("alpha", "beta", "gamma"), params[i].tolist(), strict=True)),
+        }])
+
+    numbers = packed.join(asked, "key").mapInPandas(scan, SCAN_SCHEMA)
+    spread = numbers.repartition(fan_out(packed.sparkSession), "key", "config")
+    return checkpointed(spread.groupBy("key", "config").applyInPandas(best, STATE_SCHEMA))
+
+
+def _rounds(one_round, centers: DataFrame, forms: Sequence[tuple], width: float, rounds: int) -> DataFrame:
+    """The best state of all rounds, the grid closing in on the best point of each series and form."""
     best = None
     for _ in range(rounds):
-        found = _one_round(enough, starts, centers, forms, m, width)
+        found = one_round(centers, width)
         both = found if best is None else best.unionByName(found)
         pick = F.min_by(F.struct(*[F.col(c) for c in found.columns]), F.coalesce("sse", F.lit(float("inf"))))
         best = checkpointed(both.groupBy("key", "trend", "seasonal").agg(pick.alias("s")).select("s.*"))
-        config = F.lit(-1)
-        for i, (tr, se) in enumerate(forms):
-            config = F.when(F.col("trend").eqNullSafe(F.lit(tr)) & F.col("seasonal").eqNullSafe(F.lit(se)), i).otherwise(config)
         centers = best.filter(F.col("error").isNull()).select(
-            "key", config.alias("config"), F.col("alpha").alias("ca"), F.col("beta").alias("cb"), F.col("gamma").alias("cg")
+            "key", _config_of(forms).alias("config"), F.col("alpha").alias("ca"), F.col("beta").alias("cb"), F.col("gamma").alias("cg")
         )
         width *= SHRINK
-    short = sizes.filter(F.col("_n") < 2 * m).select("key", F.col("_n").alias("n"))
-    pairs = F.array(*[F.struct(F.lit(tr).cast("string").alias("trend"), F.lit(se).cast("string").alias("seasonal")) for tr, se in forms])
-    failed = short.select("key", F.explode(pairs).alias("f"), F.lit(f"needs at least {2 * m} values").alias("error")).select("key", "f.*", "error")
-    return best.unionByName(failed, allowMissingColumns=True)
+    return best
 
 
 def _states(
-    train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int, max_rows: int
+    train: DataFrame, forms: Sequence[tuple], m: int, center: Sequence[float], width: float, rounds: int, stretch_rows: int,
+    choice: DataFrame | None = None,
 ) -> DataFrame:
-    if longest_series(train) <= max_rows:
-        return _grouped(train, forms, m, center, width, rounds)
-    return _long(train, forms, m, center, width, rounds, max_rows)
+    """Fitted states of all forms, or of the chosen one (key, trend, seasonal) of each series."""
+    stretch_rows = max(stretch_rows, 2 * m)
+    short, _, long = split_by_length(train, stretch_rows)
+    out = _grouped(short, forms, m, center, width, rounds, choice)
+    if long is None:
+        return out
+    for run, own in ((_scanned, [f for f in forms if "mul" not in f]), (_iterated, [f for f in forms if "mul" in f])):
+        if own:
+            picked = None if choice is None else choice.filter(_config_of(own) >= 0)
+            out = out.unionByName(run(long, own, m, center, width, rounds, stretch_rows, picked))
+    return out
 
 
 def holt_winters_fixed(
     train: DataFrame, alpha: float, beta: float, gamma: float, trend: str | None = "add", seasonal: str | None = "add", m: int = 12,
-    max_rows: int = MAX_SERIES_ROWS,
+    stretch_rows: int = STRETCH_ROWS,
 ) -> DataFrame:
     """Final state per key for given parameters (see STATE_SCHEMA)."""
-    return _states(train, [(trend, seasonal)], m, [alpha, beta, gamma], 0.0, 1, max_rows)
+    return _states(train, [(trend, seasonal)], m, [alpha, beta, gamma], 0.0, 1, stretch_rows)
 
 
-def fit_states(train: DataFrame, forms: Sequence[tuple], m: int, max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
-    """Fitted state per (key, trend, seasonal): least squared one-step error over alpha, beta, gamma."""
-    return _states(train, list(forms), m, [0.5, 0.5, 0.5], 0.49, ROUNDS, max_rows)
+def fit_states(
+    train: DataFrame, forms: Sequence[tuple], m: int, stretch_rows: int = STRETCH_ROWS, choice: DataFrame | None = None,
+) -> DataFrame:
+    """Fitted state per (key, trend, seasonal): least squared one-step error over alpha, beta, gamma.
+
+    `choice` (key, trend, seasonal): fit this one of the forms for each series, and only series that it names.
+    """
+    return _states(train, list(forms), m, [0.5, 0.5, 0.5], 0.49, ROUNDS, stretch_rows, choice)
 
 
 def forecast_states(states: DataFrame, steps: int) -> DataFrame:
@@ -320,28 +439,28 @@ def forecast_states(states: DataFrame, steps: int) -> DataFrame:
 class HoltWinters:
     """Series model with one configuration."""
 
-    def __init__(self, seasonal_periods: int = 12, trend: str | None = "add", seasonal: str | None = "add", max_rows: int = MAX_SERIES_ROWS):
+    def __init__(self, seasonal_periods: int = 12, trend: str | None = "add", seasonal: str | None = "add", stretch_rows: int = STRETCH_ROWS):
         if trend not in FORMS or seasonal not in FORMS:
             raise ValueError("trend and seasonal are 'add', 'mul' or None")
-        self.m, self.trend, self.seasonal, self.max_rows = seasonal_periods, trend, seasonal, max_rows
+        self.m, self.trend, self.seasonal, self.stretch_rows = seasonal_periods, trend, seasonal, stretch_rows
         self.states: DataFrame | None = None
 
     def fit(self, train: DataFrame) -> "HoltWinters":
-        out = type(self)(self.m, self.trend, self.seasonal, self.max_rows)
-        out.states = fit_states(train, [(self.trend, self.seasonal)], self.m, self.max_rows)
+        out = type(self)(self.m, self.trend, self.seasonal, self.stretch_rows)
+        out.states = fit_states(train, [(self.trend, self.seasonal)], self.m, self.stretch_rows)
         return out
 
     def forecast(self, steps: int) -> DataFrame:
         return forecast_states(self.states, steps).select("key", "step", "yhat")
 
 
-def calibrate(train: DataFrame, m: int, max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+def calibrate(train: DataFrame, m: int, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """(key, trend, seasonal, mse): the configuration with the least error on each series' last m values."""
     sizes = train.groupBy("key").agg(F.count("*").alias("_n"))
     pos = positions(train, ["key"], ["t"], "pos").join(sizes, "key")
     head = pos.filter(F.col("pos") <= F.col("_n") - m).select("key", "t", "y")
     tail = pos.filter(F.col("pos") > F.col("_n") - m).select("key", (F.col("pos") - F.col("_n") + m).cast("int").alias("step"), "y")
-    predicted = forecast_states(fit_states(head, CALIBRATION, m, max_rows), m)
+    predicted = forecast_states(fit_states(head, CALIBRATION, m, stretch_rows), m)
     scored = (
         predicted.join(tail, ["key", "step"]).groupBy("key", "trend", "seasonal")
         .agg(F.avg(F.pow(F.col("y") - F.col("yhat"), 2)).alias("mse")).filter(~F.isnan("mse"))
@@ -356,16 +475,16 @@ def calibrate(train: DataFrame, m: int, max_rows: int = MAX_SERIES_ROWS) -> Data
 class HoltWintersCalibrated:
     """Series model that picks the configuration on the last season, then refits on all values."""
 
-    def __init__(self, seasonal_periods: int = 12, max_rows: int = MAX_SERIES_ROWS):
-        self.m, self.max_rows = seasonal_periods, max_rows
+    def __init__(self, seasonal_periods: int = 12, stretch_rows: int = STRETCH_ROWS):
+        self.m, self.stretch_rows = seasonal_periods, stretch_rows
         self.states: DataFrame | None = None
         self.choice: DataFrame | None = None
 
     def fit(self, train: DataFrame) -> "HoltWintersCalibrated":
-        out = type(self)(self.m, self.max_rows)
-        out.choice = calibrate(train, self.m, self.max_rows)
-        fitted = fit_states(train, CALIBRATION, self.m, self.max_rows)
-        out.states = fitted.join(out.choice.select("key", "trend", "seasonal"), ["key", "trend", "seasonal"], "left_semi")
+        out = type(self)(self.m, self.stretch_rows)
+        out.choice = calibrate(train, self.m, self.stretch_rows)
+        out.choice = checkpointed(out.choice)
+        out.states = fit_states(train, CALIBRATION, self.m, self.stretch_rows, out.choice)
         return out
 
     def forecast(self, steps: int) -> DataFrame:

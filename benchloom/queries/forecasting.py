@@ -70,8 +70,8 @@ def _hw_sql(mul: bool, a: str = "0.3::DOUBLE", g: str = "0.2::DOUBLE") -> str:
     )
 
 
-def _hw_fixed(spark, sf, seasonal):
-    states = smoothing.holt_winters_fixed(monthly_orders(spark, sf), 0.3, 0.1, 0.2, "add", seasonal, 12)
+def _hw_fixed(spark, sf, seasonal, trend="add", **options):
+    states = smoothing.holt_winters_fixed(monthly_orders(spark, sf), 0.3, 0.1, 0.2, trend, seasonal, 12, **options)
     out = smoothing.forecast_states(states, STEPS).join(states.select("key", "sse"), "key").select("key", "step", "yhat", "sse")
     return rounded(rounded(out, ["yhat"]), ["sse"], 4)
 
@@ -86,6 +86,52 @@ def holt_winters_fixed_mul(spark, sf):
     return _hw_fixed(spark, sf, "mul")
 
 
+def _plain_sql(trend: bool) -> str:
+    """Smoothing without a season; it starts from the first value, with the first step as slope."""
+    base = "(l + b)" if trend else "l"
+    slope = f"0.1::DOUBLE * (0.3::DOUBLE * y + (1 - 0.3::DOUBLE) * {base} - l) + (1 - 0.1::DOUBLE) * b" if trend else "0.0::DOUBLE"
+    return (
+        f"WITH RECURSIVE s AS (SELECT key, y, row_number() OVER (PARTITION BY key ORDER BY t) AS pos, count(*) OVER (PARTITION BY key) AS n FROM {MONTHLY_SQL} q), "
+        f"i AS (SELECT key, max(y) FILTER (pos = 1) AS l, {'max(y) FILTER (pos = 2) - max(y) FILTER (pos = 1)' if trend else '0.0::DOUBLE'} AS b FROM s WHERE n >= 2 GROUP BY 1), "
+        "hw AS (SELECT key, 0::BIGINT AS pos, l, b, 0.0::DOUBLE AS sse FROM i UNION ALL "
+        f"SELECT hw.key, s.pos, 0.3::DOUBLE * y + (1 - 0.3::DOUBLE) * {base}, {slope}, sse + pow(y - {base}, 2) FROM hw JOIN s ON s.key = hw.key AND s.pos = hw.pos + 1) "
+        f"SELECT hw.key, step, round(l{' + step * b' if trend else ''}, 6) AS yhat, round(sse, 4) AS sse "
+        f"FROM hw JOIN (SELECT key, max(n) AS n FROM s GROUP BY 1) e ON e.key = hw.key AND hw.pos = e.n CROSS JOIN {H}"
+    )
+
+
+SEASON_SQL = (
+    f"WITH RECURSIVE s AS (SELECT key, y, row_number() OVER (PARTITION BY key ORDER BY t) AS pos, count(*) OVER (PARTITION BY key) AS n FROM {MONTHLY_SQL} q), "
+    "i AS (SELECT key, avg(y) FILTER (pos <= 12) AS l, list(y ORDER BY pos) FILTER (pos <= 12) AS f FROM s WHERE n >= 24 GROUP BY 1), "
+    "hw AS (SELECT key, 0::BIGINT AS pos, l, [v - l for v in f] AS ss, 0.0::DOUBLE AS sse FROM i UNION ALL "
+    "SELECT hw.key, s.pos, 0.3::DOUBLE * (y - ss[1]) + (1 - 0.3::DOUBLE) * l, list_append(ss[2:], 0.2::DOUBLE * (y - l) + (1 - 0.2::DOUBLE) * ss[1]), sse + pow(y - l - ss[1], 2) "
+    "FROM hw JOIN s ON s.key = hw.key AND s.pos = hw.pos + 1) "
+    "SELECT hw.key, step, round(l + ss[(step - 1) % 12 + 1], 6) AS yhat, round(sse, 4) AS sse "
+    f"FROM hw JOIN (SELECT key, max(n) AS n FROM s GROUP BY 1) e ON e.key = hw.key AND hw.pos = e.n CROSS JOIN {H}"
+)
+
+
+@query("smoothing_level", _plain_sql(False))
+def smoothing_level(spark, sf):
+    return _hw_fixed(spark, sf, None, None)
+
+
+@query("smoothing_trend", _plain_sql(True))
+def smoothing_trend(spark, sf):
+    return _hw_fixed(spark, sf, None)
+
+
+@query("smoothing_season", SEASON_SQL)
+def smoothing_season(spark, sf):
+    return _hw_fixed(spark, sf, "add", None)
+
+
+@query("smoothing_in_stretches", _hw_sql(False))
+def smoothing_in_stretches(spark, sf):
+    """The additive recursion through stretches of two years, as long series run."""
+    return _hw_fixed(spark, sf, "add", stretch_rows=24)
+
+
 @query("holt_winters_fit")
 def holt_winters_fit(spark, sf):
     return rounded(smoothing.HoltWinters(12).fit(monthly_orders(spark, sf)).forecast(STEPS), ["yhat"], 4)

@@ -8,6 +8,7 @@ from benchloom.models.arma_filter import join, stretch, system, unflatten
 from benchloom.models.series_registry import build_timeseries_models, get_timeseries_models
 from benchloom.models.window_ar import WindowRegression
 from benchloom.operators import series
+from benchloom.session import checkpointed
 from benchloom.sources.builtin import AIRLINE_PASSENGERS, airline_passengers
 
 AIR = np.array(AIRLINE_PASSENGERS, dtype=float)
@@ -46,13 +47,54 @@ def test_long_series_run_in_stretches(air):
     both = both.unionByName(air.filter("t <= 20").select(F.lit("short").alias("key"), "t", "y"))
     for seasonal in ("add", "mul"):
         whole = smoothing.holt_winters_fixed(both, 0.3, 0.1, 0.4, "add", seasonal, 12).orderBy("key").collect()
-        cut = smoothing.holt_winters_fixed(both, 0.3, 0.1, 0.4, "add", seasonal, 12, max_rows=48).orderBy("key").collect()
+        cut = smoothing.holt_winters_fixed(both, 0.3, 0.1, 0.4, "add", seasonal, 12, stretch_rows=48).orderBy("key").collect()
         for a, b in zip(whole, cut, strict=True):
             assert (a.error is None) == (b.error is None) == (a.key != "short")
             if a.error is None:
                 assert (b.n, b.level, b.slope, b.sse) == pytest.approx((a.n, a.level, a.slope, a.sse)) and b.season == pytest.approx(a.season)
 
 
+@pytest.mark.parametrize(("trend", "seasonal"), [("add", "add"), (None, None), ("add", None), (None, "add")])
+def test_additive_forms_take_one_pass_a_round_however_many_stretches(spark, monkeypatch, trend, seasonal):
+    t = np.arange(1203)
+    y = 50 + np.cumsum(np.random.default_rng(6).normal(size=1203)) + 10 * np.sin(t * 2 * np.pi / 12)
+    df = spark.createDataFrame(pd.DataFrame({"key": "k", "t": t, "y": y}))
+    whole = smoothing.fit_states(df, [(trend, seasonal)], 12).first()
+    passes, scan = [], smoothing._one_scan
+    monkeypatch.setattr(smoothing, "_one_scan", lambda *a: passes.append(1) or scan(*a))
+    for rows in (240, 24):
+        cut = smoothing.fit_states(df, [(trend, seasonal)], 12, stretch_rows=rows).first()
+        assert (cut.trend, cut.seasonal, cut.n) == (trend, seasonal, 1203)
+        assert (cut.sse, cut.alpha, cut.beta, cut.gamma) == pytest.approx((whole.sse, whole.alpha, whole.beta, whole.gamma), rel=1e-8)
+        assert [cut.level, cut.slope, *cut.season] == pytest.approx([whole.level, whole.slope, *whole.season], abs=1e-6)
+    assert len(passes) == 2 * smoothing.ROUNDS
+
+
+def test_multiplicative_season_needs_no_pass_for_each_stretch(spark, monkeypatch):
+    t = np.arange(14403)
+    y = (50 + np.cumsum(np.random.default_rng(6).normal(size=len(t))) * 0.1) * (1 + 0.2 * np.sin(t * 2 * np.pi / 12))
+    counts = []
+    for n in (5403, 14403):  # 4 and 9 stretches, each longer than the memory of the recursion
+        df = spark.createDataFrame(pd.DataFrame({"key": "k", "t": t[:n], "y": y[:n]}))
+        whole = smoothing.holt_winters_fixed(df, 0.3, 0.1, 0.2, "add", "mul", 12).first()
+        passes = []
+        monkeypatch.setattr(smoothing, "checkpointed", lambda d, p=passes: p.append(1) or checkpointed(d))
+        cut = smoothing.holt_winters_fixed(df, 0.3, 0.1, 0.2, "add", "mul", 12, stretch_rows=1800).first()
+        counts.append(len(passes))
+        assert [cut.sse, cut.level, cut.slope, *cut.season] == pytest.approx([whole.sse, whole.level, whole.slope, *whole.season], rel=1e-7)
+    assert counts[0] == counts[1]
+
+
+def test_only_the_chosen_form_is_fitted(air):
+    both = air.unionByName(air.select(F.lit("other").alias("key"), "t", (F.col("y") * 2).alias("y")))
+    choice = both.select("key").distinct().withColumns({"trend": F.lit("add"), "seasonal": F.when(F.col("key") == "other", "add").otherwise("mul")})
+    every = {(r.key, r.trend, r.seasonal): r for r in smoothing.fit_states(both, smoothing.CALIBRATION, 12).collect()}
+    for rows in (1000, 72):
+        own = smoothing.fit_states(both, smoothing.CALIBRATION, 12, rows, choice).collect()
+        assert sorted((r.key, r.trend, r.seasonal) for r in own) == [("airline", "add", "mul"), ("other", "add", "add")]
+        assert all(r.sse == pytest.approx(every[r.key, r.trend, r.seasonal].sse, rel=1e-6) for r in own)
+
+
 def test_fit_beats_fixed_parameters_and_forecasts(air):
     fitted = smoothing.fit_states(air, [("add", "mul")], 12)
     row = fitted.first()
