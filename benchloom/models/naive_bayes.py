@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from benchloom.functions.columns import col
 from benchloom.models.base import VECTOR, with_vector
+from benchloom.models.fold_sums import FoldModels, naive_bayes_folds
 
 MAX_CLASSES = 1000
 
@@ -39,6 +40,11 @@ class GaussianNB(Estimator):
         return GaussianNBModel([r["label"] for r in rows], n / n.sum(), mean, var + self.var_smoothing * total_var.max())
 
 
+    def fit_folds(self, folds: DataFrame, k: int) -> FoldModels:
+        """The models of a cross-validation, each without one fold, from one scan."""
+        return naive_bayes_folds(folds, k, self.var_smoothing, MAX_CLASSES)
+
+
 class GaussianNBModel(Model):
     def __init__(self, classes: list[float], prior: np.ndarray, mean: np.ndarray, var: np.ndarray):
         super().__init__()

@@ -10,6 +10,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, Log
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
+from benchloom.models.fold_sums import ridge_folds
 from benchloom.models.base import TabularEstimator
 from benchloom.models.kernel import SVMClassifier, SVRegressor
 from benchloom.models.knn import KNNClassifier, KNNRegressor
@@ -88,7 +89,13 @@ def ridge(alpha: float = 1.0, seed: int = 42) -> Estimator:
         n, dev = df.agg(F.count("*"), F.stddev_pop("label")).first()
         return LinearRegression(elasticNetParam=0.0, solver="normal", standardization=False, regParam=alpha * (dev or 1.0) / n)
 
-    return TabularEstimator("Ridge", build, False, {"alpha": alpha})
+    return RidgeEstimator("Ridge", build, False, {"alpha": alpha})
+
+
+class RidgeEstimator(TabularEstimator):
+    def fit_folds(self, folds: DataFrame, k: int):
+        """The models of a cross-validation, each without one fold, from one scan; None where values are missing."""
+        return ridge_folds(folds, k, self.settings["alpha"])
 
 
 def lasso(alpha: float = 1.0, max_iter: int = 2000, seed: int = 42) -> Estimator:

@@ -12,6 +12,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from benchloom.functions.columns import col, long_rows, numeric_columns, real, safe_div
+from benchloom.operators.gram import correlation_of, pair_sums, shifts
 from benchloom.operators.quantiles import SMALL_ROWS, exact_quantiles
 
 # Imbalance limits and the names of the severity levels.
@@ -173,12 +174,26 @@ def check_imbalance(df: DataFrame, label: str) -> DataFrame:
     )
 
 
+WIDE = 16
+
+
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every ordered pair over the rows where both are present: a, b, r.
 
-    One aggregate for all pairs.  A constant column gives NULL, not an error.
+    One aggregate for all pairs; for more than ``WIDE`` columns, whose plan would grow with their square, products of
+    matrices.  A constant column gives NULL, not an error.
     """
     columns = list(columns) if columns is not None else numeric_columns(df, include_bool=True)
+    if len(columns) > WIDE:
+        values = F.array(*[real(c) for c in columns])
+        shift = shifts(df, values, len(columns))
+        found = correlation_of(pair_sums(df, values, len(columns), shift), shift)
+        names = F.array(*map(F.lit, columns))
+        name = lambda c: F.element_at(names, F.col(c) + 1)
+        both = F.when(F.col("i") == F.col("j"), F.array(F.struct(name("i").alias("a"), name("j").alias("b")))).otherwise(
+            F.array(F.struct(name("i").alias("a"), name("j").alias("b")), F.struct(name("j").alias("a"), name("i").alias("b")))
+        )
+        return found.select(F.explode(both).alias("e"), "r").select("e.a", "e.b", "r")
     pos = {c: i for i, c in enumerate(columns)}
     src = df.select(*[real(c).alias(f"v{i}") for i, c in enumerate(columns)])
     aggs = []

@@ -21,8 +21,11 @@ REGRESSION_SCORES = ("r2", "mse", "rmse", "mae")
 def cv_predictions(estimator, folds: DataFrame, k: int, parallelism: int = 2, keep: Sequence[str] = ("row_id", "label", "fold")) -> DataFrame:
     """Out-of-fold predictions of all folds in one table: keep, prediction, prob.
 
-    Fold models are fitted from a small driver thread pool; each fit is itself a distributed job.
+    An estimator with ``fit_folds`` fits the models of all folds from one scan. Those of others are fitted from a small driver
+    thread pool; each fit is itself a distributed job.
     """
+    if from_sums(estimator) and (models := estimator.fit_folds(folds, k)) is not None:
+        return models.transform(folds).select(*[col(c) for c in keep], "prediction", "prob")
 
     def one(i: int) -> DataFrame:
         model = estimator.fit(folds.filter(F.col("fold") != i))
@@ -37,6 +40,16 @@ def cv_predictions(estimator, folds: DataFrame, k: int, parallelism: int = 2, ke
     return out
 
 
+def from_sums(estimator) -> bool:
+    """Does the estimator fit all folds from one scan?"""
+    return hasattr(estimator, "fit_folds")
+
+
+def prepared(folds: DataFrame, *estimators) -> DataFrame:
+    """Folds as the estimators read them: written once, unless all of them take two scans only."""
+    return folds if all(map(from_sums, estimators)) else checkpointed(folds)
+
+
 def fold_scores(predictions: DataFrame, scoring: str, label: str = "label") -> DataFrame:
     """(fold, score) of tagged predictions - one grouped aggregate for all folds."""
     if scoring == "roc_auc":
@@ -62,12 +75,12 @@ def _validate(estimator, folds: DataFrame, k: int, scoring: str, parallelism: in
 
 def kfold_validation(estimator, df: DataFrame, k: int = 5, scoring: str = "r2", seed: int = 42, parallelism: int = 2) -> dict:
     """Shuffled k-fold: {'scores', 'mean', 'std'} (std with ddof = 0)."""
-    return _validate(estimator, checkpointed(kfold_assign(df, "row_id", k, seed)), k, scoring, parallelism)
+    return _validate(estimator, prepared(kfold_assign(df, "row_id", k, seed), estimator), k, scoring, parallelism)
 
 
 def stratified_kfold(estimator, df: DataFrame, k: int = 5, scoring: str = "roc_auc", seed: int = 42, parallelism: int = 2) -> dict:
     """Stratified k-fold: {'scores', 'mean', 'std'}."""
-    return _validate(estimator, checkpointed(stratified_fold_assign(df, "row_id", "label", k, seed)), k, scoring, parallelism)
+    return _validate(estimator, prepared(stratified_fold_assign(df, "row_id", "label", k, seed), estimator), k, scoring, parallelism)
 
 
 def manual_kfold_metrics(predictions: DataFrame, problem_type: str = "classification", label: str = "label") -> DataFrame:
@@ -86,7 +99,7 @@ def manual_kfold(estimator, df: DataFrame, k: int = 5, problem_type: str = "clas
         folds = stratified_fold_assign(df, "row_id", "label", k, seed)
     else:
         folds = kfold_assign(df, "row_id", k, seed)
-    return manual_kfold_metrics(cv_predictions(estimator, checkpointed(folds), k, parallelism), problem_type)
+    return manual_kfold_metrics(cv_predictions(estimator, prepared(folds, estimator), k, parallelism), problem_type)
 
 
 def fold_listing(scores: DataFrame, column: str = "cv_scores", model: str = "model") -> DataFrame:

@@ -23,7 +23,7 @@ from benchloom.operators.ordering import positions
 from benchloom.operators.scale import Scaler, fit_scaler
 from benchloom.operators.series import time_split
 from benchloom.operators.split import kfold_assign, split_data, stratified_fold_assign
-from benchloom.operators.validate import _validate
+from benchloom.operators.validate import _validate, prepared
 from benchloom.session import checkpointed
 
 log = logging.getLogger(__name__)
@@ -118,7 +118,8 @@ def benchmark_classification(
         balanced = apply_balancing(train, balancing, "label", seed)
         if balanced is not train:
             balanced = checkpointed(balanced)
-        folds = checkpointed(stratified_fold_assign(train, "row_id", "label", cv_folds, seed))
+        folds = stratified_fold_assign(train, "row_id", "label", cv_folds, seed)
+        folds = checkpointed(folds) if balance_inside_fold or scale_inside_fold else prepared(folds, *models.values())
 
         def predict(estimator) -> DataFrame:
             return predict_classification(estimator.fit(balanced), test, threshold).select("row_id", "label", "pred", "prob")
@@ -193,7 +194,8 @@ def benchmark_regression(
     models = models if models is not None else get_regression_models(seed)
     train, test = train.persist(), test.persist()
     try:
-        folds = checkpointed(kfold_assign(train, "row_id", cv_folds, seed))
+        folds = kfold_assign(train, "row_id", cv_folds, seed)
+        folds = checkpointed(folds) if scale_inside_fold else prepared(folds, *models.values())
         parts, cv, failed = _run_models(
             models,
             lambda e: e.fit(train).transform(test).select("row_id", "label", "prediction"),

@@ -145,14 +145,57 @@ def _cv_frame(spark, cv: dict) -> DataFrame:
     return spark.createDataFrame([(cv["mean"], cv["std"], cv["scores"])], "mean double, std double, scores array<double>")
 
 
-@query("stratified_cv_auc")
+CV_SUMMARY = "round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS std, list(round(score, 6) ORDER BY fold) AS scores"
+
+NB_CV_SQL = f"""WITH s AS (SELECT *, ((row_number() OVER (ORDER BY label, md5('42|fold|' || row_id), row_id) - 1) % 5)::INTEGER AS fold FROM {EMBEDDED_SQL} e),
+x AS (SELECT row_id, label, fold, unnest(features) AS v, generate_subscripts(features, 1) AS j FROM s),
+own AS (SELECT fold, label, j, count(*)::DOUBLE AS n, sum(v) AS sv, sum(v * v) AS sq FROM x GROUP BY 1, 2, 3),
+rest AS (SELECT k.fold, label, j, sum(n) AS n, sum(sv) AS sv, sum(sq) AS sq FROM own JOIN (SELECT DISTINCT fold FROM s) k ON k.fold <> own.fold GROUP BY 1, 2, 3),
+eps AS (SELECT fold, max(vp) * 1e-9::DOUBLE AS e FROM (SELECT fold, j, sum(sq) / sum(n) - pow(sum(sv) / sum(n), 2) AS vp FROM rest GROUP BY 1, 2) a GROUP BY 1),
+st AS (SELECT fold, label AS c, j, n, sv / n AS mu, sq / n - pow(sv / n, 2) + e AS va FROM rest JOIN eps USING (fold)),
+ll AS (SELECT x.row_id, x.label, x.fold, st.c, ln(any_value(st.n)) - 0.5::DOUBLE * sum(ln(va) + pow(v - mu, 2) / va) AS g
+       FROM x JOIN st ON st.fold = x.fold AND st.j = x.j GROUP BY 1, 2, 3, 4),
+p AS (SELECT row_id, label, fold, 1 / (1 + exp(sum(CASE WHEN c = 1 THEN -g ELSE g END))) AS prob FROM ll GROUP BY 1, 2, 3),
+g AS (SELECT fold, prob, (count(*) FILTER (label = 1))::DOUBLE AS pos, (count(*) FILTER (label = 0))::DOUBLE AS neg FROM p GROUP BY 1, 2),
+u AS (SELECT fold, sum(pos * (cum - neg + neg / 2)) / (sum(pos) * sum(neg)) AS score FROM (SELECT *, sum(neg) OVER (PARTITION BY fold ORDER BY prob) AS cum FROM g) h GROUP BY 1)
+SELECT {CV_SUMMARY} FROM u"""
+
+
+def _rounded_cv(spark, cv: dict) -> DataFrame:
+    frame = _cv_frame(spark, cv)
+    return rounded(frame, ["mean", "std"]).withColumn("scores", F.transform("scores", lambda s: F.round(s, 6)))
+
+
+@query("stratified_cv_auc", NB_CV_SQL)
 def stratified_cv_auc(spark, sf):
-    return _cv_frame(spark, stratified_kfold(GaussianNB(), embedded(spark, sf)))
+    return _rounded_cv(spark, stratified_kfold(GaussianNB(), embedded(spark, sf)))
+
 
+RIDGE_CV_SQL = f"""WITH s AS (SELECT row_id, label AS y, features[1] AS u, features[2] AS v,
+  ((row_number() OVER (ORDER BY md5('42|fold|' || row_id), row_id) - 1) % 5)::INTEGER AS fold FROM {PARTS_SQL} q),
+t AS (SELECT k.fold, avg(y) AS my, avg(u) AS mu, avg(v) AS mv, var_pop(u) * count(*) + 1 AS uu, var_pop(v) * count(*) + 1 AS vv, covar_pop(u, v) * count(*) AS uv,
+  covar_pop(u, y) * count(*) AS uy, covar_pop(v, y) * count(*) AS vy FROM s JOIN (SELECT DISTINCT fold FROM s) k ON s.fold <> k.fold GROUP BY 1),
+w AS (SELECT *, (uy * vv - vy * uv) / (uu * vv - uv * uv) AS a, (vy * uu - uy * uv) / (uu * vv - uv * uv) AS b FROM t),
+r AS (SELECT fold, 1 - avg(pow(y - my - a * (u - mu) - b * (v - mv), 2)) / var_pop(y) AS score FROM s JOIN w USING (fold) GROUP BY 1)
+SELECT {CV_SUMMARY} FROM r"""
 
-@query("kfold_cv_r2")
+
+@query("kfold_cv_r2", RIDGE_CV_SQL)
 def kfold_cv_r2(spark, sf):
-    return _cv_frame(spark, kfold_validation(registry.ridge(), priced_parts(spark, sf)))
+    return _rounded_cv(spark, kfold_validation(registry.ridge(), priced_parts(spark, sf)))
+
+
+@query(
+    "correlation_wide",
+    "WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS j FROM embeddings) "
+    "SELECT 'd' || a.j AS a, 'd' || b.j AS b, round(corr(a.v, b.v), 6) AS r FROM x a JOIN x b USING (vec_id) GROUP BY 1, 2",
+)
+def correlation_wide(spark, sf):
+    """Correlations of the 64 dimensions of the embeddings."""
+    from benchloom.operators.profile import correlations
+
+    vectors = load(spark, sf, "embeddings")
+    return rounded(correlations(vectors.select(*[F.col("embedding")[j].alias(f"d{j + 1}") for j in range(64)])), ["r"])
 
 
 @query("bench_classification")
