@@ -6,11 +6,17 @@ triangle inequality cannot rule out (after Lu et al., "Efficient Processing of k
 MapReduce", PVLDB 2012).  The result is exact.  Rows meet by an equi-join on cells that are cut into blocks of
 bounded size by a hash of the row id, so a cell with a third of all rows only has more blocks; each block pair
 gives at most k rows per query, and the last step keeps the best k of them.
+
+One level of cells serves up to ``TREE_ROWS`` counted base rows.  Beyond that cells get leaves of their own (see
+``neighbor_tree``), so that the rows a query meets do not grow with the table where distances tell rows apart.  Without
+such structure, in many dimensions, little can be ruled out and the work is quadratic; ``approximate.similar_rows`` is the
+explicit alternative.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -18,6 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from benchloom.functions.columns import col
 from benchloom.functions.hashing import hash_key
+from benchloom.operators.neighbor_tree import PivotTree
 from benchloom.operators.ordering import BROADCAST_ROWS
 from benchloom.session import checkpointed, fan_out
 
@@ -25,6 +32,7 @@ METRICS = ("euclidean", "manhattan", "chebyshev")
 BLOCK_ROWS = 4096
 MIN_BLOCK_ROWS = 512
 MAX_PIVOTS = 256
+TREE_ROWS = MAX_PIVOTS * BLOCK_ROWS
 
 
 def pairwise(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
@@ -126,6 +134,29 @@ class _Cells:
         return pd.Series(out, dtype=object)
 
 
+def _block(k: int, metric: str, payload: list[str], exclude_self: bool):
+    """(function of query rows and base rows that meet, schema of the best k of each query)."""
+    schema = "qid bigint, neighbor_id bigint, distance double" + "".join(f", `{p}` double" for p in payload)
+
+    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({c: [] for c in ["qid", "neighbor_id", "distance", *payload]})
+        a, c = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
+        bid = right["bid"].to_numpy()
+        r, j, d = _nearest(a, left["qid"].to_numpy(), c, bid, k, metric, exclude_self)
+        out = pd.DataFrame({"qid": left["qid"].to_numpy()[r], "neighbor_id": bid[j], "distance": d})
+        for p in payload:
+            out[p] = right[p].to_numpy()[j]
+        return out
+
+    return block, schema
+
+
+def _best(near: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("qid").orderBy("distance", "neighbor_id")
+    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def _visit(q: DataFrame, b: DataFrame, cells: _Cells, k: int, payload: list[str], exclude_self: bool, block_rows: int) -> DataFrame:
     """Top k per query row and block among the rows of the cells in the query's list ``cells``."""
     spark = q.sparkSession
@@ -147,24 +178,10 @@ def _visit(q: DataFrame, b: DataFrame, cells: _Cells, k: int, payload: list[str]
         "grp", "cell", F.explode(F.sequence(F.lit(0), F.col("qsplits") - 1)).alias("qblock"),
         F.pmod(F.xxhash64("bid"), F.col("bsplits")).cast("int").alias("bblock"), "bid", "vec", *payload,
     )
-    schema = "qid bigint, neighbor_id bigint, distance double" + "".join(f", `{p}` double" for p in payload)
-    metric = cells.metric
-
-    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in ["qid", "neighbor_id", "distance", *payload]})
-        a, c = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-        bid = right["bid"].to_numpy()
-        r, j, d = _nearest(a, left["qid"].to_numpy(), c, bid, k, metric, exclude_self)
-        out = pd.DataFrame({"qid": left["qid"].to_numpy()[r], "neighbor_id": bid[j], "distance": d})
-        for p in payload:
-            out[p] = right[p].to_numpy()[j]
-        return out
-
+    block, schema = _block(k, cells.metric, payload, exclude_self)
     n = fan_out(spark)
     near = q_rows.repartition(n, *by).groupBy(*by).cogroup(b_rows.repartition(n, *by).groupBy(*by)).applyInPandas(block, schema)
-    w = Window.partitionBy("qid").orderBy("distance", "neighbor_id")
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return _best(near, k)
 
 
 def knn_join(
@@ -180,11 +197,14 @@ def knn_join(
     exclude_self: bool = False,
     block_rows: int | None = None,
     pivots: int | None = None,
+    tree_rows: int = TREE_ROWS,
+    leaf_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank, *payload): the k nearest base rows of each query row.
 
     Equal distances are ordered by base id.  ``vector`` is an ARRAY<DOUBLE> column, ids are BIGINT, ``payload``
-    names numeric base columns to carry along.  With ``group`` neighbours come from the same group only.
+    names numeric base columns to carry along.  With ``group`` neighbours come from the same group only.  With more than
+    ``tree_rows`` base rows, cells are cut into leaves of about ``leaf_rows``.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; use one of {', '.join(METRICS)}")
@@ -221,13 +241,23 @@ def knn_join(
         def others(vectors: pd.Series, groups: pd.Series, bounds: pd.Series) -> pd.Series:
             return cells.choose(vectors, groups, bounds)
 
-        near = checkpointed(_visit(checkpointed(q.withColumn("cells", nearest("vec", "grp"))), b, cells, k, payload, exclude_self, block_rows))
+        first = checkpointed(q.withColumn("cells", nearest("vec", "grp")))
+        tree, block = None, _block(k, metric, payload, exclude_self)
+        if total > tree_rows:
+            tree = PivotTree(b, cells, partial(pairwise, metric=metric), leaf_rows, payload)
+            near = checkpointed(_best(tree.visit(tree.leaves(first, False), *block, block_rows), k))
+        else:
+            near = checkpointed(_visit(first, b, cells, k, payload, exclude_self, block_rows))
         # with k rows found, the k-th distance bounds what is still worth visiting
         bound = near.groupBy("qid").agg(F.when(F.count("*") >= k, F.max("distance")).alias("bound"))
-        rest = checkpointed(q.join(bound, "qid", "left").withColumn("cells", others("vec", "grp", "bound")))
-        more = _visit(rest, b, cells, k, payload, exclude_self, block_rows)
-        w = Window.partitionBy("qid").orderBy("distance", "neighbor_id")
-        best = near.unionByName(more).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        if tree:
+            rest = first.withColumnRenamed("cells", "first").join(bound, "qid", "left").withColumn("cells", others("vec", "grp", "bound"))
+            rest = checkpointed(rest.withColumn("cells", F.array_union("first", "cells")))
+            more = tree.visit(tree.leaves(rest, True), *block, block_rows)
+        else:
+            rest = checkpointed(q.join(bound, "qid", "left").withColumn("cells", others("vec", "grp", "bound")))
+            more = _visit(rest, b, cells, k, payload, exclude_self, block_rows)
+        best = _best(near.drop("rank").unionByName(more.select(*[c for c in near.columns if c != "rank"])), k)
     return best.select(F.col("qid").alias("query_id"), "neighbor_id", "distance", "rank", *payload)
 
 
