@@ -11,6 +11,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearReg
 from pyspark.sql import DataFrame, functions as F
 
 from benchloom.models.fold_sums import ridge_folds
+from benchloom.models.histogram_trees import HistogramBoosting, HistogramTree
 from benchloom.models.base import TabularEstimator
 from benchloom.models.kernel import SVMClassifier, SVRegressor
 from benchloom.models.knn import KNNClassifier, KNNRegressor
@@ -50,7 +51,27 @@ def random_forest_classifier(
 
 def decision_tree_classifier(max_depth: int | None = None, min_samples_split: int = 2, criterion: str = "gini", seed: int = 42) -> Estimator:
     build = lambda df: DecisionTreeClassifier(impurity=IMPURITY[criterion], seed=seed, **_tree(max_depth, min_samples_split))
-    return TabularEstimator("DecisionTreeClassifier", build, True, {"max_depth": max_depth, "criterion": criterion})
+    bounded = TabularEstimator("DecisionTreeClassifier", build, True, {"max_depth": max_depth, "criterion": criterion})
+    if IMPURITY[criterion] == "gini" and _needs_own_tree(max_depth, min_samples_split):
+        return TwoClassTree(HistogramTree(True, max_depth, min_samples_split), bounded)
+    return bounded
+
+
+def _needs_own_tree(max_depth: int | None, min_samples_split: int) -> bool:
+    """Spark's trees stop at depth 30 and know a least number of rows for leaves only."""
+    return max_depth is None or max_depth > 30 or min_samples_split > 2
+
+
+class TwoClassTree(Estimator):
+    """The tree with exact rules for labels 0 and 1, Spark's for more classes."""
+
+    def __init__(self, own: HistogramTree, bounded: TabularEstimator):
+        super().__init__()
+        self.own, self.bounded = own, bounded
+
+    def _fit(self, df: DataFrame):
+        more = df.filter((F.col("label") != 0) & (F.col("label") != 1)).limit(1)
+        return self.own.fit(df) if more.isEmpty() else self.bounded.fit(df)
 
 
 def svm_classifier(C: float = 1.0, kernel: str = "rbf", gamma: str | float = "scale", seed: int = 42) -> Estimator:
@@ -76,8 +97,7 @@ def stochastic_boosting_classifier(
     settings = {"n_estimators": n_estimators, "learning_rate": learning_rate, "max_depth": max_depth, "subsample": subsample}
     if SparkXGBClassifier is not None:
         return TabularEstimator("SparkXGBClassifier", lambda df: _xgb(SparkXGBClassifier, settings, seed), True, settings)
-    build = lambda df: GBTClassifier(maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth, subsamplingRate=subsample, seed=seed)
-    return TabularEstimator("StochasticGBTClassifier", build, True, settings)
+    return HistogramBoosting(True, n_estimators, learning_rate, max_depth, subsample, seed=seed)
 
 
 # ------------------------------------------------------------------ regression
@@ -113,6 +133,8 @@ def random_forest_regressor(
 
 
 def decision_tree_regressor(max_depth: int | None = None, min_samples_split: int = 2, seed: int = 42) -> Estimator:
+    if _needs_own_tree(max_depth, min_samples_split):
+        return HistogramTree(False, max_depth, min_samples_split)
     build = lambda df: DecisionTreeRegressor(seed=seed, **_tree(max_depth, min_samples_split))
     return TabularEstimator("DecisionTreeRegressor", build, False, {"max_depth": max_depth})
 
@@ -138,8 +160,7 @@ def stochastic_boosting_regressor(
     settings = {"n_estimators": n_estimators, "learning_rate": learning_rate, "max_depth": max_depth, "subsample": subsample}
     if SparkXGBRegressor is not None:
         return TabularEstimator("SparkXGBRegressor", lambda df: _xgb(SparkXGBRegressor, settings, seed), False, settings)
-    build = lambda df: GBTRegressor(maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth, subsamplingRate=subsample, seed=seed)
-    return TabularEstimator("StochasticGBTRegressor", build, False, settings)
+    return HistogramBoosting(False, n_estimators, learning_rate, max_depth, subsample, seed=seed)
 
 
 class _xgb:  # noqa: N801

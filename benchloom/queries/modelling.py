@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from benchloom.models import registry
 from benchloom.models.base import assemble, predict_classification
+from benchloom.models.histogram_trees import HistogramBoosting
 from benchloom.models.knn import KNNClassifier, KNNRegressor
 from benchloom.models.naive_bayes import GaussianNB
 from benchloom.models.panel import Baseline, drift_forecast, naive_forecast, seasonal_naive_forecast
@@ -145,6 +146,35 @@ def _cv_frame(spark, cv: dict) -> DataFrame:
     return spark.createDataFrame([(cv["mean"], cv["std"], cv["scores"])], "mean double, std double, scores array<double>")
 
 
+def _stump_sql(source: str, hessian: str, start: str, output: str) -> str:
+    """One tree of depth 1 with penalty 1 and learning rate 1; source: x, y."""
+    return f"""WITH s AS (SELECT * FROM {source} q), m AS (SELECT avg(y) AS p FROM s),
+c AS (SELECT x, sum(p - y) AS g, count(*) * any_value({hessian}) AS h FROM s, m GROUP BY x),
+t AS (SELECT x, sum(g) OVER (ORDER BY x) AS gl, sum(h) OVER (ORDER BY x) AS hl, sum(g) OVER () AS g, sum(h) OVER () AS h FROM c),
+b AS (SELECT x AS cut, gl, hl, g, h FROM t WHERE hl >= 1 AND h - hl >= 1 ORDER BY gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) DESC, x LIMIT 1)
+SELECT x, round({output}, 6) AS prediction FROM (SELECT DISTINCT x, {start} + CASE WHEN x <= cut THEN -gl / (hl + 1) ELSE -(g - gl) / (h - hl + 1) END AS raw FROM s, m, b) r"""
+
+
+@query("boosted_stump_regress", _stump_sql("(SELECT p_size::DOUBLE AS x, p_retailprice AS y FROM part)", "1.0::DOUBLE", "p", "raw"))
+def boosted_stump_regress(spark, sf):
+    rows = assemble(load(spark, sf, "part"), "p_retailprice", "p_partkey", ["p_size"])
+    return _stump(rows, HistogramBoosting(False, 1, 1.0, 1), "prediction")
+
+
+@query(
+    "boosted_stump",
+    _stump_sql("(SELECT l_quantity AS x, (l_returnflag = 'R')::INTEGER AS y FROM lineitem)", "p * (1 - p)", "ln(p / (1 - p))", "1 / (1 + exp(-raw))"),
+)
+def boosted_stump(spark, sf):
+    lines = load(spark, sf, "lineitem").withColumn("returned", (F.col("l_returnflag") == "R").cast("int"))
+    return _stump(assemble(lines, "returned", "l_orderkey", ["l_quantity"]), HistogramBoosting(True, 1, 1.0, 1), "prob")
+
+
+def _stump(rows: DataFrame, estimator, out: str) -> DataFrame:
+    found = estimator.fit(rows).transform(rows).select(F.col("features")[0].alias("x"), F.round(out, 6).alias("prediction"))
+    return found.distinct()
+
+
 CV_SUMMARY = "round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS std, list(round(score, 6) ORDER BY fold) AS scores"
 
 NB_CV_SQL = f"""WITH s AS (SELECT *, ((row_number() OVER (ORDER BY label, md5('42|fold|' || row_id), row_id) - 1) % 5)::INTEGER AS fold FROM {EMBEDDED_SQL} e),
