@@ -57,6 +57,7 @@ FORM = {
     "phone": r"^\+?(?:[^0-9]*[0-9]){10,13}$",
     "secret": r"\"(?=[^\"]*[0-9])(?=[^\"]*[A-Za-z])[^\"]+\"$",
 }
+SHAPES = 512
 LABELERS = 5
 ACCEPT = 0.9
 SPAN = "struct<s:int,e:int,m:string>"
@@ -123,7 +124,10 @@ def _described(text: Column, kind: str, base: bool, spans: Column) -> Column:
         features = [
             F.concat(F.lit("length "), F.least(F.length(m) / F.lit(4), F.lit(12)).cast("int").cast("string")),
             F.concat(F.lit("digits "), F.least(F.length(_digits(m)), F.lit(24)).cast("string")),
-            F.concat(F.lit("shape "), F.substring(F.regexp_replace(F.regexp_replace(F.regexp_replace(m, r"[0-9]+", "9"), r"\p{L}+", "a"), r"\s+", "_"), 1, 12)),
+            # shapes share a fixed number of cells, so the classifier has a bounded number of features and leaves none out
+            F.concat(F.lit("shape "), F.pmod(F.xxhash64(
+                F.regexp_replace(F.regexp_replace(F.regexp_replace(m, r"[0-9]+", "9"), r"\p{L}+", "a"), r"\s+", "_")
+            ), F.lit(SHAPES)).cast("string")),
             F.concat(F.lit("before "), F.when(before == "", "^").when(before.rlike(r"\p{L}$"), "a").when(before.rlike(r"\s$"), "_").otherwise(".")),
             F.concat(F.lit("after "), F.when(after == "", "$").when(after.rlike(r"\p{L}"), "a").when(after.rlike(r"\s"), "_").otherwise(".")),
             F.concat(F.lit("checked "), form.cast("string")),
@@ -222,7 +226,7 @@ def fit(docs: DataFrame, text: str = "text", found: DataFrame | None = None) ->
         spans.select("kind", F.explode("features").alias("f"), p.alias("p")).groupBy("kind", "f")
         .agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no"))
     )
-    rows = features.orderBy(F.desc(F.col("yes") + F.col("no")), "kind", "f").limit(2000).collect()  # rare shapes say nothing
+    rows = features.collect()  # at most kinds * (SHAPES + 50) rows
     total: dict[str, list[float]] = {}
     for (kind, votes, n) in patterns:
         own = total.setdefault(kind, [1.0, 1.0])
@@ -246,8 +250,10 @@ def joined(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, model: Model, text: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """Put <KIND> in the place of each span; overlapping spans become one. All columns are kept."""
-    found = spans_of(find(docs, text), model, accept)
+    """Put <KIND> in the place of each span; overlapping spans become one. All columns are kept, whatever their names."""
+    own = docs.select(*[quoted(c).alias(f"__c{i}") for i, c in enumerate(docs.columns)])
+    at = f"__c{docs.columns.index(text)}"
+    found = spans_of(find(own, at), model, accept)
 
     def step(acc, x):
         fresh = x["s"] >= acc["at"]
@@ -257,5 +263,6 @@ def redact(docs: DataFrame, model: Model, text: str = "text", accept: float = AC
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     tail = lambda acc: F.concat(acc["out"], F.substring(F.col("__text"), acc["at"] + 1, F.length("__text")))
-    clean = F.when(F.size("spans") == 0, quoted(text)).otherwise(F.aggregate("spans", start, step, tail))
-    return found.withColumn("__clean", clean).select(*[F.col("__clean").alias(c) if c == text else quoted(c) for c in docs.columns])
+    clean = F.when(F.size("spans") == 0, quoted(at)).otherwise(F.aggregate("spans", start, step, tail))
+    out = found.withColumn("__clean", clean)
+    return out.select(*[F.col("__clean" if c == text else f"__c{i}").alias(c) for i, c in enumerate(docs.columns)])

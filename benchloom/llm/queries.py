@@ -149,8 +149,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = f"""
 WITH known AS (
   SELECT digest, min(license_id) AS license_id
-  FROM (SELECT license_id, sha256({licenses.canonical_sql('text')}) AS digest
-        FROM (VALUES {", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in sorted(licenses.KNOWN.items()))}) v(license_id, text))
+  FROM (VALUES {", ".join(f"('{k}', '{d}')" for k, d in licenses.KNOWN_DIGESTS)}) v(license_id, digest)
   GROUP BY digest
 )
 SELECT doc_id, d.digest, license_id FROM (SELECT doc_id, sha256({licenses.canonical_sql('text')}) AS digest FROM documents) d
