@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from benchloom.functions.columns import col
@@ -63,6 +65,14 @@ class TabularEstimator(Estimator):
         return f"{self.name}({', '.join(f'{k}={v!r}' for k, v in self.settings.items())})"
 
 
+def linear_weights(model: Model) -> tuple[np.ndarray, float] | None:
+    """(coefficients, intercept) of a fitted linear regression, None for any other model."""
+    inner = getattr(model, "inner", None)
+    if not isinstance(inner, LinearRegressionModel):
+        return None
+    return inner.coefficients.toArray(), float(inner.intercept)
+
+
 def train_model(estimator: Estimator, df: DataFrame) -> Model:
     return estimator.fit(df)
 

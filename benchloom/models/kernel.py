@@ -1,16 +1,19 @@
-"""Kernel machines by explicit feature maps (Rahimi & Recht, "Random Features for Large-Scale Kernel Machines",
-NIPS 2007): the map turns the rbf kernel into a linear problem that scales with the rows, not with their square.
+"""Kernel machines by explicit feature maps, which turn a kernel into a linear problem that scales with the rows, not
+with their square: random Fourier features for rbf (Rahimi & Recht, NIPS 2007); for the polynomial kernel (gamma x y)^3 all weighted
+monomials where they are few, else a tensor sketch (Pham & Pagh, KDD 2013).
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -34,16 +37,13 @@ def kernel_gamma(df: DataFrame, gamma: str | float) -> float:
     raise ValueError(f"unknown gamma {gamma!r}; use 'scale', 'auto' or a number")
 
 
-class RandomFourierFeatures:
-    """x -> sqrt(2 / D) cos(x W + b) with W ~ N(0, 2 gamma), b ~ U(0, 2 pi), fixed by the seed."""
+class FeatureMap:
+    """A function `project` of rows of numbers to rows of `width` numbers, as a column."""
 
-    def __init__(self, dim: int, gamma: float, size: int = RANDOM_FEATURES, seed: int = 42):
-        rng = np.random.default_rng(seed)
-        self.w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, size))
-        self.b = rng.uniform(0.0, 2.0 * np.pi, size=size)
+    width: int
 
     def project(self, x: np.ndarray) -> np.ndarray:
-        return np.sqrt(2.0 / len(self.b)) * np.cos(x @ self.w + self.b)
+        raise NotImplementedError
 
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
         mapper = self
@@ -57,27 +57,85 @@ class RandomFourierFeatures:
         return df.withColumn(out, apply("features"))
 
 
+class Unchanged(FeatureMap):
+    def __init__(self, dim: int):
+        self.width = dim
+
+    def project(self, x: np.ndarray) -> np.ndarray:
+        return x
+
+
+class PolynomialFeatures(FeatureMap):
+    """Inner products are (gamma x y + coef0) ** degree: exact by weighted monomials where these are at most `size`, else on
+    average."""
+
+    def __init__(self, dim: int, gamma: float, size: int = RANDOM_FEATURES, seed: int = 42, degree: int = 3, coef0: float = 0.0):
+        self.scale, self.constant = np.sqrt(gamma), np.sqrt(coef0)
+        dim += coef0 > 0
+        self.exact = math.comb(dim + degree - 1, degree) <= size
+        if self.exact:
+            self.terms = np.array(list(combinations_with_replacement(range(dim), degree)))
+            orders = [math.factorial(degree) // math.prod(map(math.factorial, Counter(t).values())) for t in self.terms.tolist()]
+            self.weights, self.width = np.sqrt(np.array(orders, dtype=float)), len(orders)
+        else:
+            rng = np.random.default_rng(seed)
+            self.width = size
+            self.places = rng.integers(0, size, size=(degree, dim))
+            self.signs = rng.choice([-1.0, 1.0], size=(degree, dim))
+
+    def project(self, x: np.ndarray) -> np.ndarray:
+        x = x * self.scale
+        if self.constant:
+            x = np.hstack([x, np.full((len(x), 1), self.constant)])
+        if self.exact:
+            return np.prod(x[:, self.terms], axis=2) * self.weights
+        # a count sketch of each factor; multiplied as polynomials, they sketch the tensor of all products
+        spectrum = 1.0
+        for place, sign in zip(self.places, self.signs, strict=True):
+            sketch = np.zeros((x.shape[1], self.width))
+            sketch[np.arange(x.shape[1]), place] = sign
+            spectrum = spectrum * np.fft.rfft(x @ sketch, axis=1)
+        return np.fft.irfft(spectrum, n=self.width, axis=1)
+
+
+def feature_map(kernel: str, df: DataFrame, dim: int, gamma: str | float, size: int, seed: int, coef0: float = 0.0) -> FeatureMap:
+    if kernel == "linear":
+        return Unchanged(dim)
+    if kernel == "poly":
+        return PolynomialFeatures(dim, kernel_gamma(df, gamma), size, seed, coef0=coef0)
+    return RandomFourierFeatures(dim, kernel_gamma(df, gamma), size, seed)
+
+
+class RandomFourierFeatures(FeatureMap):
+    """x -> sqrt(2 / D) cos(x W + b) with W ~ N(0, 2 gamma), b ~ U(0, 2 pi), fixed by the seed."""
+
+    def __init__(self, dim: int, gamma: float, size: int = RANDOM_FEATURES, seed: int = 42):
+        rng = np.random.default_rng(seed)
+        self.w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, size))
+        self.b = rng.uniform(0.0, 2.0 * np.pi, size=size)
+        self.width = size
+
+    def project(self, x: np.ndarray) -> np.ndarray:
+        return np.sqrt(2.0 / len(self.b)) * np.cos(x @ self.w + self.b)
+
+
 class SVMClassifier(Estimator):
-    """Support vector machine: linear, rbf (random features) or poly (degree 3 expansion), Platt-scaled probability."""
+    """Support vector machine: linear, rbf or poly (degree 3), Platt-scaled probability."""
 
-    def __init__(self, C: float = 1.0, kernel: str = "rbf", gamma: str | float = "scale", size: int = RANDOM_FEATURES, seed: int = 42):
+    def __init__(self, C: float = 1.0, kernel: str = "rbf", gamma: str | float = "scale", size: int = RANDOM_FEATURES, seed: int = 42, coef0: float = 0.0):
         super().__init__()
+        self.coef0 = coef0
         if kernel not in KERNELS:
             raise ValueError(f"kernel {kernel!r} has no distributed form; use one of {', '.join(KERNELS)}")
         self.C, self.kernel, self.gamma, self.size, self.seed = C, kernel, gamma, size, seed
 
     def _fit(self, df: DataFrame) -> "SVMModel":
         n, dim = df.agg(F.count("*"), F.max(F.size("features"))).first()
-        rff = RandomFourierFeatures(dim, kernel_gamma(df, self.gamma), self.size, self.seed) if self.kernel == "rbf" else None
+        rff = None if self.kernel == "linear" else feature_map(self.kernel, df, dim, self.gamma, self.size, self.seed, self.coef0)
         src = with_vector(rff.transform(df) if rff else df).select("label", VECTOR).persist()
         svc = LinearSVC(featuresCol=VECTOR, labelCol="label", regParam=1.0 / (self.C * n), standardization=False, maxIter=100)
-        if self.kernel == "poly":
-            expand = PolynomialExpansion(degree=3, inputCol=VECTOR, outputCol="_poly")
-            stage = Pipeline(stages=[expand, svc.setFeaturesCol("_poly")])
-        else:
-            stage = Pipeline(stages=[svc])
         try:
-            inner = stage.fit(src)
+            inner = svc.fit(src)
             scored = inner.transform(src).select("label", array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("_margin"))
             platt = LogisticRegression(featuresCol="_margin", labelCol="label").fit(scored)
         finally:
@@ -86,7 +144,7 @@ class SVMClassifier(Estimator):
 
 
 class SVMModel(Model):
-    def __init__(self, rff: RandomFourierFeatures | None, inner: Model, slope: float, offset: float):
+    def __init__(self, rff: FeatureMap | None, inner: Model, slope: float, offset: float):
         super().__init__()
         self.rff, self.inner, self.slope, self.offset = rff, inner, slope, offset
 
@@ -100,21 +158,27 @@ class SVMModel(Model):
 
 
 class SVRegressor(Estimator):
-    """Support vector regression: random features, then a linear fit of the epsilon-insensitive loss.
+    """Support vector regression: a feature map, then a linear fit of the epsilon-insensitive loss.
 
     Minimises mean(loss) + |w|^2 / (2 C n).  Every step is one job in which tasks add up loss and gradient of
     their rows; the driver only holds the coefficients.
     """
 
-    def __init__(self, C: float = 1.0, gamma: str | float = "scale", epsilon: float = EPSILON, size: int = 128, seed: int = 42, max_iter: int = 40):
+    def __init__(
+        self, C: float = 1.0, gamma: str | float = "scale", epsilon: float = EPSILON, size: int = 128, seed: int = 42, max_iter: int = 40,
+        kernel: str = "rbf", coef0: float = 0.0,
+    ):
         super().__init__()
+        if kernel not in KERNELS:
+            raise ValueError(f"kernel {kernel!r} has no distributed form; use one of {', '.join(KERNELS)}")
+        self.kernel, self.coef0 = kernel, coef0
         self.C, self.gamma, self.epsilon, self.size, self.seed, self.max_iter = C, gamma, epsilon, size, seed, max_iter
 
     def _fit(self, df: DataFrame) -> "SVRModel":
         n, dim, mean, dev = df.agg(F.count("*"), F.max(F.size("features")), F.avg("label"), F.stddev_pop("label")).first()
-        rff = RandomFourierFeatures(dim, kernel_gamma(df, self.gamma), self.size, self.seed)
+        rff = feature_map(self.kernel, df, dim, self.gamma, self.size, self.seed, self.coef0)
         src = rff.transform(df).select("label", "features").persist()
-        width = self.size
+        width = rff.width
         # the corner of the loss is rounded over a small share of the label's spread, which makes it smooth
         rounding = max(1e-3 * (dev or 1.0), 1e-9)
         epsilon, reg = self.epsilon, 1.0 / (self.C * n)
@@ -152,7 +216,7 @@ class SVRegressor(Estimator):
 
 
 class SVRModel(Model):
-    def __init__(self, rff: RandomFourierFeatures, theta: np.ndarray):
+    def __init__(self, rff: FeatureMap, theta: np.ndarray):
         super().__init__()
         self.rff, self.theta = rff, theta
 

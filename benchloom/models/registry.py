@@ -140,9 +140,7 @@ def decision_tree_regressor(max_depth: int | None = None, min_samples_split: int
 
 
 def svr(C: float = 1.0, kernel: str = "rbf", gamma: str | float = "scale", seed: int = 42) -> Estimator:
-    if kernel != "rbf":
-        raise ValueError("support vector regression is built for the rbf kernel")
-    return SVRegressor(C, gamma, seed=seed)
+    return SVRegressor(C, gamma, seed=seed, kernel=kernel)
 
 
 def knn_regressor(n_neighbors: int = 5, weights: str = "uniform", metric: str = "minkowski", seed: int = 42) -> Estimator:

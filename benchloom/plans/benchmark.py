@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from inspect import signature
 from typing import Any
 
 import numpy as np
@@ -225,11 +226,14 @@ def benchmark_timeseries(
     numbered = positions(test, ["key"], ["t"], "step").withColumn("step", F.col("step").cast("int")).persist()
     train = train.persist()
     try:
-        steps = numbered.agg(F.max("step")).first()[0] or 0
+        lengths = numbered.groupBy("key").agg(F.max("step").alias("steps"))
+        steps = lengths.agg(F.max("steps")).first()[0] or 0
         parts, rows = [], []
         for name, model in models.items():
             try:
-                predicted = model.fit(train).forecast(steps)
+                fitted = model.fit(train)
+                own = {"lengths": lengths} if "lengths" in signature(fitted.forecast).parameters else {}
+                predicted = fitted.forecast(steps, **own)
                 joined = numbered.join(predicted, ["key", "step"], "left").select(F.lit(name).alias("model"), "key", "t", "step", "y", "yhat")
                 done = checkpointed(joined)
                 if done.filter(F.col("yhat").isNotNull()).isEmpty():

@@ -126,6 +126,7 @@ CLASSIFIER_QUERIES = {
     "gbt_stochastic": lambda: registry.stochastic_boosting_classifier(n_estimators=10, subsample=0.8),
     "svm_rff": lambda: registry.svm_classifier(),
     "svm_linear": lambda: registry.svm_classifier(kernel="linear"),
+    "svm_poly": lambda: registry.svm_classifier(kernel="poly"),
 }
 REGRESSOR_QUERIES = {
     "lasso": lambda: registry.lasso(),
@@ -134,6 +135,8 @@ REGRESSOR_QUERIES = {
     "gbt_regress": lambda: registry.gradient_boosting_regressor(n_estimators=10),
     "gbt_stochastic_regress": lambda: registry.stochastic_boosting_regressor(n_estimators=10, subsample=0.8),
     "svr_rff": lambda: registry.svr(),
+    "svr_linear": lambda: registry.svr(kernel="linear"),
+    "svr_poly": lambda: registry.svr(kernel="poly"),
 }
 
 for _name, _make in CLASSIFIER_QUERIES.items():

@@ -240,6 +240,21 @@ def test_window_regression(spark, scale):
     assert np.abs(got - (50 + 10 * np.sin(2 * np.pi * np.arange(80, 90) / 8))).max() < 1.5
 
 
+@pytest.mark.parametrize("scale", [False, True])
+def test_linear_windows_recur_within_a_task(spark, scale, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(k, i, float(v)) for k, n in (("a", 60), ("b", 45), ("short", 3)) for i, v in enumerate(rng.normal(size=n).cumsum())]
+    model = WindowRegression(5, scale=scale).fit(spark.createDataFrame(rows, "key string, t int, y double"))
+    quick = {(r.key, r.step): r.yhat for r in model.forecast(11).collect()}
+    lengths = spark.createDataFrame([("a", 4), ("b", 30), ("short", 2)], "key string, steps int")
+    own = {(r.key, r.step): r.yhat for r in model.forecast(11, lengths).collect()}
+    monkeypatch.setattr("benchloom.models.window_ar.linear_weights", lambda model: None)
+    slow = {(r.key, r.step): r.yhat for r in model.forecast(11).collect()}
+    assert len(quick) == 22 and all(quick[k] == pytest.approx(slow[k], abs=1e-9) for k in slow)
+    assert own == {k: pytest.approx(v, abs=1e-9) for k, v in quick.items() if k[0] == "b" or k[1] <= 4}
+    assert {(r.key, r.step) for r in model.forecast(11, lengths).collect()} == set(own)
+
+
 def test_windows_split_and_scaling(spark):
     rows = [("hot", i, float(i * i)) for i in range(40)] + [("b", i, 5.0) for i in range(5)] + [("c", 0, 1.0)]
     df = spark.createDataFrame(rows, "key string, t int, y double")
