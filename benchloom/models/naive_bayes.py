@@ -17,19 +17,21 @@ MAX_CLASSES = 1000
 
 
 class GaussianNB(Estimator):
-    def __init__(self, var_smoothing: float = 1e-9):
+    """The model has classes x features numbers and lives on the driver; `max_classes` says how many classes it may have."""
+
+    def __init__(self, var_smoothing: float = 1e-9, max_classes: int = MAX_CLASSES):
         super().__init__()
-        self.var_smoothing = var_smoothing
+        self.var_smoothing, self.max_classes = var_smoothing, max_classes
 
     def _fit(self, df: DataFrame) -> "GaussianNBModel":
         stats = Summarizer.metrics("mean", "variance", "count").summary(F.col(VECTOR))
         per_class = with_vector(df).filter(F.col("label").isNotNull()).groupBy("label").agg(stats.alias("s"))
         # classes x features numbers: the model itself
-        rows = per_class.select("label", "s.mean", "s.variance", "s.count").limit(MAX_CLASSES + 1).collect()
+        rows = per_class.select("label", "s.mean", "s.variance", "s.count").limit(self.max_classes + 1).collect()
         if not rows:
             raise ValueError("no labelled rows to fit on")
-        if len(rows) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes")
+        if len(rows) > self.max_classes:
+            raise ValueError(f"more than {self.max_classes} classes")
         rows.sort(key=lambda r: r["label"])
         n = np.array([r["count"] for r in rows], dtype=float)
         mean = np.array([r["mean"].toArray() for r in rows])
@@ -42,7 +44,7 @@ class GaussianNB(Estimator):
 
     def fit_folds(self, folds: DataFrame, k: int) -> FoldModels:
         """The models of a cross-validation, each without one fold, from one scan."""
-        return naive_bayes_folds(folds, k, self.var_smoothing, MAX_CLASSES)
+        return naive_bayes_folds(folds, k, self.var_smoothing, self.max_classes)
 
 
 class GaussianNBModel(Model):

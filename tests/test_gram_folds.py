@@ -123,3 +123,11 @@ def test_folds_are_written_only_where_models_need_it(spark, monkeypatch):
     assert not written and board.first()["cv_mean"] > 0.7
     scores = [board.first()["cv_scores"], validate.stratified_kfold(Refitted(GaussianNB()), train, 3)["scores"]]
     assert written and scores[0] == pytest.approx(scores[1])
+
+
+def test_the_number_of_classes_is_a_parameter(spark):
+    folds = kfold_assign(labelled(spark, 30), "row_id", 3).withColumn("label", F.col("row_id").cast("double"))
+    assert GaussianNB(max_classes=30).fit(folds).transform(folds).count() == 30
+    for run in (lambda m: m.fit(folds), lambda m: m.fit_folds(folds, 3)):
+        with pytest.raises(ValueError):
+            run(GaussianNB(max_classes=9))
