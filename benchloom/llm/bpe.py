@@ -175,8 +175,8 @@ class Codec:
         parts = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(parts) + ")") if parts else None
         self.split = splitter().findall
-        self.words = Memo(lambda w: array.array("I", self.automaton.encode(w.encode())).tobytes(), 600_000)
-        self.runs = Memo(lambda run: self._split(" " + run), 600_000)
+        self.words = Memo(lambda w: array.array("I", self.automaton.encode(w.encode())).tobytes(), 200_000)
+        self.runs = Memo(lambda run: self._split(" " + run), 200_000)
         self.spaces = re.compile(f"[{SPACE}] ")
         self.emit = {i: b for i, b in self.automaton.label.items()} | {i: t.encode() for t, i in self.special.items()}
         if sys.byteorder != "little":

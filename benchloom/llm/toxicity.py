@@ -265,7 +265,7 @@ def scores(docs: DataFrame, scorer: Scorer, text: str):
 
     @F.arrow_udf(DoubleType())
     def measure(texts: pa.Array) -> pa.Array:
-        parts = pieces(pa.RecordBatch.from_arrays([texts], names=["text"]), 1 << 20)
+        parts = pieces(pa.RecordBatch.from_arrays([texts], names=["text"]), 256 << 10)
         found = [shared.value(p.column(0).to_pylist()) for p in parts]
         return pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
