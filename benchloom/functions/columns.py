@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
@@ -57,3 +60,15 @@ def long_rows(df: DataFrame, items: dict[str, Sequence[Column]], names: Sequence
         for key, vals in items.items()
     ]
     return df.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
+
+
+def matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """An Arrow column of lists of numbers as the rows of a matrix, without an object for each row; a null number is NaN."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+        vectors = pa.concat_arrays(vectors.chunks) if isinstance(vectors, pa.ChunkedArray) else vectors
+    n = len(vectors)
+    sizes = pc.min_max(pc.list_value_length(vectors)).as_py()
+    if vectors.null_count or sizes["min"] != sizes["max"]:
+        raise ValueError("all vectors must have the same number of entries")
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(n, sizes["max"] or 0)

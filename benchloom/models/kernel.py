@@ -11,18 +11,27 @@ from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from benchloom.functions.columns import col
+from benchloom.functions.columns import col, matrix
 from benchloom.models.base import VECTOR, with_vector
+from benchloom.session import bounded_batches
 
 KERNELS = ("linear", "rbf", "poly")
 RANDOM_FEATURES = 256
 EPSILON = 0.1
+TASK_ROWS, TASK_BYTES = 1 << 16, 16 << 20  # of one partition that a fit reads again and again
+PIECE = 1 << 18  # numbers that a feature map holds at once
+
+
+def dealt(df: DataFrame, rows: int, width: int) -> DataFrame:
+    """Rows of `width` numbers in partitions of bounded rows and bytes, however the files are cut; few rows stay as they are."""
+    parts = -(-rows // max(1, min(TASK_ROWS, TASK_BYTES // (8 * max(1, width)))))
+    return df.repartition(parts) if parts > 1 else df
 
 
 def kernel_gamma(df: DataFrame, gamma: str | float) -> float:
@@ -45,14 +54,23 @@ class FeatureMap:
     def project(self, x: np.ndarray) -> np.ndarray:
         raise NotImplementedError
 
+    def pieces(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(number of the first row, rows of features), a bounded number of rows at a time."""
+        step = max(1, PIECE // max(self.width, x.shape[1]))
+        for at in range(0, len(x), step):
+            yield at, self.project(x[at : at + step])
+
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        mapper = self
+        mapper, width = self, self.width
+        bounded_batches(df.sparkSession)
 
-        @F.pandas_udf("array<double>")
-        def apply(vectors: pd.Series) -> pd.Series:
-            if len(vectors) == 0:
-                return pd.Series([], dtype=object)
-            return pd.Series(list(mapper.project(np.stack(vectors.to_numpy()).astype(float))))
+        @F.arrow_udf("array<double>")
+        def apply(vectors: pa.Array) -> pa.Array:
+            x = matrix(vectors)
+            values = np.empty((len(x), width))
+            for at, z in mapper.pieces(x):
+                values[at : at + len(z)] = z
+            return pa.ListArray.from_arrays(np.arange(0, len(x) * width + 1, width, dtype=np.int32), values.ravel())
 
         return df.withColumn(out, apply("features"))
 
@@ -161,7 +179,8 @@ class SVRegressor(Estimator):
     """Support vector regression: a feature map, then a linear fit of the epsilon-insensitive loss.
 
     Minimises mean(loss) + |w|^2 / (2 C n).  Every step is one job in which tasks add up loss and gradient of
-    their rows; the driver only holds the coefficients.
+    their rows; the driver only holds the coefficients.  What is kept between steps is the narrower of the rows and their
+    features, in partitions of bounded size; features of narrow rows are made again in every step.
     """
 
     def __init__(
@@ -177,29 +196,34 @@ class SVRegressor(Estimator):
     def _fit(self, df: DataFrame) -> "SVRModel":
         n, dim, mean, dev = df.agg(F.count("*"), F.max(F.size("features")), F.avg("label"), F.stddev_pop("label")).first()
         rff = feature_map(self.kernel, df, dim, self.gamma, self.size, self.seed, self.coef0)
-        src = rff.transform(df).select("label", "features").persist()
         width = rff.width
+        src = dealt(df.select("label", "features"), n, min(dim, width))
+        mapper: FeatureMap = rff
+        if width < dim:
+            src, mapper = rff.transform(src), Unchanged(width)
+        src = src.persist()
         # the corner of the loss is rounded over a small share of the label's spread, which makes it smooth
         rounding = max(1e-3 * (dev or 1.0), 1e-9)
         epsilon, reg = self.epsilon, 1.0 / (self.C * n)
 
         def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:
-            def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total, grad = 0.0, np.zeros(width + 1)
-                for pdf in batches:
-                    if pdf.empty:
+                for batch in batches:
+                    if not batch.num_rows:
                         continue
-                    x = np.stack(pdf["features"].to_numpy())
-                    r = x @ theta[:-1] + theta[-1] - pdf["label"].to_numpy()
-                    over = np.abs(r) - epsilon
-                    soft = np.clip(over, 0.0, rounding)
-                    total += float((soft * soft / (2 * rounding) + np.maximum(over - rounding, 0.0)).sum())
-                    g = np.sign(r) * soft / rounding
-                    grad[:-1] += g @ x
-                    grad[-1] += g.sum()
-                yield pd.DataFrame({"total": [total], "grad": [grad]})
-
-            rows = src.mapInPandas(partial, "total double, grad array<double>")
+                    labels = batch.column("label").to_numpy(zero_copy_only=False)
+                    for at, x in mapper.pieces(matrix(batch.column("features"))):
+                        r = x @ theta[:-1] + theta[-1] - labels[at : at + len(x)]
+                        over = np.abs(r) - epsilon
+                        soft = np.clip(over, 0.0, rounding)
+                        total += float((soft * soft / (2 * rounding) + np.maximum(over - rounding, 0.0)).sum())
+                        g = np.sign(r) * soft / rounding
+                        grad[:-1] += g @ x
+                        grad[-1] += g.sum()
+                yield pa.RecordBatch.from_pydict({"total": [total], "grad": [grad]}, schema=pa.schema([("total", pa.float64()), ("grad", pa.list_(pa.float64()))]))
+
+            rows = src.mapInArrow(partial, "total double, grad array<double>")
             parts = rows.select("total", F.posexplode("grad").alias("i", "g")).groupBy("i").agg(F.sum("total").alias("t"), F.sum("g").alias("g"))
             summed = {r["i"]: r for r in parts.collect()}
             grad = np.array([summed[i]["g"] for i in range(width + 1)]) / n
@@ -223,11 +247,12 @@ class SVRModel(Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         rff, theta = self.rff, self.theta
 
-        @F.pandas_udf("double")
-        def predict(vectors: pd.Series) -> pd.Series:
-            if len(vectors) == 0:
-                return pd.Series([], dtype=float)
-            return pd.Series(rff.project(np.stack(vectors.to_numpy()).astype(float)) @ theta[:-1] + theta[-1])
+        bounded_batches(df.sparkSession)
+
+        @F.arrow_udf("double")
+        def predict(vectors: pa.Array) -> pa.Array:
+            found = [z @ theta[:-1] + theta[-1] for _, z in rff.pieces(matrix(vectors))]
+            return pa.array(np.concatenate(found) if found else np.zeros(0))
 
         return df.withColumn("prediction", predict("features")).withColumn("prob", F.lit(None).cast("double"))
 

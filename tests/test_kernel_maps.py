@@ -64,3 +64,22 @@ def test_cubic_boundary(spark):
     df = table(spark, x, x[:, 0] ** 3 - 3 * x[:, 0] * x[:, 1] ** 2 > 0)  # six sectors, odd
     assert auc_roc(SVMClassifier(C=10.0, kernel="poly").fit(df).transform(df)).first()["auc"] > 0.97
     assert auc_roc(SVMClassifier(kernel="linear").fit(df).transform(df)).first()["auc"] < 0.7
+
+
+def test_fits_keep_narrow_rows_in_bounded_partitions(spark, monkeypatch):
+    from benchloom.models import kernel
+
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(500, 2))
+    one = table(spark, x, x[:, 0]).coalesce(1)
+    whole = registry.svr().fit(one)
+    kept = []
+    frame = type(one)
+    monkeypatch.setattr(frame, "persist", lambda self, f=frame.persist: kept.append(self) or f(self))
+    monkeypatch.setattr(kernel, "TASK_ROWS", 100)
+    cut = registry.svr().fit(one)
+    for df in kept:
+        sizes = df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert sum(sizes) == 500 and max(sizes) <= 110
+    assert len(kept) == 1 and max(len(r.features) for r in kept[0].collect()) == 2
+    assert np.allclose(cut.theta, whole.theta, atol=1e-3)
