@@ -150,6 +150,7 @@ class SVMClassifier(Estimator):
     def _fit(self, df: DataFrame) -> "SVMModel":
         n, dim = df.agg(F.count("*"), F.max(F.size("features"))).first()
         rff = None if self.kernel == "linear" else feature_map(self.kernel, df, dim, self.gamma, self.size, self.seed, self.coef0)
+        df = dealt(df.select("label", "features"), n, rff.width if rff else dim)
         src = with_vector(rff.transform(df) if rff else df).select("label", VECTOR).persist()
         svc = LinearSVC(featuresCol=VECTOR, labelCol="label", regParam=1.0 / (self.C * n), standardization=False, maxIter=100)
         try:

@@ -66,6 +66,17 @@ def test_cubic_boundary(spark):
     assert auc_roc(SVMClassifier(kernel="linear").fit(df).transform(df)).first()["auc"] < 0.7
 
 
+def test_features_are_made_in_bounded_pieces():
+    from benchloom.models import kernel
+
+    x = np.random.default_rng(6).normal(size=(5000, 64))
+    mapper = PolynomialFeatures(64, 0.1)
+    found = list(mapper.pieces(x))
+    assert [at for at, _ in found][1:] == list(np.cumsum([len(z) for _, z in found]))[:-1]
+    assert max(z.size for _, z in found) <= kernel.PIECE < 5000 * mapper.width
+    assert np.allclose(np.vstack([z for _, z in found]), mapper.project(x))
+
+
 def test_fits_keep_narrow_rows_in_bounded_partitions(spark, monkeypatch):
     from benchloom.models import kernel
 
@@ -78,8 +89,9 @@ def test_fits_keep_narrow_rows_in_bounded_partitions(spark, monkeypatch):
     monkeypatch.setattr(frame, "persist", lambda self, f=frame.persist: kept.append(self) or f(self))
     monkeypatch.setattr(kernel, "TASK_ROWS", 100)
     cut = registry.svr().fit(one)
+    registry.svm_classifier().fit(one.withColumn("label", (one.label > 0).cast("double")))
     for df in kept:
         sizes = df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
         assert sum(sizes) == 500 and max(sizes) <= 110
-    assert len(kept) == 1 and max(len(r.features) for r in kept[0].collect()) == 2
+    assert len(kept) == 2 and max(len(r.features) for r in kept[0].collect()) == 2
     assert np.allclose(cut.theta, whole.theta, atol=1e-3)
