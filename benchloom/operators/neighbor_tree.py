@@ -87,16 +87,16 @@ class PivotTree:
         return self._with_table(base.select("bid", "vec", *AT, *payload), "bid", self.pivots, locate, schema)
 
     def leaves(self, queries: DataFrame, bounded: bool) -> DataFrame:
-        """(qid, vec, grp, cell, leaf) to visit. `queries`: qid, vec, grp, cells (a list), and where `bounded` the
+        """(qid, vec, grp, cell, leaf, and the bound where `bounded`) to visit. `queries`: qid, vec, grp, cells (a list), and where `bounded` the
         bound on the k-th distance and `first`, the cells of the first visit, whose nearest leaves are left out."""
-        distance, need = self.distance, self.cells.need
+        distance, need, kept = self.distance, self.cells.need, ["bound"] if bounded else []
         wide = queries.select(*[c for c in queries.columns if c != "cells"], F.explode("cells").alias("cell"))
         if bounded:
             wide = wide.withColumn("seen", F.array_contains("first", F.col("cell"))).drop("first")
 
         def choose(rows: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
             if rows.empty or table.empty:
-                return pd.DataFrame({c: [] for c in ["qid", "vec", *LEAF]}, dtype=object)
+                return pd.DataFrame({c: [] for c in ["qid", "vec", *LEAF, *kept]}, dtype=object)
             one = table.iloc[0]
             pivots, leaf, n = _stack(one["pivots"]), np.asarray(one["leaf"]), np.asarray(one["n"])
             lo, hi = np.asarray(one["lo"]), np.asarray(one["hi"])
@@ -116,11 +116,13 @@ class PivotTree:
                 r, c = np.nonzero(mask)
                 found.append(pd.DataFrame({
                     "qid": part["qid"].to_numpy()[r], "vec": part["vec"].to_numpy()[r], "grp": one["grp"], "cell": one["cell"], "leaf": leaf[c],
+                    **{name: part[name].to_numpy()[r] for name in kept},
                 }))
                 at += len(d)
             return pd.concat(found, ignore_index=True)
 
-        return self._with_table(wide, "qid", self.table, choose, "qid bigint, vec array<double>, grp string, cell int, leaf int")
+        schema = "qid bigint, vec array<double>, grp string, cell int, leaf int" + (", bound double" if bounded else "")
+        return self._with_table(wide, "qid", self.table, choose, schema)
 
     def visit(self, wanted: DataFrame, block: Callable, schema: str, block_rows: int) -> DataFrame:
         """Whatever `block(queries, rows)` returns for the queries and rows of each leaf."""
@@ -149,7 +151,7 @@ def meet(
     n = fan_out(wanted.sparkSession)
     left = cut(wanted, "qid", "qblock", "bblock", "qsplits", "bsplits").repartition(n, *by)
     right = cut(rows, "bid", "bblock", "qblock", "bsplits", "qsplits").repartition(n, *by)
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(block, schema)
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(block, schema)
 
 
 def _stack(pivots) -> np.ndarray | None:
