@@ -114,10 +114,12 @@ def added(prefix: str) -> StructType:
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     window: int = 10, slice_bytes: int = BROADCAST_BYTES // 8, keep: list[str] | None = None, prefix: str = "",
+    cut: bool = False,
 ) -> DataFrame:
     """Documents with n_words, n_hit, items (sorted ids found) and hit_words (packed bits, one per word).
 
-    `prefix` goes in front of the added names; `keep` names the input columns to return.
+    `prefix` goes in front of the added names; `keep` names the input columns to return. With `cut` the text without its hit
+    passages takes the place of the text.
     """
     items = benchmark.select(quoted(item_id).cast("string").alias("i"), quoted(item_text).alias("t")).where("t IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("t") + 64)).first()[0] or 0
@@ -126,11 +128,11 @@ def find_contamination(
     for s in range(slices):
         part = items.where(F.pmod(F.xxhash64("t", "i"), F.lit(slices)) == s).collect() if total else []
         last = s == slices - 1
-        out = _scan_slice(out, [(r.i, r.t) for r in part], text, window, keep if last or keep is None else [*keep, text], prefix, s == 0)
+        out = _scan_slice(out, [(r.i, r.t) for r in part], text, window, keep if last or keep is None else [*keep, text], prefix, s == 0, cut and last)
     return out
 
 
-def _scan_slice(docs: DataFrame, part: list, text: str, window: int, keep: list[str] | None, prefix: str, first: bool) -> DataFrame:
+def _scan_slice(docs: DataFrame, part: list, text: str, window: int, keep: list[str] | None, prefix: str, first: bool, cut: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(part)
 
     def make():
@@ -149,12 +151,15 @@ def _scan_slice(docs: DataFrame, part: list, text: str, window: int, keep: list[
                 n_hit.append(0 if mask is None else int(mask.sum()))
                 names.append(sorted(own))
                 bits.append(b"" if mask is None else np.packbits(mask).tobytes())
-            return counts, n_hit, names, bits
+            clean = ([without_hits(t, b) for t, b in zip(texts, bits, strict=True)],) if cut else ()
+            return counts, n_hit, names, bits, *clean
 
         return work
 
     needs = [text] if first else [text, f"{prefix}items", f"{prefix}hit_words"]
-    return add_columns(docs, needs, added(prefix), make, keep)
+    # the texts are cut in the same pass: a second one would take a second Python worker for each task
+    schema = StructType([*added(prefix), *([StructField(text, StringType())] if cut else [])])
+    return add_columns(docs, needs, schema, make, keep)
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", mode: str = "spans", **options) -> DataFrame:
@@ -165,33 +170,29 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     """
     if mode not in ("spans", "documents"):
         raise ValueError(f"mode is spans or documents, not {mode!r}")
-    found = find_contamination(docs, benchmark, text, prefix="__dc_", **options)
+    found = find_contamination(docs, benchmark, text, prefix="__dc_", cut=mode == "spans", **options)
     if mode == "documents":
-        return found.where("__dc_n_hit = 0").select(*[quoted(c) for c in docs.columns])
-    schema = StructType([StructField(text, StringType())])
-
-    def make():
-        def cut(t, bits):
-            if not t or not bits:
-                return t
-            spans = [m.span() for m in WORD.finditer(lowered(t))]
-            hit = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(spans))
-            out, at, k = [], 0, 0
-            while k < len(spans):
-                if not hit[k]:
-                    k += 1
-                    continue
-                first = k
-                while k < len(spans) and hit[k]:
-                    k += 1
-                out += [t[at : spans[first][0]], " "]
-                at = spans[k - 1][1]
-            return "".join(out) + t[at:]
-
-        return lambda texts, bits: ([cut(t, b) for t, b in zip(texts, bits, strict=True)],)
-
-    clean = add_columns(found, [text, "__dc_hit_words"], schema, make)
-    return clean.select(*[quoted(c) for c in docs.columns])
+        found = found.where("__dc_n_hit = 0")
+    return found.select(*[quoted(c) for c in docs.columns])
+
+
+def without_hits(t: str | None, bits: bytes | None) -> str | None:
+    """The text with one space for each maximal run of hit words."""
+    if not t or not bits:
+        return t
+    spans = [m.span() for m in WORD.finditer(lowered(t))]
+    hit = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(spans))
+    out, at, k = [], 0, 0
+    while k < len(spans):
+        if not hit[k]:
+            k += 1
+            continue
+        first = k
+        while k < len(spans) and hit[k]:
+            k += 1
+        out += [t[at : spans[first][0]], " "]
+        at = spans[k - 1][1]
+    return "".join(out) + t[at:]
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}

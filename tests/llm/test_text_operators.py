@@ -102,6 +102,15 @@ def test_contamination(spark, slice_bytes):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6, 8]  # É is not lower-cased, é is another word
 
 
+def test_passages_are_cut_in_the_pass_that_finds_them(spark):
+    # two Python steps in a row take two workers for each task, and what later steps load stays in all of them
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    found, clean = decontaminate.find_contamination(docs, bench, cut=True), decontaminate.remove_contamination(docs, bench)
+    assert clean._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(str, found.select("doc_id", "text").collect())) == sorted(map(str, clean.collect()))
+
+
 def test_contamination_empty(spark, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
