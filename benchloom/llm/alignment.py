@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from benchloom.llm.blocks import each_row, pack, table_name, unpack
-from benchloom.llm.common import add_columns, pieces, quoted
+from benchloom.llm.common import add_columns, kept, pieces, quoted
 from benchloom.llm.runs import RunEncoder, byte_bpe, byte_labels, piece_bpe
 from benchloom.session import bounded_batches
 
@@ -173,15 +173,12 @@ class Aligner:
         return np.frombuffer(written.buffers()[2] or b"", np.uint8), offsets[found.a_begin + found.b_begin]
 
 
-_ALIGNERS: dict[int, Aligner] = {}
+OWNER = "alignment"
 
 
 def aligner_of(definition: str, model: bytes) -> Aligner:
-    key = hash((definition, model))
-    if key not in _ALIGNERS:
-        _ALIGNERS.clear()
-        _ALIGNERS[key] = Aligner(definition, model)
-    return _ALIGNERS[key]
+    """One aligner each worker, until the worker turns to another operator."""
+    return kept(OWNER, hash((definition, model)), lambda: Aligner(definition, model))
 
 
 def _shared(df: DataFrame, a: str, b: str):
@@ -214,7 +211,7 @@ def align(docs: DataFrame, a: str, b: str, text: str = "text", keep: list[str] |
 
         return work
 
-    return add_columns(docs, [text], added, make, keep)
+    return add_columns(docs, [text], added, make, keep, OWNER)
 
 
 # ------------------------------------------------------------------ counts over the whole corpus

@@ -33,9 +33,10 @@ from functools import cache
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from benchloom.llm.common import Memo, add_columns
+from benchloom.llm.common import Memo, add_columns, kept
 
 START = -1
+ARCS = 250_000  # of the transition table; beyond, it begins anew
 
 
 def _byte_chars() -> dict[str, int]:
@@ -61,15 +62,15 @@ class MergeAutomaton:
         for b in self.token:
             lengths.setdefault(b[:2], {1}).add(len(b))
         self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in lengths.items()}
-        self.table: dict[tuple[int, int], bool] = {}
+        self.table: dict[int, bool] = {}  # by state << 32 | label
 
     def arc(self, state: int, label: int) -> bool:
         """Does an arc `label` leave the state behind `state` when all merges are compiled?"""
-        known = self.table.get((state, label))
+        known = self.table.get(state << 32 | label)
         if known is None:
-            if len(self.table) > 2_000_000:
+            if len(self.table) >= ARCS:
                 self.table.clear()
-            known = self.table[state, label] = self._replay(state, label)
+            known = self.table[state << 32 | label] = self._replay(state, label)
         return known
 
     def _replay(self, s: int, x: int) -> bool:
@@ -102,7 +103,7 @@ class MergeAutomaton:
                     t = token.get(word[at : at + k])
                     if t is None:
                         continue
-                    there = True if last == START else table.get((last, t))
+                    there = True if last == START else table.get(last << 32 | t)
                     if arc(last, t) if there is None else there:
                         path.append(t)
                         at, last, most = at + k, t, n
@@ -213,15 +214,12 @@ def _shared_codec(df: DataFrame, tokenizer: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-_CODECS: dict[int, Codec] = {}
+OWNER = "bpe"
 
 
 def codec_of(definition: str) -> Codec:
-    key = hash(definition)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(definition)
-    return _CODECS[key]
+    """One codec each worker, until the worker turns to another operator."""
+    return kept(OWNER, hash(definition), lambda: Codec(definition))
 
 
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -238,7 +236,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str]
 
         return work
 
-    return add_columns(docs, [text], added, make, keep)
+    return add_columns(docs, [text], added, make, keep, OWNER)
 
 
 def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
@@ -250,7 +248,7 @@ def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", keep: list[str]
         codec = codec_of(shared.value)
         return lambda col: ([codec.decode(x or b"") for x in col],)
 
-    return add_columns(tokens, [ids], added, make, keep)
+    return add_columns(tokens, [ids], added, make, keep, OWNER)
 
 
 def digests(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -274,4 +272,4 @@ def digests(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
 
         return work
 
-    return add_columns(docs, [text], added, make, [doc_id])
+    return add_columns(docs, [text], added, make, [doc_id], OWNER)

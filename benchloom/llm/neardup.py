@@ -39,6 +39,7 @@ from benchloom.llm.bagminhash import C1, bands as band_keys, mix, signatures
 from benchloom.llm.common import add_columns, quoted, remove, scratch, written
 
 SMALL = 32  # texts in a bucket that is joined with itself; larger ones are compared in cells
+PIECE_BYTES = 512 << 10  # of texts that are shingled at once: shingles and points take some fifty times as much
 CELL_ROWS, CELL_BYTES = 256, 8 << 20  # of each side of a cell, on average
 SEED_BITS = 26  # of the fixed-size filter that spares texts without candidates the second reading
 
@@ -97,7 +98,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, shingle: int, bands: int,
 
         return work
 
-    return add_columns(docs.select(quoted(doc_id).alias("id"), quoted(text).alias("text")), ["text"], added, make, ["id"])
+    return add_columns(docs.select(quoted(doc_id).alias("id"), quoted(text).alias("text")), ["text"], added, make, ["id"], piece_bytes=PIECE_BYTES)
 
 
 def _filter_of(keys: DataFrame) -> np.ndarray:
@@ -140,7 +141,7 @@ def _bags(docs: DataFrame, text: str, keys: DataFrame, shingle: int) -> DataFram
 
         return work
 
-    bags = add_columns(docs.select(quoted(text).alias("text")), ["text"], schema, make, []).where("key IS NOT NULL")
+    bags = add_columns(docs.select(quoted(text).alias("text")), ["text"], schema, make, [], piece_bytes=PIECE_BYTES).where("key IS NOT NULL")
     return bags.join(keys, "key", "left_semi").groupBy("key").agg(F.min(F.struct("bag", "counts")).alias("b")).select("key", "b.*")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from benchloom.llm.common import add_columns, pieces, quoted, without
+from benchloom.llm.common import add_columns, let_go, pieces, quoted, without
 from benchloom.session import bounded_batches
 
 ORDER = 6
@@ -234,6 +234,7 @@ def _count(rows: DataFrame, bits: int) -> DataFrame:
     ])
 
     def run(batches):
+        let_go()
         for b in (p for whole in batches for p in pieces(whole, 256 << 10)):
             texts, ys = b.column(0).to_pylist(), b.column(1).to_pylist()
             for y in (0, 1):
@@ -265,6 +266,7 @@ def scores(docs: DataFrame, scorer: Scorer, text: str):
 
     @F.arrow_udf(DoubleType())
     def measure(texts: pa.Array) -> pa.Array:
+        let_go()
         parts = pieces(pa.RecordBatch.from_arrays([texts], names=["text"]), 256 << 10)
         found = [shared.value(p.column(0).to_pylist()) for p in parts]
         return pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
