@@ -36,7 +36,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, Struc
 from xxhash import xxh3_64_intdigest
 
 from benchloom.llm.bagminhash import C1, bands as band_keys, mix, signatures
-from benchloom.llm.common import add_columns, quoted, remove, scratch, written
+from benchloom.llm.common import BROADCAST_BYTES, add_columns, quoted, remove, scratch, written
 
 SMALL = 32  # texts in a bucket that is joined with itself; larger ones are compared in cells
 PIECE_BYTES = 512 << 10  # of texts that are shingled at once: shingles and points take some fifty times as much
@@ -321,4 +321,6 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     """
     found = near_duplicates(docs, doc_id, text, **options)
     later = found.where(quoted(doc_id).isNotNull() & (quoted(doc_id) != F.col("class_id"))).select(quoted(doc_id).alias("__later")).distinct()
-    return docs.join(later, quoted(doc_id) == F.col("__later"), "left_anti")
+    # the ids go to the texts, so that no text is shuffled, as long as they are few enough to be broadcast
+    size = later.agg(F.sum(F.octet_length(F.col("__later").cast("string")) + 64)).first()[0] or 0
+    return docs.join(F.broadcast(later) if size <= BROADCAST_BYTES else later, quoted(doc_id) == F.col("__later"), "left_anti")

@@ -91,3 +91,21 @@ def test_probe_without_partners_does_not_hold_up_its_bucket(spark):
     want = brute(list(placed))
     assert {tuple(sorted(p)) for p in (pair, other, third)} <= set(map(tuple, want))
     assert classes(spark, placed) == want
+
+
+def test_dropping_copies_does_not_shuffle_texts(spark, monkeypatch):
+    rows = [(k, prose(k // 2, 60)) for k in range(20)] + [(None, prose(3, 60)), (30, None), (31, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans, left = [], []
+        for limit in (neardup.BROADCAST_BYTES, 0):
+            monkeypatch.setattr(neardup, "BROADCAST_BYTES", limit)
+            kept = neardup.keep_one(docs)
+            plans.append(kept._jdf.queryExecution().sparkPlan().toString())
+            left.append(sorted((r.doc_id if r.doc_id is not None else -1) for r in kept.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
+    assert left[0] == left[1] == [-1, *range(0, 20, 2), 30, 31]
