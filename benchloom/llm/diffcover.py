@@ -20,8 +20,14 @@ def _order(parts: list[np.ndarray], top: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorting order of tuples, and for each sorted place whether it differs from the one before."""
     key = _packed(parts, top)
     if key is not None:
-        order = np.argsort(key, kind="stable")
-        s = key[order]
+        place = max(1, len(key).bit_length())
+        if len(parts) * max(1, int(top).bit_length()) + place <= 63:  # sorting numbers is faster than sorting places by them
+            s = np.sort((key << place) | np.arange(len(key)))
+            order = s & ((1 << place) - 1)
+            s >>= place
+        else:
+            order = np.argsort(key)
+            s = key[order]
         return order, np.concatenate([[True], s[1:] != s[:-1]])
     order = np.lexsort(parts[::-1])
     new = np.zeros(len(order), dtype=bool)
@@ -96,12 +102,14 @@ def equal_windows(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.
     wanted[starts] = True
     order = suffix_array(data.astype(np.int64) + 1)
     order = order[wanted[order]]
-    same = np.ones(len(order), dtype=bool)
-    same[:1] = False
-    a, b = order[:-1], order[1:]
-    for k in range(width):
-        live = np.flatnonzero(same[1:])
-        if not len(live):
-            break
-        same[1 + live] = data[a[live] + k] == data[b[live] + k]
-    return order, ~same
+    packed = np.concatenate([data.astype(np.int64), np.zeros(7, np.int64)])  # of 9 bits each, 7 in a number
+    packed = sum(packed[k : len(data) + k] << (9 * (6 - k)) for k in range(7))
+    new = np.ones(len(order), dtype=bool)
+    same = np.arange(1, len(order))
+    for k in range(0, width, 7):
+        at = packed[order + k]
+        if width - k < 7:
+            at >>= 9 * (7 - width + k)
+        same = same[at[same] == at[same - 1]]
+    new[same] = False
+    return order, new

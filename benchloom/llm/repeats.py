@@ -26,6 +26,10 @@ not remove from each other; further columns are not returned.
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from benchloom.llm.bagminhash import mix
-from benchloom.llm.blocks import blocks_of, each_row, pack, unpack
+from benchloom.llm.blocks import LAST, blocks_of, each_row, pack, unpack
 from benchloom.llm.common import quoted, scratch, written
 from benchloom.llm.diffcover import equal_windows
 
@@ -75,157 +79,133 @@ class Block:
     """The anchors of a block of documents.
 
     `start`, `windows`, `anchor`, `doc`: first window, number of windows, anchor hash and document of each run of
-    neighbouring windows with one anchor.
+    neighbouring windows with one anchor. `bucket`, of `n`: where the anchor is dealt to; `asked`: the distinct anchors,
+    as 32-bit numbers below their bucket, sorted, and `mine`: each run's place there.
     """
 
-    def __init__(self, data: bytes, sizes: np.ndarray, width: int):
-        self.data, self.width = data, width
-        a = np.frombuffer(data, np.uint8)
+    def __init__(self, data: bytes, sizes: np.ndarray, width: int, n: int):
+        self.data, self.width, self.n = data, width, n
         ends = np.cumsum(sizes)
-        self.first = ends - sizes
+        first = ends - sizes
         gram = min(GRAM, width)
-        low = anchors(a, gram, width - gram + 1)
+        low = anchors(np.frombuffer(data, np.uint8), gram, width - gram + 1)
         count = np.maximum(sizes - width + 1, 0)
-        doc = np.repeat(np.arange(len(sizes)), count)
-        at = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count) + self.first[doc]
-        value = low[at]
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-        head = np.flatnonzero(new)
-        self.start, self.windows = at[head], np.diff(np.append(head, len(at)))
-        self.anchor, self.doc = mix(value[head]), doc[head]
-
-    def shared_here(self) -> np.ndarray:
-        """Runs whose anchor occurs in two documents of this block."""
-        order = np.lexsort((self.doc, self.anchor))
-        a, d = self.anchor[order], self.doc[order]
-        group = np.cumsum(np.concatenate([[True], a[1:] != a[:-1]])) - 1 if len(a) else np.zeros(0, int)
-        change = np.zeros(len(a), dtype=np.int64)
-        change[1:] = (a[1:] == a[:-1]) & (d[1:] != d[:-1])
-        out = np.zeros(len(a), dtype=bool)
-        out[order] = (np.bincount(group, change)[group] > 0) if len(a) else False
-        return out
-
-    def buckets(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket and 32-bit number of each anchor."""
-        return (self.anchor % U(n)).astype(np.int64), (self.anchor >> U(32)).astype(np.uint32)
-
-    def asked(self, n: int) -> list[np.ndarray]:
+        new = np.ones(len(low), dtype=bool)
+        np.not_equal(low[1:], low[:-1], out=new[1:])
+        new[first[count > 0]] = True
+        rest = sizes - count  # places at the end of a document where no window starts
+        none = np.arange(rest.sum()) - np.repeat(np.cumsum(rest) - rest, rest) + np.repeat(first + count, rest)
+        new[none[none < len(low)]] = False
+        self.start = np.flatnonzero(new)
+        self.doc = np.searchsorted(ends, self.start, "right")
+        self.windows = np.minimum(np.append(self.start[1:], len(data)), (first + count)[self.doc]) - self.start
+        self.anchor = mix(low[self.start])
+        self.bucket = (self.anchor % U(n)).astype(np.int64)
+        key = (self.bucket.astype(U) << U(32)) | (self.anchor >> U(32))
+        self.order = np.argsort(key)
+        key = key[self.order]
+        self.head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        self.asked = key[self.head]
+        self.mine = np.empty(len(key), dtype=np.int64)
+        self.mine[self.order] = np.repeat(np.arange(len(self.head)), np.diff(np.append(self.head, len(key))))
+
+    def numbers(self) -> list[np.ndarray]:
         """The distinct anchor numbers for each bucket, sorted."""
-        bucket, number = self.buckets(n)
-        key = np.unique((bucket.astype(U) << U(32)) | number)
-        cut = np.searchsorted(key, np.arange(n + 1, dtype=U) << U(32))
-        return [(key[a:b] & U(0xFFFFFFFF)).astype(np.uint32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-
-    def wanted(self, n: int, answers: dict[int, bytes]) -> np.ndarray:
-        """Runs whose anchor may occur in another document."""
-        bucket, number = self.buckets(n)
-        keys, flags = [], []
-        for b, own in enumerate(self.asked(n)):
+        cut = np.searchsorted(self.asked, np.arange(self.n + 1, dtype=U) << U(32))
+        return np.split((self.asked & U(0xFFFFFFFF)).astype(np.uint32), cut[1:-1])
+
+    def wanted(self, answers: dict[int, bytes]) -> np.ndarray:
+        """Runs whose anchor may occur in another document: of this block, or by the answers of another one."""
+        if not len(self.start):
+            return np.zeros(0, dtype=bool)
+        doc = self.doc[self.order]
+        flag = np.minimum.reduceat(doc, self.head) != np.maximum.reduceat(doc, self.head)
+        at = 0
+        for b, own in enumerate(self.numbers()):
             if b in answers and len(own):
-                keys.append((U(b) << U(32)) | own.astype(U))
-                flags.append(np.unpackbits(np.frombuffer(answers[b], np.uint8), count=len(own)).astype(bool))
-        out = self.shared_here()
-        if keys:
-            key, flag = np.concatenate(keys), np.concatenate(flags)
-            mine = (bucket.astype(U) << U(32)) | number
-            out |= flag[np.minimum(np.searchsorted(key, mine), len(key) - 1)]
-        return out
-
-    def stretches(self, n: int, answers: dict[int, bytes], ids: np.ndarray):
-        """Per bucket: (stretch texts, anchors, smallest ids); and the runs with the place of their stretch there."""
-        runs = np.flatnonzero(self.wanted(n, answers))
-        bucket, _ = self.buckets(n)
-        per: list[dict[bytes, int]] = [{} for _ in range(n)]
-        anchors: list[list[int]] = [[] for _ in range(n)]
-        least: list[list[int]] = [[] for _ in range(n)]
-        place = np.empty(len(runs), dtype=np.int64)
-        data, extra = self.data, self.width - 1
-        rows = zip(
-            bucket[runs].tolist(), self.start[runs].tolist(), self.windows[runs].tolist(),
-            self.anchor[runs].tolist(), ids[self.doc[runs]].tolist(), strict=True,
-        )
-        for k, (b, at, size, anchor, own) in enumerate(rows):
-            piece = data[at : at + size + extra]
-            j = per[b].setdefault(piece, len(anchors[b]))
-            if j == len(anchors[b]):
-                anchors[b].append(anchor)
-                least[b].append(own)
-            elif own < least[b][j]:
-                least[b][j] = own
-            place[k] = j
-        return per, anchors, least, runs, bucket[runs], place
-
-
-def smallest_ids(rows: list[bytes], width: int, budget: int = 1 << 20) -> list[bytes]:
+                flag[at : at + len(own)] |= np.unpackbits(np.frombuffer(answers[b], np.uint8), count=len(own)).astype(bool)
+            at += len(own)
+        return flag[self.mine]
+
+    def stretches(self, answers: dict[int, bytes], ids: np.ndarray):
+        """Distinct stretches by bucket: texts, anchors, smallest ids, first place of each bucket; runs and their stretches."""
+        runs = np.flatnonzero(self.wanted(answers))
+        runs = runs[np.argsort(self.bucket[runs], kind="stable")]
+        begin = self.start[runs]
+        known, place = numbered([(self.data, begin, begin + self.windows[runs] + self.width - 1)])
+        anchor, bucket = np.empty(len(known), dtype=U), np.empty(len(known), dtype=np.int64)
+        anchor[place], bucket[place] = self.anchor[runs], self.bucket[runs]  # equal stretches have one anchor
+        low = np.full(len(known), LAST)
+        np.minimum.at(low, place, ids[self.doc[runs]])
+        return known, anchor, low, np.searchsorted(bucket, np.arange(self.n + 1)), runs, place
+
+
+def numbered(rows: Iterable[tuple[bytes, np.ndarray, np.ndarray]]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct stretches of (data, starts, ends), in order of their first occurrence, and the place there of each."""
+    number: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+    places = [np.zeros(0, dtype=np.int64)]
+    for data, start, end in rows:
+        pieces = map(data.__getitem__, map(slice, start.tolist(), end.tolist()))
+        places.append(np.fromiter(map(number.__getitem__, pieces), np.int64, len(start)))
+    return list(number), np.concatenate(places)
+
+
+def smallest_ids(rows: list[bytes], width: int, budget: int = 1 << 18) -> list[bytes]:
     """One bucket: for the stretches of each block, runs of windows with their smallest document id."""
-    known: dict[bytes, int] = {}
-    anchors, least, places = [], [], []
-    for row in rows:
-        size, anchor, low, text = unpack(row, np.int32, np.uint64, np.int64, np.uint8)
-        text = text.tobytes()
-        place = np.empty(len(size), dtype=np.int64)
-        at = 0
-        for k, (n, a, own) in enumerate(zip(size.tolist(), anchor.tolist(), low.tolist(), strict=True)):
-            j = known.setdefault(text[at : at + n], len(anchors))
-            if j == len(anchors):
-                anchors.append(a)
-                least.append(own)
-            elif own < least[j]:
-                least[j] = own
-            place[k] = j
-            at += n
-        places.append(place)
-    texts, anchor, low = list(known), np.array(anchors, dtype=np.uint64), np.array(least, dtype=np.int64)
-    answer: list[tuple[np.ndarray, np.ndarray]] = [
-        (np.array([len(t) - width + 1], np.int32), np.array([v], np.int64)) for t, v in zip(texts, least, strict=True)
-    ]
+    size, anchors, ids, data = zip(*[unpack(row, np.int32, np.uint64, np.int64, np.uint8) for row in rows], strict=True)
+    ends = [np.cumsum(x, dtype=np.int64) for x in size]
+    texts, place = numbered((d.tobytes(), e - x, e) for d, e, x in zip(data, ends, size, strict=True))
+    anchor, low = np.empty(len(texts), dtype=U), np.full(len(texts), LAST)
+    anchor[place] = np.concatenate(anchors)
+    np.minimum.at(low, place, np.concatenate(ids))
+    held = np.empty(len(texts), dtype=np.int64)
+    held[place] = np.concatenate(size)
+
     order = np.argsort(anchor, kind="stable")
     edges = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0, [True]])) if len(order) else np.zeros(1, int)
-    lot: list[int] = []
-    held = 0
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        if b - a > 1:
-            own = order[a:b].tolist()
-            lot += own
-            held += sum(len(texts[j]) + 1 for j in own)
-        if lot and (held >= budget or b == len(order)):
-            _sort_lot(lot, texts, low, width, answer)
-            lot, held = [], 0
-    if lot:
-        _sort_lot(lot, texts, low, width, answer)
-    out = []
-    for place in places:
-        parts = [answer[j] for j in place.tolist()]
-        out.append(pack(
-            np.array([len(p[0]) for p in parts], np.int32),
-            np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int32),
-            np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64),
-        ))
+    several = np.diff(edges) > 1
+    alone = order[edges[:-1][~several]]
+    own = order[np.repeat(several, np.diff(edges))]
+    found = [(alone, np.ones(len(alone), np.int64), held[alone] - width + 1, low[alone])]
+    if len(own):  # lots of whole anchors, of about `budget` bytes
+        until = np.cumsum(held[own] + 1)
+        head = np.cumsum(np.diff(edges)[several]) - np.diff(edges)[several]
+        lot = (until[head] - held[own[head]] - 1) // budget
+        cut = np.append(head[np.concatenate([[True], lot[1:] != lot[:-1]])], len(own))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            found.append((own[a:b], *_sort_lot([texts[j] for j in own[a:b].tolist()], low[own[a:b]], width)))
+
+    which, parts, length, value = (np.concatenate(x) for x in zip(*found, strict=True))
+    parts_of, first_of = np.empty(len(texts), dtype=np.int64), np.empty(len(texts), dtype=np.int64)
+    parts_of[which], first_of[which] = parts, np.cumsum(parts) - parts
+    out, at = [], 0
+    for x in size:
+        mine = place[at : at + len(x)]
+        at += len(x)
+        k = parts_of[mine]
+        segment = np.arange(k.sum()) + np.repeat(first_of[mine] - np.cumsum(k) + k, k)
+        out.append(pack(k.astype(np.int32), length[segment].astype(np.int32), value[segment]))
     return out
 
 
-def _sort_lot(lot: list[int], texts: list[bytes], low: np.ndarray, width: int, answer: list) -> None:
-    sizes = np.array([len(texts[j]) for j in lot], dtype=np.int64)
-    raw = np.frombuffer(b"\0".join(texts[j] for j in lot) + b"\0", np.uint8).astype(np.uint16) + 1
+def _sort_lot(texts: list[bytes], low: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of stretches with their smallest ids: numbers of runs, and the runs' numbers of windows and smallest ids."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    raw = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.uint16) + 1
     ends = np.cumsum(sizes + 1) - 1
     raw[ends] = 0
-    first = ends - sizes
     count = sizes - width + 1
-    which = np.repeat(np.arange(len(lot)), count)
-    start = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + first[which]
-    owner = np.zeros(len(raw), dtype=np.int64)
-    owner[start] = which
+    which = np.repeat(np.arange(len(texts)), count)
+    start = np.arange(len(which)) + np.repeat(ends - sizes - np.cumsum(count) + count, count)
+    value = np.zeros(len(raw), dtype=np.int64)
+    value[start] = low[which]
     order, new = equal_windows(raw, start, width)
     head = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    best = np.minimum.reduceat(low[np.array(lot)][owner[order]], head)
-    value = np.zeros(len(raw), dtype=np.int64)
-    value[order] = best[group]
-    for k, j in enumerate(lot):
-        v = value[first[k] : first[k] + count[k]]
-        cut = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-        answer[j] = (np.diff(np.append(cut, len(v))).astype(np.int32), v[cut])
+    best = np.minimum.reduceat(value[order], head)
+    value[order] = np.repeat(best, np.diff(np.append(head, len(order))))
+    value = value[start]
+    cut = np.flatnonzero(np.concatenate([[True], (which[1:] != which[:-1]) | (value[1:] != value[:-1])]))
+    return np.bincount(which[cut], minlength=len(texts)), np.diff(np.append(cut, len(value))), value[cut]
 
 
 MAIL = StructType([StructField("bucket", IntegerType()), StructField("block", LongType()), StructField("load", BinaryType())])
@@ -236,8 +216,8 @@ FOUND = StructType([
 ])
 
 
-def _opened(row: dict, width: int) -> tuple[Block, np.ndarray]:
-    return Block(row["data"], np.frombuffer(row["sizes"], np.int64), width), np.frombuffer(row["ids"], np.int64)
+def _opened(row: dict, width: int, n: int) -> tuple[Block, np.ndarray]:
+    return Block(row["data"], np.frombuffer(row["sizes"], np.int64), width, n), np.frombuffer(row["ids"], np.int64)
 
 
 def _mail(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -262,8 +242,8 @@ def remove_repeats(
 
     def ask(batches):
         for row in each_row(batches):
-            block, _ = _opened(row, width)
-            yield _mail([(b, row["block"], own.tobytes()) for b, own in enumerate(block.asked(n)) if len(own)])
+            block, _ = _opened(row, width, n)
+            yield _mail([(b, row["block"], own.tobytes()) for b, own in enumerate(block.numbers()) if len(own)])
 
     def count(key, got):
         own = [np.frombuffer(x, np.uint32) for x in got["load"]]
@@ -281,14 +261,13 @@ def remove_repeats(
 
     def send(batches):
         for row in each_row(batches):
-            block, ids = _opened(row, width)
-            per, anchors, least, *_ = block.stretches(n, answered(row), ids)
+            block, ids = _opened(row, width, n)
+            texts, anchor, low, cut, *_ = block.stretches(answered(row), ids)
             mail = []
-            for b, own in enumerate(per):
-                if own:
-                    sizes = np.array([len(t) for t in own], np.int32)
-                    load = pack(sizes, np.array(anchors[b], np.uint64), np.array(least[b], np.int64), np.frombuffer(b"".join(own), np.uint8))
-                    mail.append((b, row["block"], load))
+            for b in np.flatnonzero(np.diff(cut)).tolist():
+                own = slice(cut[b], cut[b + 1])
+                sizes = np.array([len(t) for t in texts[own]], np.int32)
+                mail.append((b, row["block"], pack(sizes, anchor[own], low[own], np.frombuffer(b"".join(texts[own]), np.uint8))))
             if mail:
                 yield _mail(mail)
 
@@ -303,21 +282,21 @@ def remove_repeats(
 
     def finish(batches):
         for row in each_row(batches):
-            block, ids = _opened(row, width)
+            block, ids = _opened(row, width, n)
             removed = np.zeros(len(row["data"]) + 1, dtype=np.int64)
             loads = {m["bucket"]: unpack(m["load"], np.int32, np.int32, np.int64) for m in row["found"] or []}
             if loads:
-                _, _, _, runs, bucket, place = block.stretches(n, answered(row), ids)
+                *_, first, runs, place = block.stretches(answered(row), ids)
+                bucket = block.bucket[runs]
                 for b, (parts, length, low) in loads.items():
-                    cut = np.concatenate([[0], np.cumsum(parts)])
-                    inner = np.cumsum(length) - length
-                    mine = np.flatnonzero(bucket == b)
-                    run, at = runs[mine], place[mine]
+                    mine = slice(*np.searchsorted(bucket, [b, b + 1]))
+                    run, at = runs[mine], place[mine] - first[b]
+                    edge = np.cumsum(parts, dtype=np.int64) - parts
+                    inner = np.cumsum(length, dtype=np.int64) - length
                     k = parts[at]
-                    which = np.repeat(np.arange(len(mine)), k)
-                    seg = np.arange(len(which)) - np.repeat(np.cumsum(k) - k, k) + cut[at][which]
-                    begin = block.start[run][which] + inner[seg] - inner[cut[at]][which]
-                    hit = low[seg] < ids[block.doc[run]][which]
+                    seg = np.arange(k.sum()) + np.repeat(edge[at] - np.cumsum(k) + k, k)
+                    begin = inner[seg] + np.repeat(block.start[run] - inner[edge[at]], k)
+                    hit = low[seg] < np.repeat(ids[block.doc[run]], k)
                     np.add.at(removed, begin[hit], 1)
                     np.add.at(removed, begin[hit] + length[seg][hit] + width - 1, -1)
             gone = np.cumsum(removed[:-1]) > 0

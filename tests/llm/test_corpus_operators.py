@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from benchloom.llm import bagminhash, chat, diffcover, lm, neardup, quality, repeats, toxicity
+from benchloom.llm.blocks import pack, unpack
 from conftest_llm import prose
 
 
@@ -124,6 +126,62 @@ def test_repeats(spark, odd_rows, none, block_bytes):
     assert repeats.remove_repeats(none).collect() == []
 
 
+@pytest.mark.parametrize("width", [1, 5, 7, 8, 20])
+def test_equal_windows(width):
+    rng = np.random.default_rng(width)
+    for _ in range(30):
+        texts = [bytes(rng.choice([0, 97, 255], size=int(rng.integers(width, width + 30))).tolist()) for _ in range(12)]
+        data = np.array([c for t in texts for c in [*(x + 1 for x in t), 0]], dtype=np.uint16)
+        starts = np.array([p for p in range(len(data) - width) if 0 not in data[p : p + width]])
+        order, new = diffcover.equal_windows(data, starts, width)
+        windows = [data[p : p + width].tolist() for p in order]
+        assert sorted(order) == starts.tolist() and windows == sorted(windows)
+        assert new.tolist() == [k == 0 or windows[k] != windows[k - 1] for k in range(len(windows))]
+
+
+def _mailed(rng, blocks, width=50):
+    """Stretches of one bucket as blocks send them: some shared by all, some with one anchor and different ends."""
+    core = [bytes(rng.integers(97, 123, size=width, dtype=np.uint8)) for _ in range(300)]
+    rows = []
+    for _ in range(blocks):
+        texts = {core[k] + bytes(rng.integers(97, 99, size=int(rng.integers(0, 4)), dtype=np.uint8)): k for k in rng.permutation(300)}
+        ids = rng.integers(0, 1000, size=len(texts))
+        rows.append((list(texts), list(texts.values()), ids))
+    sizes = lambda texts: np.array([len(t) for t in texts], np.int32)
+    return rows, [pack(sizes(t), np.array(a, np.uint64), i, np.frombuffer(b"".join(t), np.uint8)) for t, a, i in rows]
+
+
+@pytest.mark.parametrize("budget", [1, 3000, 1 << 20])
+def test_smallest_ids(budget):
+    rows, mail = _mailed(np.random.default_rng(3), 4)
+    first = {}
+    for texts, _, ids in rows:
+        for t, i in zip(texts, ids.tolist(), strict=True):
+            for p in range(len(t) - 49):
+                first[t[p : p + 50]] = min(i, first.get(t[p : p + 50], i))
+    for (texts, _, _), answer in zip(rows, repeats.smallest_ids(mail, 50, budget), strict=True):
+        parts, length, low = unpack(answer, np.int32, np.int32, np.int64)
+        assert len(parts) == len(texts)
+        assert np.repeat(low, length).tolist() == [first[t[p : p + 50]] for t in texts for p in range(len(t) - 49)]
+
+
+def test_smallest_ids_work_on_arrays():
+    """No chain of Python calls for each stretch: that was most of the operator's time."""
+    rows, mail = _mailed(np.random.default_rng(4), 8)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        repeats.smallest_ids(mail, 50)
+    finally:
+        sys.setprofile(None)
+    assert calls < 3 * sum(len(texts) for texts, _, _ in rows)
+
+
 @pytest.mark.parametrize("slice_bytes", [1 << 27, 500])
 def test_language_model(spark, odd_rows, none, slice_bytes):
     docs = spark.createDataFrame(odd_rows, "doc_id long, text string")
