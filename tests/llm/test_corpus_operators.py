@@ -8,6 +8,7 @@ import math
 import random
 import re
 import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -212,6 +213,55 @@ def test_filter_levels_are_lower_bounds():
     assert (lm.Filter(parts, 3).levels(rng.integers(0, 2**63, 4000).astype(np.uint64)) > 0).mean() < 0.02
 
 
+def test_language_model_answers_pairs_where_they_are_counted(spark, odd_rows, monkeypatch):
+    """One step of Python reads the blocks at the end, whatever the size of the filter, and nothing is broadcast."""
+    docs = spark.createDataFrame(odd_rows, "doc_id long, text string")
+    held = F.col("doc_id") % 3 == 0
+    sent = []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value))
+    plans = [lm.score(docs, held, slice_bytes=size, block_bytes=4000)._jdf.queryExecution().executedPlan().toString() for size in (1 << 27, 500)]
+    assert [p.count("MapInArrow") for p in plans] == [1, 1] and sent == []
+
+
+def _pair_mail(rng, blocks, n_pairs):
+    """Mail of one bucket: words, their counts, numbers of pairs, and the counts that are not 1."""
+    every = np.unique(rng.integers(0, 2**32, n_pairs, dtype=np.uint64)).astype(np.uint32)
+    rows, mail = [], []
+    for _ in range(blocks):
+        number = np.sort(rng.choice(every, len(every) // 2, replace=False))
+        count = rng.choice([0, 1, 1, 1, 2, 40], len(number)).astype(np.uint32)
+        words = np.unique(rng.integers(0, 50, 40, dtype=np.uint64))
+        other = np.flatnonzero(count != 1)
+        rows.append((words, rng.integers(0, 9, len(words)).astype(np.uint32), number, count))
+        mail.append(pack(*rows[-1][:3], other.astype(np.uint32), count[other]))
+    return rows, mail
+
+
+def test_a_bucket_answers_what_its_filter_part_says():
+    rows, mail = _pair_mail(np.random.default_rng(5), 4, 5000)
+    words, pairs = collections.Counter(), collections.Counter()
+    for w, c, number, count in rows:
+        words.update(dict(zip(w.tolist(), c.tolist(), strict=True)))
+        pairs.update(dict(zip(number.tolist(), count.tolist(), strict=True)))
+    replies, tokens, distinct = lm.answers(mail)
+    assert (tokens, distinct) == (sum(words.values()), sum(c > 0 for c in words.values()))
+    number, count = (np.array(x) for x in zip(*((k, c) for k, c in pairs.items() if c), strict=True))
+    table = lm.Filter([(0, *lm.filter_part(number.astype(np.uint32), count))], 1)
+    for (w, _, number, _), reply in zip(rows, replies, strict=True):
+        total, last = unpack(reply, np.int64, np.uint8)
+        assert total.tolist() == [words[x] for x in w.tolist()]
+        assert last.tolist() == table.levels(number.astype(np.uint64) << np.uint64(32)).tolist()
+
+
+def test_work_on_a_bucket_is_bounded_by_its_pairs():
+    _, mail = _pair_mail(np.random.default_rng(6), 8, 400_000)
+    tracemalloc.start()
+    lm.answers(mail)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 16 * sum(map(len, mail))
+
+
 def brute_statistics(t):
     t = t or ""
     w = [x for x in re.split("[\x20\x09-\x0d]+", t) if x]
